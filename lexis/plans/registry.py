@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 
 from lexis.functions.scoring import SCORE_DIGITS, report
 from lexis.operators.bm25 import bm25_idf_table, bm25_search
+from lexis.operators.boolean import boolean_search, intersect_keep_left, query_plan, term_lookup
 from lexis.operators.index import Index, build_index, weighted_postings
-from lexis.operators.tokens import parse_queries, tokens
+from lexis.operators.tokens import doc_words, parse_queries, tokens
+from lexis.operators.vector import (cosine_search, dense_vectors, query_weighted_postings,
+                                    vector_idf_table)
 from lexis.plans import oracle as O
 from lexis.profile import LATIN
 from lexis.sources.corpus import benchmark_queries, documents
@@ -144,3 +147,104 @@ bm25 AS (SELECT qt.query_id, p.doc_id,
 def q_bm25_batch(spark, sf_dir):
     """BM25 top 10 for every benchmark passage."""
     return bm25_search(doc_index(spark, sf_dir), bench_terms(spark, sf_dir))
+
+
+# --- vector space ----------------------------------------------------------
+
+VEC = f"""
+qv AS (SELECT qt.query_id, qt.term, qt.qtf, qt.first_pos, t.df, c.n_docs,
+              {O.vector_idf_sql('t.df', 'c.n_docs')} AS idf
+       FROM qt JOIN terms t USING (term) CROSS JOIN corpus c),
+qn AS (SELECT query_id, sum(qtf * idf * idf) AS q2 FROM qv GROUP BY query_id),
+hw AS (SELECT qv.query_id, qv.term, p.doc_id, qv.qtf, qv.idf,
+              (p.tf::DOUBLE / p.n_tokens) * ln(qv.n_docs::DOUBLE / qv.df) AS w
+       FROM qv JOIN postings p USING (term)),
+cs AS (SELECT query_id, doc_id, sum(qtf * idf * w) AS dot, sum(qtf * w * w) AS d2
+       FROM hw GROUP BY query_id, doc_id)"""
+
+
+def cosine_sql(metric: str) -> str:
+    return (O.with_ctes(IDX, QRY, VEC, f"""
+cos AS (SELECT cs.query_id, cs.doc_id, {O.cosine_sql('cs.dot', 'qn.q2', 'cs.d2', metric)} AS score
+        FROM cs JOIN qn USING (query_id))""") + O.top_k_sql("cos"))
+
+
+@register("query_idf_vector", O.with_ctes(IDX, QRY, VEC) + f"""
+SELECT query_id, term, qtf, df, round(idf, {SCORE_DIGITS}) AS idf FROM qv""")
+def q_query_idf_vector(spark, sf_dir):
+    """ln(N / df) of every known query word."""
+    t = vector_idf_table(doc_index(spark, sf_dir), bench_terms(spark, sf_dir))
+    return t.select("query_id", "term", "qtf", "df", report(F.col("idf")).alias("idf"))
+
+
+@register("postings_for_terms", O.with_ctes(IDX, QRY, VEC) + f"""
+SELECT query_id, term, doc_id, round(w, {SCORE_DIGITS}) AS tf_idf FROM hw""")
+def q_postings_for_terms(spark, sf_dir):
+    """Weighted postings of all words of each query (OR lookup)."""
+    h = query_weighted_postings(doc_index(spark, sf_dir), bench_terms(spark, sf_dir))
+    return h.select("query_id", "term", "doc_id", report(F.col("w")).alias("tf_idf"))
+
+
+@register("cosine_topk", cosine_sql("cosine"))
+def q_cosine_topk(spark, sf_dir):
+    """True cosine top 10 per benchmark passage."""
+    return cosine_search(doc_index(spark, sf_dir), bench_terms(spark, sf_dir), metric="cosine")
+
+
+@register("cosine_reference_topk", cosine_sql("reference"))
+def q_cosine_reference_topk(spark, sf_dir):
+    """The dot / |q| * |d| form, top 10 per passage."""
+    return cosine_search(doc_index(spark, sf_dir), bench_terms(spark, sf_dir), metric="reference")
+
+
+@register("dense_vectors", O.with_ctes(IDX, QRY, VEC, """
+qpos AS (SELECT query_id, unnest(ws) AS term, generate_subscripts(ws, 1) AS pos FROM qw),
+cand AS (SELECT DISTINCT query_id, doc_id FROM hw),
+grid AS (SELECT c.query_id, c.doc_id, q.pos, coalesce(h.w, 0.0) AS v
+         FROM cand c JOIN qpos q USING (query_id)
+         LEFT JOIN hw h ON h.query_id = c.query_id AND h.doc_id = c.doc_id AND h.term = q.term)""")
+    + f"""
+SELECT query_id, doc_id, list(round(v, {SCORE_DIGITS}) ORDER BY pos) AS vector
+FROM grid GROUP BY query_id, doc_id""")
+def q_dense_vectors(spark, sf_dir):
+    """Zero-filled tf-idf vector of every candidate over its query's words."""
+    qwords = doc_words(benchmark_queries(spark, sf_dir), LATIN, ("text",), "query_id").select(
+        "query_id", "words")
+    return dense_vectors(doc_index(spark, sf_dir), qwords, bench_terms(spark, sf_dir))
+
+
+# --- Boolean ---------------------------------------------------------------
+
+@register("boolean_and", O.with_ctes(IDX, QRY) + """
+SELECT qt.query_id, p.doc_id FROM qt JOIN postings p USING (term)
+GROUP BY qt.query_id, p.doc_id, qt.n_terms HAVING count(*) = qt.n_terms""")
+def q_boolean_and(spark, sf_dir):
+    """Documents holding every word of a passage."""
+    return boolean_search(doc_index(spark, sf_dir), bench_terms(spark, sf_dir))
+
+
+@register("term_lookup", O.with_ctes(IDX, QRY) + """
+SELECT qt.query_id, qt.term, p.doc_id FROM qt JOIN postings p USING (term)""")
+def q_term_lookup(spark, sf_dir):
+    """The posting list of every query word (before intersecting)."""
+    return term_lookup(doc_index(spark, sf_dir), bench_terms(spark, sf_dir))
+
+
+@register("posting_intersect", O.with_ctes(
+    "dw AS (SELECT doc_id, " + O.words_sql("text") + " AS ws FROM documents)", QRY) + """
+SELECT doc_id, pos, term FROM (
+  SELECT doc_id, generate_subscripts(ws, 1) - 1 AS pos, unnest(ws) AS term FROM dw)
+WHERE term IN (SELECT term FROM qt)""")
+def q_posting_intersect(spark, sf_dir):
+    """Token occurrences whose word is in some passage; left repeats kept."""
+    toks = tokens(documents(spark, sf_dir), LATIN)
+    vocab = bench_terms(spark, sf_dir).select("term")
+    return intersect_keep_left(toks, vocab, "term").select("doc_id", "pos", "term")
+
+
+@register("query_plan", O.with_ctes(IDX, QRY) + """
+SELECT query_id, term, df, row_number() OVER (PARTITION BY query_id ORDER BY df, term) AS plan_order
+FROM (SELECT qt.query_id, qt.term, coalesce(t.df, 0) AS df FROM qt LEFT JOIN terms t USING (term))""")
+def q_query_plan(spark, sf_dir):
+    """T4: query words rarest first (the intersection order)."""
+    return query_plan(doc_index(spark, sf_dir), bench_terms(spark, sf_dir))
