@@ -42,8 +42,8 @@ def words(text: Column, profile: LanguageProfile) -> Column:
     lowered = F.transform(parts, lambda w: F.lower(w))
     kept = F.filter(lowered, lambda w: is_word(w, profile))
     if profile.stemmer:
-        from lexis.operators.normalize import stem_column
-        kept = F.transform(kept, lambda w: stem_column(w, profile.stemmer))
+        from lexis.operators.normalize import stem_array
+        kept = stem_array(kept, profile.stemmer)
     return kept
 
 

@@ -125,21 +125,42 @@ def corpus_stats(index: Index, n_docs: int | None = None) -> DataFrame:
     return F.broadcast(c)
 
 
+def hot_terms(index: Index, hot_terms_max: int = HOT_TERMS_MAX) -> DataFrame:
+    """(term) of terms holding at least n_postings / hot_terms_max postings.
+
+    At most ``hot_terms_max`` rows: the df of all terms sums to n_postings.
+    """
+    stats = F.broadcast(index.corpus.select("n_postings"))
+    t = index.terms.select("term", "df").crossJoin(stats)
+    return t.where(F.col("df") * F.lit(hot_terms_max) >= F.col("n_postings")).select("term")
+
+
+def join_term_table(index: Index, rows: DataFrame, table: DataFrame, how: str = "inner",
+                    hot_terms_max: int = HOT_TERMS_MAX) -> DataFrame:
+    """``rows`` (postings-like, keyed by ``term``) joined to ``table`` (one row
+    per term), safe against stop-like terms.
+
+    Hot terms (a proven small set) take a broadcast join, so their rows
+    never shuffle; the remaining terms join by shuffle, where no key holds
+    more than 1 / hot_terms_max of the postings.
+    """
+    hot = F.broadcast(hot_terms(index, hot_terms_max))
+    hot_rows = rows.join(hot, "term", "left_semi")
+    cold_rows = rows.join(hot, "term", "left_anti")
+    hot_table = F.broadcast(table.join(hot, "term", "left_semi"))
+    cold_table = table.join(hot, "term", "left_anti")
+    return hot_rows.join(hot_table, "term", how).unionByName(cold_rows.join(cold_table, "term", how))
+
+
 def weighted_postings(index: Index, hot_terms_max: int = HOT_TERMS_MAX) -> DataFrame:
     """Postings with df and tf_idf = (tf / n_tokens) * ln(N / df).
 
     Joining every posting to its term's df is the one join keyed by term,
-    where a stop-like word can hold a third of all rows. The terms table is
-    split by df: hot terms (a proven small set, see HOT_TERMS_MAX) go to a
-    broadcast join and their postings never shuffle; the remaining terms join
-    by shuffle, where no key can hold more than 1/hot_terms_max of the rows.
+    where a stop-like word can hold a third of all rows: see
+    ``join_term_table``.
     """
-    stats = F.broadcast(index.corpus.select("n_docs", "n_postings"))
+    stats = F.broadcast(index.corpus.select("n_docs"))
     t = index.terms.select("term", "df").crossJoin(stats)
-    is_hot = F.col("df") * F.lit(hot_terms_max) >= F.col("n_postings")
-    hot = t.where(is_hot).select("term", "df", "n_docs")
-    cold = t.where(~is_hot).select("term", "df", "n_docs")
-    p = index.postings
-    joined = p.join(F.broadcast(hot), "term").unionByName(p.join(cold, "term"))
+    joined = join_term_table(index, index.postings, t, "inner", hot_terms_max)
     return joined.withColumn("tf_idf", tf_idf(F.col("tf"), F.col("n_tokens"), F.col("df"),
                                               F.col("n_docs")))

@@ -22,8 +22,8 @@ def doc_words(docs: DataFrame, profile: LanguageProfile, text_cols: Sequence[str
     """
     w = field_words([F.col(c) for c in text_cols], profile)
     return (docs.select(F.col(key), *keep, w.alias("words"))
-                .withColumn("n_tokens", F.size("words"))
-                .withColumn("n_unique", F.size(F.array_distinct("words"))))
+                .withColumn("n_tokens", F.size("words").cast("long"))
+                .withColumn("n_unique", F.size(F.array_distinct("words")).cast("long")))
 
 
 def tokens(docs: DataFrame, profile: LanguageProfile, text_cols: Sequence[str] = ("text",),

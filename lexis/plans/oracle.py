@@ -23,27 +23,35 @@ def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def words_sql(text: str, word_pattern: str = LETTER_WORD, stop_words=()) -> str:
-    """list<varchar> of kept lower-cased words of ``text`` (NULL -> [])."""
+def words_sql(text: str, word_pattern: str = LETTER_WORD, stop_words=(),
+              word_map: str | None = None) -> str:
+    """list<varchar> of kept lower-cased words of ``text`` (NULL -> []).
+
+    ``word_map``: SQL over the variable ``w`` applied to each kept word
+    (e.g. a stemmer)."""
     cond = f"w <> {lit(EN_DASH)} AND regexp_full_match(w, {lit(word_pattern)})"
     if stop_words:
         cond += " AND NOT list_contains([" + ", ".join(lit(s) for s in stop_words) + "], w)"
-    return (f"list_filter(list_transform(regexp_split_to_array(coalesce({text}, ''), "
-            f"{lit(DUCK_SPLIT)}), lambda w: lower(w)), lambda w: {cond})")
+    out = (f"list_filter(list_transform(regexp_split_to_array(coalesce({text}, ''), "
+           f"{lit(DUCK_SPLIT)}), lambda w: lower(w)), lambda w: {cond})")
+    if word_map:
+        out = f"list_transform({out}, lambda w: {word_map})"
+    return out
 
 
 def index_ctes(source: str = "documents", key: str = "doc_id", text: str = "text",
-               stop_words=()) -> str:
+               stop_words=(), word_map: str | None = None) -> str:
     """CTEs dw, d, postings, terms, corpus over one text column."""
     return f"""
-dw AS (SELECT {key} AS doc_id, {words_sql(text, stop_words=stop_words)} AS ws FROM {source}),
-d AS (SELECT doc_id, ws, len(ws) AS n_tokens, len(list_distinct(ws)) AS n_unique
+dw AS (SELECT {key} AS doc_id, {words_sql(text, stop_words=stop_words, word_map=word_map)} AS ws
+       FROM {source}),
+d AS (SELECT doc_id, ws, len(ws)::BIGINT AS n_tokens, len(list_distinct(ws))::BIGINT AS n_unique
       FROM dw WHERE len(ws) > 0),
 postings AS (SELECT term, doc_id, n_tokens, n_unique, count(*) AS tf
              FROM (SELECT doc_id, n_tokens, n_unique, unnest(ws) AS term FROM d)
              GROUP BY term, doc_id, n_tokens, n_unique),
 terms AS (SELECT term, md5(term) AS term_id, count(*) AS df FROM postings GROUP BY term),
-corpus AS (SELECT count(*) AS n_docs, sum(n_tokens) AS n_tokens, sum(n_unique) AS n_postings,
+corpus AS (SELECT count(*) AS n_docs, sum(n_tokens)::BIGINT AS n_tokens, sum(n_unique)::BIGINT AS n_postings,
                   avg(n_unique)::DOUBLE AS avg_unique, avg(n_tokens)::DOUBLE AS avg_tokens FROM d)"""
 
 
@@ -51,7 +59,7 @@ def query_ctes(source: str = "benchmark", key: str = "item_id", text: str = "tex
     """CTEs qw (words per query) and qt (query_id, term, qtf, first_pos, n_terms)."""
     return f"""
 qw AS (SELECT {key} AS query_id, {words_sql(text)} AS ws FROM {source}),
-qtok AS (SELECT query_id, unnest(ws) AS term, generate_subscripts(ws, 1) - 1 AS pos FROM qw),
+qtok AS (SELECT query_id, unnest(ws) AS term, (generate_subscripts(ws, 1) - 1)::INTEGER AS pos FROM qw),
 qt0 AS (SELECT query_id, term, count(*) AS qtf, min(pos) AS first_pos FROM qtok GROUP BY query_id, term),
 qt AS (SELECT *, count(*) OVER (PARTITION BY query_id) AS n_terms FROM qt0)"""
 
@@ -65,7 +73,7 @@ def top_k_sql(scores: str, k: int = TOP_K) -> str:
     return f"""
 SELECT query_id, rank, doc_id, score FROM (
   SELECT query_id, doc_id, score,
-         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
+         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank
   FROM (SELECT query_id, doc_id, round(score, {SCORE_DIGITS}) AS score FROM {scores}))
 WHERE rank <= {k}"""
 
@@ -93,3 +101,53 @@ def cosine_sql(dot: str, q2: str, d2: str, metric: str = "cosine") -> str:
     if metric == "cosine":
         return safe_div_sql(dot, f"sqrt({q2}) * sqrt({d2})")
     return f"({safe_div_sql(dot, f'sqrt({q2})')} * sqrt({d2}))"
+
+
+# --- HTML (same patterns as lexis.functions.html) ----------------------------
+
+def html_clean_sql(html: str) -> str:
+    from lexis.functions.html import DROP_BLOCKS
+    return f"regexp_replace(coalesce({html}, ''), {lit(DROP_BLOCKS)}, '', 'g')"
+
+
+def html_text_sql(x: str) -> str:
+    from lexis.functions.html import ANY_TAG, BR, ENTITIES, TEXT_SPACE
+    t = f"regexp_replace(regexp_replace({x}, {lit(BR)}, ' ', 'g'), {lit(ANY_TAG)}, '', 'g')"
+    for ent, ch in ENTITIES:
+        t = f"replace({t}, {lit(ent)}, {lit(ch)})"
+    return f"trim(regexp_replace({t}, {lit(TEXT_SPACE)}, ' ', 'g'))"
+
+
+def html_paragraphs_sql(c: str, tag: str = "p") -> str:
+    from lexis.functions.html import paragraph_cut, paragraph_split
+    pieces = f"string_split_regex({c}, {lit(paragraph_split(tag))})"
+    cut = f"regexp_replace(s, {lit(paragraph_cut(tag))}, '')"
+    texts = f"list_transform(list_slice({pieces}, 2, len({pieces})), lambda s: {html_text_sql(cut)})"
+    return f"list_filter({texts}, lambda s: s <> '')"
+
+
+def html_links_sql(html: str, spec) -> str:
+    """list<struct(href, inner)> of the first ``spec.limit`` matching links."""
+    pat = lit(spec.link.link())
+    per = (f"list_transform(regexp_extract_all({html}, {lit(spec.container.element())}, 1), "
+           f"lambda c: list_transform(regexp_extract_all(c, {pat}, 1), "
+           f"lambda h, i: {{'href': h, 'inner': regexp_extract_all(c, {pat}, 2)[i]}}))")
+    return f"list_slice(flatten({per}), 1, {spec.limit})"
+
+
+def html_articles_sql(html: str, spec) -> tuple[str, str, str]:
+    """(title, content, keywords) SQL expressions over cleaned ``html``."""
+    paras = (f"flatten(list_transform(regexp_extract_all({html}, {lit(spec.container.element())}, 1), "
+             f"lambda c: {html_paragraphs_sql('c', spec.paragraph)}))")
+    content = f"array_to_string({paras}, {lit(spec.paragraph_sep)})"
+    if spec.keyword_container is not None:
+        kw = (f"flatten(list_transform(regexp_extract_all({html}, "
+              f"{lit(spec.keyword_container.element())}, 1), lambda c: list_transform("
+              f"regexp_extract_all(c, {lit(spec.keyword_link.element())}, 1), "
+              f"lambda x: {html_text_sql('x')})))")
+        keywords = f"array_to_string(list_filter({kw}, lambda s: s <> ''), {lit(spec.keyword_sep)})"
+    else:
+        keywords = "''"
+    title = (html_text_sql(f"regexp_extract({html}, {lit(spec.title.element())}, 1)")
+             if spec.title is not None else "NULL::VARCHAR")
+    return title, content, keywords

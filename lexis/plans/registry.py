@@ -17,12 +17,16 @@ from lexis.functions.scoring import SCORE_DIGITS, report
 from lexis.operators.bm25 import bm25_idf_table, bm25_search
 from lexis.operators.boolean import boolean_search, intersect_keep_left, query_plan, term_lookup
 from lexis.operators.index import Index, build_index, weighted_postings
+from lexis.operators.normalize import (PORTER_1A, lemma_dictionary, lemmatize_postings,
+                                       stem_vocabulary)
 from lexis.operators.tokens import doc_words, parse_queries, tokens
 from lexis.operators.vector import (cosine_search, dense_vectors, query_weighted_postings,
                                     vector_idf_table)
 from lexis.plans import oracle as O
 from lexis.profile import LATIN
-from lexis.sources.corpus import benchmark_queries, documents
+from lexis.sources.corpus import benchmark_queries, documents, table
+from lexis.sources.stopwords import ENGLISH, file_words, stop_word_list
+from lexis.sources.pages import FIXTURE_ARTICLE, FIXTURE_LINKS, extract_articles, extract_links
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -53,7 +57,7 @@ QRY = O.query_ctes()
 
 @register("tokens_by_doc", O.with_ctes(
     "dw AS (SELECT doc_id, " + O.words_sql("text") + " AS ws FROM documents)")
-    + "\nSELECT doc_id, generate_subscripts(ws, 1) - 1 AS pos, unnest(ws) AS term FROM dw")
+    + "\nSELECT doc_id, (generate_subscripts(ws, 1) - 1)::INTEGER AS pos, unnest(ws) AS term FROM dw")
 def q_tokens_by_doc(spark, sf_dir):
     """Every kept token with its position."""
     return tokens(documents(spark, sf_dir), LATIN)
@@ -233,7 +237,7 @@ def q_term_lookup(spark, sf_dir):
 @register("posting_intersect", O.with_ctes(
     "dw AS (SELECT doc_id, " + O.words_sql("text") + " AS ws FROM documents)", QRY) + """
 SELECT doc_id, pos, term FROM (
-  SELECT doc_id, generate_subscripts(ws, 1) - 1 AS pos, unnest(ws) AS term FROM dw)
+  SELECT doc_id, (generate_subscripts(ws, 1) - 1)::INTEGER AS pos, unnest(ws) AS term FROM dw)
 WHERE term IN (SELECT term FROM qt)""")
 def q_posting_intersect(spark, sf_dir):
     """Token occurrences whose word is in some passage; left repeats kept."""
@@ -243,8 +247,107 @@ def q_posting_intersect(spark, sf_dir):
 
 
 @register("query_plan", O.with_ctes(IDX, QRY) + """
-SELECT query_id, term, df, row_number() OVER (PARTITION BY query_id ORDER BY df, term) AS plan_order
+SELECT query_id, term, df, row_number() OVER (PARTITION BY query_id ORDER BY df, term)::INTEGER AS plan_order
 FROM (SELECT qt.query_id, qt.term, coalesce(t.df, 0) AS df FROM qt LEFT JOIN terms t USING (term))""")
 def q_query_plan(spark, sf_dir):
     """T4: query words rarest first (the intersection order)."""
     return query_plan(doc_index(spark, sf_dir), bench_terms(spark, sf_dir))
+
+
+# --- pages -----------------------------------------------------------------
+
+def _links_sql() -> str:
+    links = O.html_links_sql(O.html_clean_sql("html"), FIXTURE_LINKS)
+    return f"""
+SELECT page_id, url, pos, a.href AS href, {O.html_text_sql('a.inner')} AS title FROM (
+  SELECT page_id, url, unnest(l) AS a, (generate_subscripts(l, 1) - 1)::INTEGER AS pos
+  FROM (SELECT page_id, url, {links} AS l FROM pages))"""
+
+
+def _articles_cte() -> str:
+    title, content, keywords = O.html_articles_sql("h", FIXTURE_ARTICLE)
+    return f"""
+art AS (SELECT page_id, url, {title} AS title, {content} AS content, {keywords} AS keywords
+        FROM (SELECT page_id, url, {O.html_clean_sql('html')} AS h FROM pages))"""
+
+
+@register("links_extract", _links_sql())
+def q_links_extract(spark, sf_dir):
+    """Links of each page (href prefix test), first 30."""
+    return extract_links(table(spark, sf_dir, "pages"), FIXTURE_LINKS)
+
+
+@register("articles_extract", O.with_ctes(_articles_cte()) + "\nSELECT * FROM art")
+def q_articles_extract(spark, sf_dir):
+    """Title, paragraph text and keywords of each page."""
+    return extract_articles(table(spark, sf_dir, "pages"), FIXTURE_ARTICLE)
+
+
+# --- normalizers -----------------------------------------------------------
+
+_STOP = file_words(ENGLISH)
+
+
+@register("tokens_no_stop", O.with_ctes(
+    "dw AS (SELECT doc_id, " + O.words_sql("text", stop_words=_STOP) + " AS ws FROM documents)")
+    + "\nSELECT doc_id, (generate_subscripts(ws, 1) - 1)::INTEGER AS pos, unnest(ws) AS term FROM dw")
+def q_tokens_no_stop(spark, sf_dir):
+    """Tokens with the English stop list (read as a text source) removed."""
+    profile = LATIN.with_stop_words(stop_word_list(spark, ENGLISH))
+    return tokens(documents(spark, sf_dir), profile)
+
+
+@register("tokens_multi_field", O.with_ctes(_articles_cte(), """
+aw AS (SELECT page_id, list_concat(list_concat(""" + O.words_sql("content") + ", "
+    + O.words_sql("keywords") + "), " + O.words_sql("title") + """) AS ws FROM art)""")
+    + "\nSELECT page_id, (generate_subscripts(ws, 1) - 1)::INTEGER AS pos, unnest(ws) AS term FROM aw")
+def q_tokens_multi_field(spark, sf_dir):
+    """Words of content, then keywords, then title of each extracted article."""
+    art = extract_articles(table(spark, sf_dir, "pages"), FIXTURE_ARTICLE)
+    return tokens(art, LATIN, ("content", "keywords", "title"), "page_id")
+
+
+_PORTER_RE = "(" + "|".join(sorted(PORTER_1A, key=len, reverse=True)) + ")$"
+
+
+def porter_sql(w: str) -> str:
+    """Porter 1a on the SQL expression ``w``."""
+    suf = f"regexp_extract({w}, {O.lit(_PORTER_RE)}, 1)"
+    return "CASE " + " ".join(
+        f"WHEN {suf} = {O.lit(e)} THEN left({w}, len({w}) - {len(e)}) || {O.lit(r)}"
+        for e, r in PORTER_1A.items()) + f" ELSE {w} END"
+
+
+@register("stem_vocabulary", O.with_ctes(IDX) + f"""
+SELECT term, {porter_sql('term')} AS stem FROM terms""")
+def q_stem_vocabulary(spark, sf_dir):
+    """The suffix stemmer over the corpus vocabulary (Porter 1a rule set
+    on the Latin-script fixture; the Russian rule set is tested inline)."""
+    return stem_vocabulary(doc_index(spark, sf_dir).terms, "porter1a")
+
+
+@register("stemmed_doc_frequency", O.with_ctes(O.index_ctes(word_map=porter_sql("w")))
+          + "\nSELECT term, df FROM terms")
+def q_stemmed_doc_frequency(spark, sf_dir):
+    """N1 in the tokenizer: document frequency of stems."""
+    idx = build_index(documents(spark, sf_dir), LATIN.with_stemmer("porter1a"))
+    return idx.terms.select("term", "df")
+
+
+def plural_pairs(terms: DataFrame) -> DataFrame:
+    """A lemma table derived from the corpus itself: (form, lemma) for every
+    term ending in 's' whose form without the 's' is also a term."""
+    a = terms.select(F.col("term").alias("form"))
+    b = terms.select(F.col("term").alias("lemma"))
+    return a.join(b, F.col("form") == F.concat(F.col("lemma"), F.lit("s")))
+
+
+@register("lemmatize_dictionary", O.with_ctes(IDX, """
+dict AS (SELECT a.term AS form, b.term AS lemma FROM terms a JOIN terms b ON a.term = b.term || 's'),
+lp AS (SELECT coalesce(d.lemma, p.term) AS term, p.doc_id, p.tf
+       FROM postings p LEFT JOIN dict d ON d.form = p.term)""")
+    + "\nSELECT term, doc_id, sum(tf)::BIGINT AS tf FROM lp GROUP BY term, doc_id")
+def q_lemmatize_dictionary(spark, sf_dir):
+    """Postings rewritten through a (form, lemma) dictionary, counts merged."""
+    idx = doc_index(spark, sf_dir)
+    return lemmatize_postings(idx, lemma_dictionary(plural_pairs(idx.terms)))
