@@ -125,6 +125,25 @@ def corpus_stats(index: Index, n_docs: int | None = None) -> DataFrame:
     return F.broadcast(c)
 
 
+def posting_blocks(postings: DataFrame, block_size: int = 128) -> DataFrame:
+    """Posting lists as (term, block, doc_ids): doc ids of a term grouped by
+    doc_id div block_size, sorted. A block holds at most ``block_size`` ids
+    (ids are unique within a term), so a stop-like term becomes many bounded
+    rows instead of one array as long as the corpus."""
+    blk = F.floor(F.col("doc_id") / F.lit(block_size)).cast("long")
+    return (postings.groupBy("term", blk.alias("block"))
+                    .agg(F.sort_array(F.collect_list("doc_id")).alias("doc_ids")))
+
+
+def term_doc_rows(weighted: DataFrame) -> DataFrame:
+    """Sparse document rows of the term x document matrix:
+    (doc_id, terms, weights), terms sorted; one row per document, bounded
+    by the document's own vocabulary."""
+    rows = weighted.groupBy("doc_id").agg(
+        F.sort_array(F.collect_list(F.struct("term", "tf_idf"))).alias("e"))
+    return rows.select("doc_id", F.col("e.term").alias("terms"), F.col("e.tf_idf").alias("weights"))
+
+
 def hot_terms(index: Index, hot_terms_max: int = HOT_TERMS_MAX) -> DataFrame:
     """(term) of terms holding at least n_postings / hot_terms_max postings.
 

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from lexis.functions.scoring import SCORE_DIGITS, report
 from lexis.operators.bm25 import bm25_idf_table, bm25_search
 from lexis.operators.boolean import boolean_search, intersect_keep_left, query_plan, term_lookup
-from lexis.operators.index import Index, build_index, weighted_postings
+from lexis.operators.index import (Index, build_index, posting_blocks, term_doc_rows,
+                                   weighted_postings)
+from lexis.operators.lsa import lsa_search
 from lexis.operators.normalize import (PORTER_1A, lemma_dictionary, lemmatize_postings,
                                        stem_vocabulary)
 from lexis.operators.tokens import doc_words, parse_queries, tokens
@@ -25,7 +27,11 @@ from lexis.operators.vector import (cosine_search, dense_vectors, query_weighted
 from lexis.plans import oracle as O
 from lexis.profile import LATIN
 from lexis.sources.corpus import benchmark_queries, documents, table
+from lexis.session import scratch_path
 from lexis.sources.stopwords import ENGLISH, file_words, stop_word_list
+from lexis.sources.tables import append_new, collector, read_table, stamp, write_table
+from lexis.sources.xml import export_xml, read_xml
+from lexis.streaming.ingest import start_ingest
 from lexis.sources.pages import FIXTURE_ARTICLE, FIXTURE_LINKS, extract_articles, extract_links
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -351,3 +357,99 @@ def q_lemmatize_dictionary(spark, sf_dir):
     """Postings rewritten through a (form, lemma) dictionary, counts merged."""
     idx = doc_index(spark, sf_dir)
     return lemmatize_postings(idx, lemma_dictionary(plural_pairs(idx.terms)))
+
+
+# --- matrix views and LSA ----------------------------------------------------
+
+@register("posting_blocks", O.with_ctes(IDX) + """
+SELECT term, floor(doc_id / 128)::BIGINT AS block, list_sort(list(doc_id)) AS doc_ids
+FROM postings GROUP BY term, floor(doc_id / 128)""")
+def q_posting_blocks(spark, sf_dir):
+    """Posting lists, in blocks of at most 128 document ids."""
+    return posting_blocks(doc_index(spark, sf_dir).postings, 128)
+
+
+@register("term_doc_matrix", O.with_ctes(IDX) + f"""
+SELECT doc_id, list(term ORDER BY term) AS terms,
+       list(round((p.tf::DOUBLE / p.n_tokens) * ln(c.n_docs::DOUBLE / t.df), {SCORE_DIGITS})
+            ORDER BY term) AS weights
+FROM postings p JOIN terms t USING (term) CROSS JOIN corpus c GROUP BY doc_id""")
+def q_term_doc_matrix(spark, sf_dir):
+    """The tf-idf matrix as one sparse row per document."""
+    wp = weighted_postings(doc_index(spark, sf_dir)).withColumn("tf_idf", report(F.col("tf_idf")))
+    return term_doc_rows(wp)
+
+
+@register("lsa_topk")
+def q_lsa_topk(spark, sf_dir):
+    """Rank-5 LSA, true cosine, top 10 per passage (checked
+    against numpy's SVD in tests)."""
+    return lsa_search(doc_index(spark, sf_dir), bench_terms(spark, sf_dir), metric="cosine")
+
+
+@register("lsa_reference_topk")
+def q_lsa_reference_topk(spark, sf_dir):
+    """Rank-5 LSA with the reference form of the measure."""
+    return lsa_search(doc_index(spark, sf_dir), bench_terms(spark, sf_dir), metric="reference")
+
+
+# --- sinks, provenance, streaming ------------------------------------------
+
+ARTICLE_SCHEMA = "page_id long, url string, title string, content string, keywords string"
+# An invented collector, stamped on every extracted article.
+COLLECTOR = ("Ivan", "Petrov", "group-7")
+_CID_SQL = f"md5({O.lit('|'.join(COLLECTOR))})"
+
+
+@register("xml_round_trip", O.with_ctes(_articles_cte()) + "\nSELECT * FROM art")
+def q_xml_round_trip(spark, sf_dir):
+    """Extracted articles written as XML and read back."""
+    from pyspark.sql import types as T
+    path = scratch_path(spark, "articles-xml")
+    export_xml(extract_articles(table(spark, sf_dir, "pages")), path, root_tag="articles")
+    schema = T._parse_datatype_string(ARTICLE_SCHEMA)
+    return read_xml(spark, path, schema)
+
+
+@register("collector_stamp", O.with_ctes(_articles_cte()) + f"""
+SELECT page_id, url, title, {_CID_SQL} AS collector_id FROM art""")
+def q_collector_stamp(spark, sf_dir):
+    """Every article carries the id of the person who collected it."""
+    who = collector(spark, *COLLECTOR)
+    art = extract_articles(table(spark, sf_dir, "pages"))
+    return stamp(art, who).select("page_id", "url", "title", "collector_id")
+
+
+@register("table_round_trip", O.with_ctes(
+    "dw AS (SELECT doc_id, " + O.words_sql("text") + " AS ws FROM documents)")
+    + "\nSELECT doc_id, len(ws)::BIGINT AS n FROM dw WHERE len(ws) > 0")
+def q_table_round_trip(spark, sf_dir):
+    """Token rows written as a table, read back, counted per document."""
+    path = scratch_path(spark, "tokens")
+    write_table(tokens(documents(spark, sf_dir), LATIN), path)
+    back = read_table(spark, path)
+    return back.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("postings_append", O.with_ctes(IDX) + "\nSELECT term, doc_id, tf FROM postings")
+def q_postings_append(spark, sf_dir):
+    """Insert-or-ignore -- postings appended twice are stored once."""
+    path = scratch_path(spark, "postings")
+    p = doc_index(spark, sf_dir).postings.select("term", "doc_id", "tf")
+    append_new(spark, p, path, ["term", "doc_id"])
+    append_new(spark, p, path, ["term", "doc_id"])
+    return read_table(spark, path)
+
+
+@register("stream_ingest", O.with_ctes(IDX) + "\nSELECT term, doc_id, tf FROM postings")
+def q_stream_ingest(spark, sf_dir):
+    """S7, S8, S10 as a stream: documents ingested by Structured Streaming
+    micro-batches into a stored index, then read back."""
+    base = scratch_path(spark, "stream-index")
+    src = table(spark, sf_dir, "documents")
+    stream = (spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1)
+                   .option("pathGlobFilter", "documents.parquet")
+                   .parquet(sf_dir).select("doc_id", "text"))
+    q = start_ingest(stream, f"{base}/index", f"{base}/checkpoint", LATIN)
+    q.awaitTermination()
+    return read_table(spark, f"{base}/index/postings").select("term", "doc_id", "tf")
