@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexis.functions.scoring import tf_idf
@@ -49,14 +49,24 @@ class Index:
 def postings_from_words(dw: DataFrame, key: str = "doc_id") -> DataFrame:
     """(term, doc_id, tf, n_tokens, n_unique) from one-row-per-document words.
 
-    The partial aggregation runs in the scan's tasks: a document's tokens all
-    sit in one task, so what crosses the shuffle is already one row per
-    posting, never one row per token.
+    All of a document's words sit in one row, so its postings come from the
+    row alone -- no aggregation, no shuffle: sort the words, mark where a
+    run of equal words starts, and the gap to the next start is the count.
+    Each step is its own projection so every array is computed once.
     """
-    exploded = dw.select(F.col(key).alias("doc_id"), "n_tokens", "n_unique",
-                         F.explode("words").alias("term"))
-    return (exploded.groupBy("term", "doc_id", "n_tokens", "n_unique")
-                    .agg(F.count(F.lit(1)).alias("tf")))
+    s = dw.select(F.col(key).alias("doc_id"), "n_tokens", "n_unique",
+                  F.sort_array("words").alias("s"))
+    idx = F.sequence(F.lit(1), F.greatest(F.size("s"), F.lit(1)))
+    s = s.withColumn("starts", F.when(F.size("s") > 0, F.filter(
+        idx, lambda i: (i == 1) | (F.try_element_at("s", i) != F.try_element_at("s", i - 1)))
+    ).otherwise(F.array().cast("array<int>")))
+    s = s.withColumn("ends", F.concat(F.slice("starts", 2, F.size("starts")),
+                                      F.array((F.size("s") + 1).cast("int"))))
+    p = s.select("doc_id", "n_tokens", "n_unique", "s",
+                 F.posexplode(F.arrays_zip("starts", "ends")).alias("j", "r"))
+    return p.select(F.element_at("s", F.col("r.starts")).alias("term"), "doc_id",
+                    (F.col("r.ends") - F.col("r.starts")).cast("long").alias("tf"),
+                    "n_tokens", "n_unique")
 
 
 def terms_from_postings(postings: DataFrame) -> DataFrame:
@@ -66,6 +76,18 @@ def terms_from_postings(postings: DataFrame) -> DataFrame:
                     .select("term", F.md5("term").alias("term_id"), "df"))
 
 
+def docs_from_postings(postings: DataFrame, docs: DataFrame) -> DataFrame:
+    """The document table rebuilt from stored postings (whose rows carry the
+    document lengths), so the corpus is not tokenized a second time. Extra
+    document columns, if any, are joined back by doc_id."""
+    d = postings.groupBy("doc_id").agg(F.max("n_tokens").alias("n_tokens"),
+                                       F.max("n_unique").alias("n_unique"))
+    extra = [c for c in docs.columns if c not in ("doc_id", "n_tokens", "n_unique")]
+    if extra:
+        d = d.join(docs.select("doc_id", *extra), "doc_id")
+    return d
+
+
 def corpus_from_docs(docs: DataFrame) -> DataFrame:
     """One-row corpus statistics over documents with at least one token."""
     d = docs.where(F.col("n_tokens") > 0)
@@ -103,7 +125,7 @@ def save_index(index: Index, path: str, mode: str = "overwrite") -> Index:
     index.postings.sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/postings")
     postings = spark.read.parquet(f"{path}/postings")
     terms_from_postings(postings).sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/terms")
-    index.docs.write.mode(mode).parquet(f"{path}/docs")
+    docs_from_postings(postings, index.docs).write.mode(mode).parquet(f"{path}/docs")
     docs = spark.read.parquet(f"{path}/docs")
     corpus_from_docs(docs).coalesce(1).write.mode(mode).parquet(f"{path}/corpus")
     return load_index(spark, path)

@@ -19,8 +19,12 @@ other score. Nothing per document is collected.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,6 +33,12 @@ from lexis.functions.scoring import LSA_RANK, TOP_K, cosine, tf_idf
 from lexis.operators.index import Index
 from lexis.operators.query import candidate_postings, is_small, maybe_broadcast, with_term_stats
 from lexis.operators.topk import top_k
+from pyspark import cloudpickle
+
+# The grouped/Arrow functions below run in Python workers. Pickling this
+# module by value ships their code with the task, so workers need no copy of
+# the package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Singular values below LSA_RCOND * s_max count as zero. The Gram route
 # gives eigenvalues to ~1e-16 * lambda_max, i.e. singular values to
@@ -52,42 +62,74 @@ def query_matrix(index: Index, qterms: DataFrame, small: bool | None = None) ->
     return hits.select("query_id", "doc_id", "ti", "term", w.alias("w"))
 
 
+def _gram_block(acc: dict, qid: np.ndarray, doc: np.ndarray, ti: np.ndarray,
+                w: np.ndarray) -> None:
+    """Add A^T A of complete documents (rows sorted by query, document)."""
+    if len(qid) == 0:
+        return
+    qb = np.flatnonzero(np.diff(qid)) + 1
+    for lo, hi in zip(np.r_[0, qb], np.r_[qb, len(qid)]):
+        d = doc[lo:hi]
+        row = np.r_[0, np.cumsum(d[1:] != d[:-1])]        # local document index
+        t = int(ti[lo:hi].max()) + 1
+        m = np.zeros((int(row[-1]) + 1, t))
+        m[row, ti[lo:hi]] = w[lo:hi]
+        g = m.T @ m
+        q = int(qid[lo])
+        old = acc.get(q)
+        if old is not None:
+            n = max(old.shape[0], t)
+            grown = np.zeros((n, n))
+            grown[:old.shape[0], :old.shape[0]] += old
+            grown[:t, :t] += g
+            g = grown
+        acc[q] = g
+
+
 def _partial_gram(batches):
-    """Per task: sum of outer products of each document's query-word vector,
-    per query. Rows arrive as (query_id, ti array, w array), one per
-    (query, document)."""
+    """Per task: A_q^T A_q summed over this task's documents, per query.
+
+    Rows (query_id, doc_id, ti, w) arrive sorted by (query_id, doc_id), so a
+    document is a contiguous run; the run still open at the end of an Arrow
+    batch waits for the next one. Each query's documents become a dense
+    (docs x words) block and a single matrix product adds their outer
+    products -- no Python loop over rows.
+    """
     acc: dict[int, np.ndarray] = {}
-    for pdf in batches:
-        for qid, tis, ws in zip(pdf["query_id"], pdf["ti"], pdf["w"]):
-            tis = np.asarray(tis, dtype=np.int64)
-            ws = np.asarray(ws, dtype=np.float64)
-            t = int(tis.max()) + 1
-            g = acc.get(qid)
-            if g is None or g.shape[0] < t:
-                bigger = np.zeros((max(t, 1), max(t, 1)))
-                if g is not None:
-                    bigger[:g.shape[0], :g.shape[1]] = g
-                g = acc[qid] = bigger
-            g[np.ix_(tis, tis)] += np.outer(ws, ws)
-    out = []
-    for qid, g in acc.items():
+    cols = ("query_id", "doc_id", "ti", "w")
+    pend = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        cur = [np.concatenate([p, batch.column(c).to_numpy(zero_copy_only=False)])
+               for p, c in zip(pend, cols)]
+        qid, doc = cur[0], cur[1]
+        last = np.flatnonzero((qid != qid[-1]) | (doc != doc[-1]))
+        cut = int(last[-1]) + 1 if len(last) else 0
+        _gram_block(acc, *(a[:cut] for a in cur))
+        pend = [a[cut:] for a in cur]
+    _gram_block(acc, *pend)
+    for q, g in acc.items():
         i, j = np.nonzero(np.triu(g))
-        out.append(pd.DataFrame({"query_id": qid, "i": i.astype("int32"), "j": j.astype("int32"),
-                                 "g": g[i, j]}))
-    if out:
-        yield pd.concat(out, ignore_index=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(i), q, dtype=np.int64)), pa.array(i.astype(np.int32)),
+             pa.array(j.astype(np.int32)), pa.array(g[i, j])],
+            names=["query_id", "i", "j", "g"])
 
 
 def gram_matrices(entries: DataFrame) -> DataFrame:
     """(query_id, i, j, g) upper triangle of A^T A for every query.
 
-    Each (query, document) vector has at most t entries (t = the query's
-    words), so grouping per document is bounded; tasks emit at most t^2
-    partial sums per query, and the final sum is per matrix cell.
+    Entries are hash-partitioned by (query, document) -- a document's
+    entries meet in one task, a query's documents spread over all tasks --
+    and sorted locally. Tasks emit at most t^2 partial sums per query
+    (t = the query's words); the final sum is per matrix cell.
     """
-    per_doc = entries.groupBy("query_id", "doc_id").agg(
-        F.collect_list("ti").alias("ti"), F.collect_list("w").alias("w"))
-    partial = per_doc.select("query_id", "ti", "w").mapInPandas(_partial_gram, GRAM_SCHEMA)
+    parts = entries.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    flat = (entries.select("query_id", "doc_id", "ti", "w")
+                   .repartition(int(parts), "query_id", "doc_id")
+                   .sortWithinPartitions("query_id", "doc_id"))
+    partial = flat.mapInArrow(_partial_gram, GRAM_SCHEMA)
     return partial.groupBy("query_id", "i", "j").agg(F.sum("g").alias("g"))
 
 
