@@ -16,6 +16,7 @@ rows spread over many tasks, never one giant array.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -112,31 +113,55 @@ def build_index(docs: DataFrame, profile: LanguageProfile, text_cols: Sequence[s
                  docs=doc_table, corpus=corpus_from_docs(doc_table))
 
 
-def save_index(index: Index, path: str, mode: str = "overwrite") -> Index:
-    """Write the four tables and return the index read back from ``path``.
+def postings_table_name(path: str) -> str:
+    """Session-catalog name of the postings table stored at ``path``."""
+    return "lexis_postings_" + hashlib.md5(path.rstrip("/").encode()).hexdigest()[:16]
 
-    Each table is computed from the previously written one, so the corpus is
-    tokenized once and a lost executor only costs the current stage. Postings
-    and terms are sorted by term inside each file: parquet row-group min/max
-    on ``term`` then skip most of a file for a term lookup.
+
+def save_index(index: Index, path: str, mode: str = "overwrite",
+               buckets: int | None = None) -> Index:
+    """Write the index under ``path`` and return it read back.
+
+    Postings are stored document-partitioned: a table bucketed by doc_id
+    (``buckets`` files, each sorted by term). Every search aggregates per
+    (query, document), and with this layout that aggregation -- and the top-k
+    that follows -- runs inside each bucket's task with no exchange of
+    candidate rows; the sort by term lets parquet row-group statistics skip
+    most of a file for rare query terms. The other tables are computed from
+    the stored postings, so the corpus is tokenized once.
     """
     spark = index.sparkSession
     path = path.rstrip("/")
-    index.postings.sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/postings")
-    postings = spark.read.parquet(f"{path}/postings")
+    b = int(buckets or max(spark.sparkContext.defaultParallelism,
+                           int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    (index.postings.repartition(b, "doc_id")
+          .write.mode(mode).bucketBy(b, "doc_id").sortBy("term")
+          .option("path", f"{path}/postings").saveAsTable(postings_table_name(path)))
+    postings = spark.table(postings_table_name(path))
     terms_from_postings(postings).sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/terms")
     docs_from_postings(postings, index.docs).write.mode(mode).parquet(f"{path}/docs")
     docs = spark.read.parquet(f"{path}/docs")
-    corpus_from_docs(docs).coalesce(1).write.mode(mode).parquet(f"{path}/corpus")
+    (corpus_from_docs(docs).withColumn("n_buckets", F.lit(b)).coalesce(1)
+        .write.mode(mode).parquet(f"{path}/corpus"))
     return load_index(spark, path)
 
 
 def load_index(spark: SparkSession, path: str) -> Index:
+    """Open a stored index; registers its bucketed postings table in this
+    session's catalog when needed (plain parquet also works, unbucketed)."""
     path = path.rstrip("/")
-    return Index(postings=spark.read.parquet(f"{path}/postings"),
+    corpus = spark.read.parquet(f"{path}/corpus")
+    name = postings_table_name(path)
+    if "n_buckets" in corpus.columns and not spark.catalog.tableExists(name):
+        b = corpus.select("n_buckets").first()[0]
+        spark.sql(f"CREATE TABLE {name} USING parquet CLUSTERED BY (doc_id) SORTED BY (term) "
+                  f"INTO {int(b)} BUCKETS LOCATION '{path}/postings'")
+    postings = (spark.table(name) if spark.catalog.tableExists(name)
+                else spark.read.parquet(f"{path}/postings"))
+    return Index(postings=postings,
                  terms=spark.read.parquet(f"{path}/terms"),
                  docs=spark.read.parquet(f"{path}/docs"),
-                 corpus=spark.read.parquet(f"{path}/corpus"))
+                 corpus=corpus)
 
 
 def corpus_stats(index: Index, n_docs: int | None = None) -> DataFrame:

@@ -89,26 +89,33 @@ def _gram_block(acc: dict, qid: np.ndarray, doc: np.ndarray, ti: np.ndarray,
 def _partial_gram(batches):
     """Per task: A_q^T A_q summed over this task's documents, per query.
 
-    Rows (query_id, doc_id, ti, w) arrive sorted by (query_id, doc_id), so a
-    document is a contiguous run; the run still open at the end of an Arrow
-    batch waits for the next one. Each query's documents become a dense
+    Rows (query_id, doc_id, ti, w, k) arrive sorted by (query_id, doc_id)
+    with k = 1 on each document's first entry, so a document is a contiguous
+    run; the run still open at the end of an Arrow batch waits for the next
+    one. A run that does not start at k = 1 means the input was not
+    co-located, and the task fails rather than return a wrong matrix. Each query's documents become a dense
     (docs x words) block and a single matrix product adds their outer
     products -- no Python loop over rows.
     """
     acc: dict[int, np.ndarray] = {}
-    cols = ("query_id", "doc_id", "ti", "w")
-    pend = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+    cols = ("query_id", "doc_id", "ti", "w", "k")
+    pend = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0),
+            np.empty(0, np.int64)]
     for batch in batches:
         if batch.num_rows == 0:
             continue
         cur = [np.concatenate([p, batch.column(c).to_numpy(zero_copy_only=False)])
                for p, c in zip(pend, cols)]
-        qid, doc = cur[0], cur[1]
-        last = np.flatnonzero((qid != qid[-1]) | (doc != doc[-1]))
-        cut = int(last[-1]) + 1 if len(last) else 0
-        _gram_block(acc, *(a[:cut] for a in cur))
+        qid, doc, k = cur[0], cur[1], cur[4]
+        new_run = np.r_[True, (qid[1:] != qid[:-1]) | (doc[1:] != doc[:-1])]
+        if not np.array_equal(new_run, k == 1):
+            raise RuntimeError("LSA Gram input is not grouped by (query_id, doc_id)")
+        starts = np.flatnonzero(new_run)
+        cut = int(starts[-1])
+        _gram_block(acc, *(a[:cut] for a in cur[:4]))
         pend = [a[cut:] for a in cur]
-    _gram_block(acc, *pend)
+    if len(pend[0]):
+        _gram_block(acc, *pend[:4])
     for q, g in acc.items():
         i, j = np.nonzero(np.triu(g))
         yield pa.RecordBatch.from_arrays(
@@ -120,15 +127,16 @@ def _partial_gram(batches):
 def gram_matrices(entries: DataFrame) -> DataFrame:
     """(query_id, i, j, g) upper triangle of A^T A for every query.
 
-    Entries are hash-partitioned by (query, document) -- a document's
-    entries meet in one task, a query's documents spread over all tasks --
-    and sorted locally. Tasks emit at most t^2 partial sums per query
-    (t = the query's words); the final sum is per matrix cell.
+    The window over (query, document) makes the planner co-locate each
+    document's entries and sort them: on a document-partitioned (bucketed)
+    index that needs no shuffle at all, otherwise Spark adds one. Its value,
+    the number of query words the document holds, is bounded by the query.
+    Tasks emit at most t^2 partial sums per query (t = the query's words);
+    the final sum is per matrix cell.
     """
-    parts = entries.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    per_doc = Window.partitionBy("query_id", "doc_id").orderBy("ti")
     flat = (entries.select("query_id", "doc_id", "ti", "w")
-                   .repartition(int(parts), "query_id", "doc_id")
-                   .sortWithinPartitions("query_id", "doc_id"))
+                   .withColumn("k", F.row_number().over(per_doc)))
     partial = flat.mapInArrow(_partial_gram, GRAM_SCHEMA)
     return partial.groupBy("query_id", "i", "j").agg(F.sum("g").alias("g"))
 
