@@ -55,8 +55,8 @@ def postings_from_words(dw: DataFrame, key: str = "doc_id") -> DataFrame:
     run of equal words starts, and the gap to the next start is the count.
     Each step is its own projection so every array is computed once.
     """
-    s = dw.select(F.col(key).alias("doc_id"), "n_tokens", "n_unique",
-                  F.sort_array("words").alias("s"))
+    s = dw.where(F.col("n_tokens") > 0).select(F.col(key).alias("doc_id"), "n_tokens", "n_unique",
+                                                F.sort_array("words").alias("s"))
     idx = F.sequence(F.lit(1), F.greatest(F.size("s"), F.lit(1)))
     s = s.withColumn("starts", F.when(F.size("s") > 0, F.filter(
         idx, lambda i: (i == 1) | (F.try_element_at("s", i) != F.try_element_at("s", i - 1)))
@@ -137,6 +137,7 @@ def save_index(index: Index, path: str, mode: str = "overwrite",
     (index.postings.repartition(b, "doc_id")
           .write.mode(mode).bucketBy(b, "doc_id").sortBy("term")
           .option("path", f"{path}/postings").saveAsTable(postings_table_name(path)))
+    spark.catalog.refreshTable(postings_table_name(path))
     postings = spark.table(postings_table_name(path))
     terms_from_postings(postings).sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/terms")
     docs_from_postings(postings, index.docs).write.mode(mode).parquet(f"{path}/docs")
@@ -156,8 +157,11 @@ def load_index(spark: SparkSession, path: str) -> Index:
         b = corpus.select("n_buckets").first()[0]
         spark.sql(f"CREATE TABLE {name} USING parquet CLUSTERED BY (doc_id) SORTED BY (term) "
                   f"INTO {int(b)} BUCKETS LOCATION '{path}/postings'")
-    postings = (spark.table(name) if spark.catalog.tableExists(name)
-                else spark.read.parquet(f"{path}/postings"))
+    if spark.catalog.tableExists(name):
+        spark.catalog.refreshTable(name)
+        postings = spark.table(name)
+    else:
+        postings = spark.read.parquet(f"{path}/postings")
     return Index(postings=postings,
                  terms=spark.read.parquet(f"{path}/terms"),
                  docs=spark.read.parquet(f"{path}/docs"),
