@@ -166,23 +166,29 @@ def factor_table(gram: DataFrame, k: int = LSA_RANK, rcond: float = LSA_RCOND) -
 
 def lsa_scores(index: Index, qterms: DataFrame, k: int = LSA_RANK, metric: str = "reference",
                rcond: float = LSA_RCOND) -> DataFrame:
-    """(query_id, doc_id, score) for every candidate document."""
+    """(query_id, doc_id, score) for every candidate document.
+
+    The factor table is pivoted to one column per component (k is fixed when
+    the plan is built), so projecting a document is one aggregation of its
+    entries -- k sums side by side -- with no k-fold copy of the candidates.
+    Both factor-derived tables hold at most (query words) rows per query.
+    """
     small = is_small(qterms)
     a = query_matrix(index, qterms, small)
     factors = factor_table(gram_matrices(a), k, rcond)
-    # Both factor-derived tables hold at most (query words x k) rows per query.
-    qvec = factors.groupBy("query_id", "comp").agg(F.sum("f").alias("qv"))
-    qnorm = qvec.groupBy("query_id").agg(F.sum(F.col("qv") * F.col("qv")).alias("q2"))
-    proj = (a.join(maybe_broadcast(factors.select("query_id", "ti", "comp", "f"), small),
-                   ["query_id", "ti"])
-             .groupBy("query_id", "doc_id", "comp").agg(F.sum(F.col("w") * F.col("f")).alias("dv")))
-    scored = (proj.join(maybe_broadcast(qvec, small), ["query_id", "comp"])
-                  .groupBy("query_id", "doc_id")
-                  .agg(F.sum(F.col("qv") * F.col("dv")).alias("dot"),
-                       F.sum(F.col("dv") * F.col("dv")).alias("d2"))
-                  .join(maybe_broadcast(qnorm, small), "query_id"))
-    return scored.select("query_id", "doc_id",
-                         cosine(F.col("dot"), F.col("q2"), F.col("d2"), metric).alias("score"))
+    comps = list(range(k))
+    wide = (factors.groupBy("query_id", "ti").pivot("comp", comps).agg(F.first("f"))
+                   .select("query_id", "ti", *[F.coalesce(F.col(str(c)), F.lit(0.0)).alias(f"f{c}")
+                                                for c in comps]))
+    qv = wide.groupBy("query_id").agg(*[F.sum(f"f{c}").alias(f"q{c}") for c in comps])
+    proj = (a.join(maybe_broadcast(wide, small), ["query_id", "ti"])
+             .groupBy("query_id", "doc_id")
+             .agg(*[F.sum(F.col("w") * F.col(f"f{c}")).alias(f"d{c}") for c in comps]))
+    s2 = proj.join(maybe_broadcast(qv, small), "query_id")
+    dot = sum((F.col(f"q{c}") * F.col(f"d{c}") for c in comps), F.lit(0.0))
+    q2 = sum((F.col(f"q{c}") * F.col(f"q{c}") for c in comps), F.lit(0.0))
+    d2 = sum((F.col(f"d{c}") * F.col(f"d{c}") for c in comps), F.lit(0.0))
+    return s2.select("query_id", "doc_id", cosine(dot, q2, d2, metric).alias("score"))
 
 
 def lsa_search(index: Index, qterms: DataFrame, k_results: int = TOP_K, rank: int = LSA_RANK,
