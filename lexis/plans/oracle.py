@@ -40,10 +40,17 @@ def words_sql(text: str, word_pattern: str = LETTER_WORD, stop_words=(),
 
 
 def index_ctes(source: str = "documents", key: str = "doc_id", text: str = "text",
-               stop_words=(), word_map: str | None = None) -> str:
-    """CTEs dw, d, postings, terms, corpus over one text column."""
+               stop_words=(), word_map: str | None = None, fields=None) -> str:
+    """CTEs dw, d, postings, terms, corpus over one text column (or several
+    ``fields``, tokenized one after another)."""
+    if fields:
+        ws = words_sql(fields[0], stop_words=stop_words, word_map=word_map)
+        for f in fields[1:]:
+            ws = f"list_concat({ws}, {words_sql(f, stop_words=stop_words, word_map=word_map)})"
+    else:
+        ws = words_sql(text, stop_words=stop_words, word_map=word_map)
     return f"""
-dw AS (SELECT {key} AS doc_id, {words_sql(text, stop_words=stop_words, word_map=word_map)} AS ws
+dw AS (SELECT {key} AS doc_id, {ws} AS ws
        FROM {source}),
 d AS (SELECT doc_id, ws, len(ws)::BIGINT AS n_tokens, len(list_distinct(ws))::BIGINT AS n_unique
       FROM dw WHERE len(ws) > 0),

@@ -26,7 +26,7 @@ from lexis.operators.vector import (cosine_search, dense_vectors, query_weighted
                                     vector_idf_table)
 from lexis.plans import oracle as O
 from lexis.profile import LATIN
-from lexis.sources.corpus import benchmark_queries, documents, table
+from lexis.sources.corpus import benchmark_queries, conversation_turns, documents, table
 from lexis.session import scratch_path
 from lexis.sources.stopwords import ENGLISH, file_words, stop_word_list
 from lexis.sources.tables import append_new, collector, read_table, stamp, write_table
@@ -453,3 +453,25 @@ def q_stream_ingest(spark, sf_dir):
     q = start_ingest(stream, f"{base}/index", f"{base}/checkpoint", LATIN)
     q.awaitTermination()
     return read_table(spark, f"{base}/index/postings").select("term", "doc_id", "tf")
+
+
+# --- whole workflows over the other text tables ------------------------------
+
+@register("article_bm25", O.with_ctes(
+    _articles_cte(), O.index_ctes("art", "page_id", fields=("content", "keywords", "title")),
+    QRY, BM25_SCORES) + O.top_k_sql("bm25"))
+def q_article_bm25(spark, sf_dir):
+    """S3 -> P5/P6 -> index -> BM25: articles extracted from the pages, indexed
+    over content, keywords and title, ranked for every benchmark passage."""
+    art = extract_articles(table(spark, sf_dir, "pages"))
+    idx = build_index(art, LATIN, ("content", "keywords", "title"), key="page_id")
+    return bm25_search(idx, bench_terms(spark, sf_dir))
+
+
+@register("conversation_bm25", O.with_ctes(
+    O.index_ctes("conversations", "conv_id * 1000000 + turn"), QRY, BM25_SCORES)
+    + O.top_k_sql("bm25"))
+def q_conversation_bm25(spark, sf_dir):
+    """BM25 over a second corpus: one document per conversation turn."""
+    idx = build_index(conversation_turns(spark, sf_dir), LATIN)
+    return bm25_search(idx, bench_terms(spark, sf_dir))
