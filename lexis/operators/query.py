@@ -37,11 +37,27 @@ def with_term_stats(index: Index, qterms: DataFrame, n_docs: int | None = None,
     return known.crossJoin(corpus_stats(index, n_docs).select("n_docs", "avg_unique"))
 
 
+def few_terms(qstats: DataFrame, spark) -> list[str] | None:
+    """The batch's distinct words when there are few enough to push into the
+    parquet scan as equality filters (Spark's IN pushdown threshold), else
+    None. Only the distinct words of a counted query batch are fetched."""
+    limit = int(spark.conf.get("spark.sql.parquet.pushdown.inFilterThreshold", "10"))
+    words = qstats.select("term").distinct().limit(limit + 1).collect()
+    return [r.term for r in words] if len(words) <= limit else None
+
+
 def candidate_postings(index: Index, qstats: DataFrame, small: bool = True) -> DataFrame:
     """Postings of the query terms, one row per (query, term, document).
 
     ``qstats`` has at most one row per (query, term) of the batch (bounded by
     the count taken on the parsed batch), so it is the broadcast side and the
-    postings are read once, without a shuffle.
+    postings are read once, without a shuffle. For a short query the words
+    also go into the scan as a filter: postings files are sorted by term, so
+    parquet row-group statistics skip most of every file.
     """
-    return index.postings.join(maybe_broadcast(qstats, small), "term")
+    postings = index.postings
+    if small:
+        words = few_terms(qstats, postings.sparkSession)
+        if words is not None:
+            postings = postings.where(F.col("term").isin(words))
+    return postings.join(maybe_broadcast(qstats, small), "term")
