@@ -105,7 +105,7 @@ def build_index(docs: DataFrame, profile: LanguageProfile, text_cols: Sequence[s
 
     ``keep`` lists document columns carried into ``docs`` (e.g. url, title).
     """
-    dw = doc_words(spread(docs), profile, text_cols, key, keep)
+    dw = doc_words(spread(docs, key), profile, text_cols, key, keep)
     postings = postings_from_words(dw, key)
     doc_table = (dw.where(F.col("n_tokens") > 0)
                    .select(F.col(key).alias("doc_id"), "n_tokens", "n_unique", *keep))

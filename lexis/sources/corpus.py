@@ -5,25 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TEXT_TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
     """Give a scan at least the cluster's parallelism.
 
     Text tables often arrive as few large row groups, so the scan has fewer
     tasks than cores and the per-row tokenizing would run on one core. Only
-    then are rows dealt round-robin; a scan that is already wide (the 100 TB
-    case) is left as it is and no shuffle is added.
+    then are rows redistributed -- hashed on ``key`` when given (deterministic
+    on retry without the sort a round-robin exchange needs); a scan that is
+    already wide (the 100 TB case) is left as it is and no shuffle is added.
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
+        return df.repartition(want, key) if key else df.repartition(want)
     return df
 
 
