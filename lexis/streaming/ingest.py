@@ -2,37 +2,58 @@
 
 New documents arrive as a stream (files landing in a folder, a table, a
 queue); each micro-batch is tokenized and its postings and document rows are
-appended to the stored index with insert-or-ignore semantics, so a replayed
-batch (after a failure, from the checkpoint) adds nothing twice. The
+written to the stored index under the batch's epoch, with insert-or-ignore
+semantics per document, so a replayed batch (after a failure, from the
+checkpoint, or the whole stream again) stores nothing twice. The
 dictionary and corpus statistics are derived from the stored postings by
 ``refresh_dictionary`` when a consistent snapshot is wanted.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lexis.operators.index import Index, corpus_from_docs, load_index, postings_from_words, \
-    terms_from_postings
+from pyspark.sql.utils import AnalysisException
+
+from lexis.operators.index import Index, corpus_from_docs, postings_from_words, terms_from_postings
 from lexis.operators.tokens import doc_words
 from lexis.profile import LanguageProfile
-from lexis.sources.tables import append_new
 
 
 def index_batch(spark: SparkSession, batch: DataFrame, index_path: str, profile: LanguageProfile,
-                text_cols: Sequence[str] = ("text",), key: str = "doc_id") -> None:
-    """Add one batch of documents to the stored postings and document table."""
-    dw = doc_words(batch, profile, text_cols, key).persist()
+                text_cols: Sequence[str] = ("text",), key: str = "doc_id",
+                batch_id: str = "0") -> None:
+    """Add one batch of documents to the stored postings and document table.
+
+    Output goes to the batch's own ``batch=`` partition (stream run + epoch),
+    overwritten as a whole, so a replayed batch rewrites exactly what it
+    wrote before and never touches another batch's output. Documents already
+    stored by another batch are skipped (insert-or-ignore); that test reads
+    only the stored document ids -- one row per document -- not the postings.
+    """
+    docs_path = f"{index_path}/docs"
+    new = batch.dropDuplicates([key])
+    try:
+        seen = (spark.read.parquet(docs_path).where(F.col("batch") != F.lit(batch_id))
+                     .select(F.col("doc_id").alias(key)))
+        new = new.join(seen, key, "left_anti")
+    except AnalysisException:
+        pass  # nothing stored yet
+    dw = doc_words(new, profile, text_cols, key).persist()
     try:
         postings = postings_from_words(dw, key)
         docs = dw.where(F.col("n_tokens") > 0).select(F.col(key).alias("doc_id"), "n_tokens",
                                                       "n_unique")
-        append_new(spark, postings, f"{index_path}/postings", ["term", "doc_id"])
-        append_new(spark, docs, f"{index_path}/docs", ["doc_id"])
+        postings.write.mode("overwrite").parquet(f"{index_path}/postings/batch={batch_id}")
+        # Documents with no token are recorded too, so they are not retried.
+        ids = dw.select(F.col(key).alias("doc_id")).join(docs, "doc_id", "left").fillna(
+            0, ["n_tokens", "n_unique"])
+        ids.write.mode("overwrite").parquet(f"{docs_path}/batch={batch_id}")
     finally:
         dw.unpersist()
 
@@ -46,9 +67,12 @@ def start_ingest(docs_stream: DataFrame, index_path: str, checkpoint: str,
     backfill); otherwise the query keeps running on its default trigger.
     """
     spark = docs_stream.sparkSession
+    # Epoch ids restart with a new checkpoint: the run id keeps two runs'
+    # batches apart; it is stable across restarts of the same checkpoint.
+    run = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        index_batch(spark, batch, index_path, profile, text_cols, key)
+        index_batch(spark, batch, index_path, profile, text_cols, key, f"{run}-{epoch_id}")
 
     w = docs_stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if available_now:
@@ -58,10 +82,12 @@ def start_ingest(docs_stream: DataFrame, index_path: str, checkpoint: str,
 
 def refresh_dictionary(spark: SparkSession, index_path: str) -> Index:
     """Recompute ``terms`` and ``corpus`` from the stored postings and
-    documents, and return the whole index."""
-    postings = spark.read.parquet(f"{index_path}/postings")
+    documents (all epochs), and return the whole index."""
+    postings = spark.read.parquet(f"{index_path}/postings").drop("batch")
     terms_from_postings(postings).sortWithinPartitions("term").write.mode("overwrite") \
         .parquet(f"{index_path}/terms")
-    docs = spark.read.parquet(f"{index_path}/docs")
+    docs = spark.read.parquet(f"{index_path}/docs").drop("batch")
     corpus_from_docs(docs).coalesce(1).write.mode("overwrite").parquet(f"{index_path}/corpus")
-    return load_index(spark, index_path)
+    return Index(postings=postings, terms=spark.read.parquet(f"{index_path}/terms"),
+                 docs=docs.where(F.col("n_tokens") > 0),
+                 corpus=spark.read.parquet(f"{index_path}/corpus"))

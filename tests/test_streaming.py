@@ -25,7 +25,9 @@ def test_stream_ingest_replay_is_idempotent(spark):
 
     ingest("ck1")
     ingest("ck1")          # same checkpoint: nothing new to read
-    ingest("ck2")          # fresh checkpoint: every batch replayed
+    ingest("ck2")          # fresh checkpoint: every batch replayed, nothing stored twice
+    df.where("doc_id = 2").write.mode("append").parquet(f"{src}/part3")   # a repeat arrives
+    ingest("ck2")
     idx = refresh_dictionary(spark, f"{base}/index")
     lazy = build_index(df, LATIN)
     assert rows(idx.postings, "term", "doc_id", "tf") == rows(lazy.postings, "term", "doc_id", "tf")
