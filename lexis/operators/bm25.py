@@ -31,7 +31,7 @@ def bm25_scores(index: Index, qterms: DataFrame, k1: float = BM25_K1, b: float =
     small = is_small(qterms)
     q = bm25_idf_table(index, qterms, n_docs, small).select("query_id", "term", "qtf", "idf",
                                                            "avg_unique")
-    hits = candidate_postings(index, q, small)
+    hits = candidate_postings(index, q, small, qterms)
     length = F.col("n_unique").cast("double")
     tf = F.lit(1.0) / length
     part = F.col("qtf") * bm25_term(F.col("idf"), tf, length, F.col("avg_unique"), k1, b)

@@ -21,7 +21,7 @@ def boolean_search(index: Index, qterms: DataFrame) -> DataFrame:
     """
     small = is_small(qterms)
     q = qterms.select("query_id", "term", "n_terms")
-    hits = candidate_postings(index, q, small)
+    hits = candidate_postings(index, q, small, qterms)
     matched = hits.groupBy("query_id", "doc_id", "n_terms").agg(F.count(F.lit(1)).alias("m"))
     return matched.where(F.col("m") == F.col("n_terms")).select("query_id", "doc_id")
 
@@ -30,7 +30,7 @@ def term_lookup(index: Index, qterms: DataFrame) -> DataFrame:
     """Postings of each query word: (query_id, term, doc_id). One equality
     lookup per word, batched into a single broadcast join."""
     small = is_small(qterms)
-    return candidate_postings(index, qterms.select("query_id", "term"), small).select(
+    return candidate_postings(index, qterms.select("query_id", "term"), small, qterms).select(
         "query_id", "term", "doc_id")
 
 

@@ -57,7 +57,7 @@ def query_matrix(index: Index, qterms: DataFrame, small: bool | None = None) ->
     known = with_term_stats(index, qterms, None, small).select("query_id", "term", "df", "n_docs")
     cols = known.withColumn("ti", (F.row_number().over(
         Window.partitionBy("query_id").orderBy("term")) - 1).cast("int"))
-    hits = candidate_postings(index, cols, small)
+    hits = candidate_postings(index, cols, small, qterms)
     w = tf_idf(F.col("tf"), F.col("n_tokens"), F.col("df"), F.col("n_docs"))
     return hits.select("query_id", "doc_id", "ti", "term", w.alias("w"))
 

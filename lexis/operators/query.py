@@ -46,7 +46,8 @@ def few_terms(qstats: DataFrame, spark) -> list[str] | None:
     return [r.term for r in words] if len(words) <= limit else None
 
 
-def candidate_postings(index: Index, qstats: DataFrame, small: bool = True) -> DataFrame:
+def candidate_postings(index: Index, qstats: DataFrame, small: bool = True,
+                       qterms: DataFrame | None = None) -> DataFrame:
     """Postings of the query terms, one row per (query, term, document).
 
     ``qstats`` has at most one row per (query, term) of the batch (bounded by
@@ -57,7 +58,8 @@ def candidate_postings(index: Index, qstats: DataFrame, small: bool = True) -> D
     """
     postings = index.postings
     if small:
-        words = few_terms(qstats, postings.sparkSession)
+        # The parsed batch (no dictionary join) is enough to list its words.
+        words = few_terms(qterms if qterms is not None else qstats, postings.sparkSession)
         if words is not None:
             postings = postings.where(F.col("term").isin(words))
     return postings.join(maybe_broadcast(qstats, small), "term")

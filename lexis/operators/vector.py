@@ -38,7 +38,7 @@ def query_weighted_postings(index: Index, qterms: DataFrame, n_docs: int | None
     n_index = corpus_stats(index).select(F.col("n_docs").alias("n_index"))
     q = q.crossJoin(n_index)
     hits = candidate_postings(index, q.select("query_id", "term", "qtf", "idf", "df", "n_index"),
-                              small)
+                              small, qterms)
     w = tf_idf(F.col("tf"), F.col("n_tokens"), F.col("df"), F.col("n_index"))
     return hits.select("query_id", "term", "doc_id", "qtf", "idf", w.alias("w"))
 

@@ -134,3 +134,23 @@ def test_bucketed_index_scores_without_shuffling_candidates(spark, idx):
     head = plan.split("HashAggregate")[0]
     assert "Exchange hashpartitioning(query_id" in head
     assert "Bucketed: true" in plan
+
+
+def test_fixed_query_side_n(spark, idx):
+    """n_docs=30 reproduces the constant N of the ranking being matched on the
+    query side only; document weights keep the index's own N."""
+    qs = q(spark, "banana apple")
+    bm = {r.doc_id: r.score for r in bm25_search(idx, qs, n_docs=30).collect()}
+
+    def part(t, d, n):
+        idf = max(0.0, math.log((n - DF[t] + 0.5) / (DF[t] + 0.5)))
+        tf = 1 / UNIQUE[d]
+        return idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * UNIQUE[d] / 2.0))
+    assert bm == pytest.approx({1: part("banana", 1, 30) + part("apple", 1, 30),
+                                2: part("banana", 2, 30)}, abs=1e-9)
+    cs = {r.doc_id: r.score for r in cosine_search(idx, qs, n_docs=30).collect()}
+    idf = {t: math.log(30 / DF[t]) for t in ("banana", "apple")}
+    q2 = sum(v * v for v in idf.values())
+    dot1 = idf["banana"] * w(1, "banana") + idf["apple"] * w(1, "apple")
+    d21 = w(1, "banana") ** 2 + w(1, "apple") ** 2
+    assert cs[1] == pytest.approx(dot1 / (math.sqrt(q2) * math.sqrt(d21)), abs=1e-9)
