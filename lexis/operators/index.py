@@ -7,7 +7,7 @@ Layout (all plain DataFrames, stored as parquet by ``save_index``):
   so ranking never joins the (corpus-sized) document table.
 * ``terms``    (term, term_id, df) -- term_id = md5(term): stable across runs.
 * ``docs``     (doc_id, n_tokens, n_unique [, extra columns]) -- documents
-  with at least one kept token.
+  with at least one kept token once saved.
 * ``corpus``   one row: n_docs, n_tokens, n_postings, avg_unique, avg_tokens.
 
 Postings stay rows on every scoring path: a stop-like term is millions of
@@ -55,14 +55,19 @@ def postings_from_words(dw: DataFrame, key: str = "doc_id") -> DataFrame:
     run of equal words starts, and the gap to the next start is the count.
     Each step is its own projection so every array is computed once.
     """
-    s = dw.where(F.col("n_tokens") > 0).select(F.col(key).alias("doc_id"), "n_tokens", "n_unique",
-                                                F.sort_array("words").alias("s"))
+    # No row filter here: a filter on a column derived from ``words`` would be
+    # pushed below the tokenizer's projection and run the tokenizer twice.
+    # Empty documents simply yield empty arrays.
+    s = dw.select(F.col(key).alias("doc_id"), "n_tokens", "n_unique",
+                  F.sort_array("words").alias("s"))
     idx = F.sequence(F.lit(1), F.greatest(F.size("s"), F.lit(1)))
+    empty = F.array().cast("array<int>")
     s = s.withColumn("starts", F.when(F.size("s") > 0, F.filter(
         idx, lambda i: (i == 1) | (F.try_element_at("s", i) != F.try_element_at("s", i - 1)))
-    ).otherwise(F.array().cast("array<int>")))
-    s = s.withColumn("ends", F.concat(F.slice("starts", 2, F.size("starts")),
-                                      F.array((F.size("s") + 1).cast("int"))))
+    ).otherwise(empty))
+    s = s.withColumn("ends", F.when(F.size("starts") > 0, F.concat(
+        F.slice("starts", 2, F.size("starts")), F.array((F.size("s") + 1).cast("int"))))
+        .otherwise(empty))
     p = s.select("doc_id", "n_tokens", "n_unique", "s",
                  F.posexplode(F.arrays_zip("starts", "ends")).alias("j", "r"))
     return p.select(F.element_at("s", F.col("r.starts")).alias("term"), "doc_id",
@@ -90,13 +95,17 @@ def docs_from_postings(postings: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def corpus_from_docs(docs: DataFrame) -> DataFrame:
-    """One-row corpus statistics over documents with at least one token."""
-    d = docs.where(F.col("n_tokens") > 0)
-    return d.agg(F.count(F.lit(1)).alias("n_docs"),
-                 F.coalesce(F.sum("n_tokens"), F.lit(0)).cast("long").alias("n_tokens"),
-                 F.coalesce(F.sum("n_unique"), F.lit(0)).cast("long").alias("n_postings"),
-                 F.coalesce(F.avg("n_unique"), F.lit(0.0)).alias("avg_unique"),
-                 F.coalesce(F.avg("n_tokens"), F.lit(0.0)).alias("avg_tokens"))
+    """One-row corpus statistics over documents with at least one token.
+
+    Conditional aggregates rather than a row filter: a filter on n_tokens
+    would be pushed below the tokenizer and run it twice.
+    """
+    has = F.col("n_tokens") > 0
+    return docs.agg(F.count(F.when(has, 1)).alias("n_docs"),
+                    F.coalesce(F.sum("n_tokens"), F.lit(0)).cast("long").alias("n_tokens"),
+                    F.coalesce(F.sum("n_unique"), F.lit(0)).cast("long").alias("n_postings"),
+                    F.coalesce(F.avg(F.when(has, F.col("n_unique"))), F.lit(0.0)).alias("avg_unique"),
+                    F.coalesce(F.avg(F.when(has, F.col("n_tokens"))), F.lit(0.0)).alias("avg_tokens"))
 
 
 def build_index(docs: DataFrame, profile: LanguageProfile, text_cols: Sequence[str] = ("text",),
@@ -107,8 +116,9 @@ def build_index(docs: DataFrame, profile: LanguageProfile, text_cols: Sequence[s
     """
     dw = doc_words(spread(docs, key), profile, text_cols, key, keep)
     postings = postings_from_words(dw, key)
-    doc_table = (dw.where(F.col("n_tokens") > 0)
-                   .select(F.col(key).alias("doc_id"), "n_tokens", "n_unique", *keep))
+    # Lazy ``docs`` keeps documents without tokens (n_tokens = 0); the stored
+    # table (rebuilt from postings by save_index) holds only the others.
+    doc_table = dw.select(F.col(key).alias("doc_id"), "n_tokens", "n_unique", *keep)
     return Index(postings=postings, terms=terms_from_postings(postings),
                  docs=doc_table, corpus=corpus_from_docs(doc_table))
 

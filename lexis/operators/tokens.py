@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from lexis.functions.text import field_words
 from lexis.profile import LanguageProfile
+from lexis.sources.corpus import spread
 
 
 def doc_words(docs: DataFrame, profile: LanguageProfile, text_cols: Sequence[str] = ("text",),
@@ -28,9 +29,15 @@ def doc_words(docs: DataFrame, profile: LanguageProfile, text_cols: Sequence[str
 
 def tokens(docs: DataFrame, profile: LanguageProfile, text_cols: Sequence[str] = ("text",),
            key: str = "doc_id") -> DataFrame:
-    """One row per kept token: (key, pos, term); pos counts kept tokens from 0."""
-    dw = doc_words(docs, profile, text_cols, key)
-    return dw.select(key, F.posexplode("words").alias("pos", "term"))
+    """One row per kept token: (key, pos, term); pos counts kept tokens from 0.
+
+    ``posexplode_outer`` plus a filter on its output: a plain ``posexplode``
+    makes the optimizer infer ``size(words) > 0`` and push it below the
+    projection, which would run the tokenizer twice per document.
+    """
+    dw = doc_words(spread(docs, key), profile, text_cols, key)
+    return (dw.select(key, F.posexplode_outer("words").alias("pos", "term"))
+              .where(F.col("term").isNotNull()))
 
 
 def parse_queries(queries: DataFrame, profile: LanguageProfile, key: str = "query_id",

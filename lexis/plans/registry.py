@@ -86,13 +86,13 @@ def q_postings_distinct(spark, sf_dir):
 @register("doc_length", O.with_ctes(IDX) + "\nSELECT doc_id, n_tokens FROM d")
 def q_doc_length(spark, sf_dir):
     """A2: kept tokens per document (documents with at least one)."""
-    return doc_index(spark, sf_dir).docs.select("doc_id", "n_tokens")
+    return doc_index(spark, sf_dir).docs.where("n_tokens > 0").select("doc_id", "n_tokens")
 
 
 @register("doc_unique_terms", O.with_ctes(IDX) + "\nSELECT doc_id, n_unique FROM d")
 def q_doc_unique_terms(spark, sf_dir):
     """Distinct terms per document (the BM25 length)."""
-    return doc_index(spark, sf_dir).docs.select("doc_id", "n_unique")
+    return doc_index(spark, sf_dir).docs.where("n_tokens > 0").select("doc_id", "n_unique")
 
 
 @register("doc_frequency", O.with_ctes(IDX) + "\nSELECT term, df FROM terms")
