@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexis.functions.html import Sel, clean, inner_all, inner_first, links, paragraphs, text
+from lexis.sources.corpus import spread
 
 # Links taken per listing page.
 LINKS_PER_PAGE = 30
@@ -63,7 +64,7 @@ def extract_links(pages: DataFrame, spec: LinkSpec = FIXTURE_LINKS) -> DataFrame
     html = clean(F.col("html"))
     per_container = F.transform(inner_all(html, spec.container), lambda c: links(c, spec.link))
     found = F.slice(F.flatten(per_container), 1, spec.limit)
-    rows = pages.select("page_id", "url", F.posexplode(found).alias("pos", "a"))
+    rows = spread(pages, "page_id").select("page_id", "url", F.posexplode(found).alias("pos", "a"))
     inner = F.col("a.inner")
     own = text(inner)
     title = own if spec.title is None else F.coalesce(
@@ -90,8 +91,8 @@ def extract_articles(pages: DataFrame, spec: ArticleSpec = FIXTURE_ARTICLE,
     else:
         keywords = F.lit("")
     title = text(inner_first(html, spec.title)) if spec.title is not None else F.lit(None).cast("string")
-    out = pages.select("page_id", "url", title.alias("title"), content.alias("content"),
-                       keywords.alias("keywords"))
+    out = spread(pages, "page_id").select("page_id", "url", title.alias("title"),
+                                          content.alias("content"), keywords.alias("keywords"))
     if titles is not None:
         # One title per url; AQE turns this into a broadcast join at run
         # time when the listing side proves small.
