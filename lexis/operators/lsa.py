@@ -46,7 +46,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LSA_RCOND = 1e-6
 
 GRAM_SCHEMA = "query_id long, i int, j int, g double"
-FACTOR_SCHEMA = "query_id long, ti int, comp int, f double, s double"
 
 
 def query_matrix(index: Index, qterms: DataFrame, small: bool | None = None) -> DataFrame:
@@ -141,6 +140,11 @@ def gram_matrices(entries: DataFrame) -> DataFrame:
     return partial.groupBy("query_id", "i", "j").agg(F.sum("g").alias("g"))
 
 
+def factor_schema(k: int) -> str:
+    return ("query_id long, ti int, " + ", ".join(f"f{c} double" for c in range(k)) + ", "
+            + ", ".join(f"q{c} double" for c in range(k)))
+
+
 def _factors(k: int, rcond: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         qid = int(pdf["query_id"].iloc[0])
@@ -153,42 +157,45 @@ def _factors(k: int, rcond: float):
         lam, vec = lam[order], vec[:, order]
         s = np.sqrt(np.clip(lam, 0.0, None))
         keep = [c for c in range(min(k, t)) if s[c] > 0 and s[c] >= rcond * s[0]]
-        rows = [(qid, ti, c, vec[ti, c] / s[c], s[c]) for c in keep for ti in range(t)]
-        return pd.DataFrame(rows, columns=["query_id", "ti", "comp", "f", "s"])
+        f = np.zeros((t, k))
+        f[:, :len(keep)] = vec[:, keep] / s[keep]
+        qv = f.sum(axis=0)              # q = 1 on every known query word
+        out = {"query_id": np.full(t, qid, dtype=np.int64), "ti": np.arange(t, dtype=np.int32)}
+        out.update({f"f{c}": f[:, c] for c in range(k)})
+        out.update({f"q{c}": np.full(t, qv[c]) for c in range(k)})
+        return pd.DataFrame(out)
     return run
 
 
 def factor_table(gram: DataFrame, k: int = LSA_RANK, rcond: float = LSA_RCOND) -> DataFrame:
-    """(query_id, ti, comp, f, s): f = V[ti, comp] / s_comp for the k' <= k
-    largest non-zero singular values. One small group per query."""
-    return gram.groupBy("query_id").applyInPandas(_factors(k, rcond), FACTOR_SCHEMA)
+    """(query_id, ti, f0..f{k-1}, q0..q{k-1}): f_c = V[ti, c] / s_c for the
+    k' <= k largest non-zero singular values (zeros past k'), and the folded
+    query q . V_k . S_k^-1 repeated on each row. One small group per query."""
+    return gram.groupBy("query_id").applyInPandas(_factors(k, rcond), factor_schema(k))
 
 
 def lsa_scores(index: Index, qterms: DataFrame, k: int = LSA_RANK, metric: str = "reference",
                rcond: float = LSA_RCOND) -> DataFrame:
     """(query_id, doc_id, score) for every candidate document.
 
-    The factor table is pivoted to one column per component (k is fixed when
-    the plan is built), so projecting a document is one aggregation of its
-    entries -- k sums side by side -- with no k-fold copy of the candidates.
-    Both factor-derived tables hold at most (query words) rows per query.
+    The factor table has one column per component (k is fixed when the plan
+    is built) and carries the folded query, so projecting a document is one
+    aggregation of its entries -- k sums side by side, no k-fold copy of the
+    candidates -- and the factor table is consumed once (computing it twice
+    would redo the Gram pass). It holds one row per (query, query word).
     """
     small = is_small(qterms)
     a = query_matrix(index, qterms, small)
     factors = factor_table(gram_matrices(a), k, rcond)
     comps = list(range(k))
-    wide = (factors.groupBy("query_id", "ti").pivot("comp", comps).agg(F.first("f"))
-                   .select("query_id", "ti", *[F.coalesce(F.col(str(c)), F.lit(0.0)).alias(f"f{c}")
-                                                for c in comps]))
-    qv = wide.groupBy("query_id").agg(*[F.sum(f"f{c}").alias(f"q{c}") for c in comps])
-    proj = (a.join(maybe_broadcast(wide, small), ["query_id", "ti"])
+    proj = (a.join(maybe_broadcast(factors, small), ["query_id", "ti"])
              .groupBy("query_id", "doc_id")
-             .agg(*[F.sum(F.col("w") * F.col(f"f{c}")).alias(f"d{c}") for c in comps]))
-    s2 = proj.join(maybe_broadcast(qv, small), "query_id")
+             .agg(*[F.sum(F.col("w") * F.col(f"f{c}")).alias(f"d{c}") for c in comps],
+                  *[F.max(f"q{c}").alias(f"q{c}") for c in comps]))
     dot = sum((F.col(f"q{c}") * F.col(f"d{c}") for c in comps), F.lit(0.0))
     q2 = sum((F.col(f"q{c}") * F.col(f"q{c}") for c in comps), F.lit(0.0))
     d2 = sum((F.col(f"d{c}") * F.col(f"d{c}") for c in comps), F.lit(0.0))
-    return s2.select("query_id", "doc_id", cosine(dot, q2, d2, metric).alias("score"))
+    return proj.select("query_id", "doc_id", cosine(dot, q2, d2, metric).alias("score"))
 
 
 def lsa_search(index: Index, qterms: DataFrame, k_results: int = TOP_K, rank: int = LSA_RANK,
