@@ -22,3 +22,14 @@ def top_k(scores: DataFrame, k: int = TOP_K, group: str = "query_id", score: str
     s = scores.withColumn(score, report(F.col(score)))
     w = Window.partitionBy(group).orderBy(F.col(score).desc(), F.col(tie).asc())
     return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def with_doc_columns(results: DataFrame, docs: DataFrame, cols=("url",)) -> DataFrame:
+    """Add document columns (e.g. url, title) to ranked rows.
+
+    Ranked rows number at most queries x k, a bound the caller's batch
+    already proves, so they are the broadcast side and the (corpus-sized)
+    document table is only streamed.
+    """
+    d = docs.select("doc_id", *cols)
+    return d.join(F.broadcast(results), "doc_id").select(*results.columns, *cols)

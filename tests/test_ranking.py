@@ -154,3 +154,12 @@ def test_fixed_query_side_n(spark, idx):
     dot1 = idf["banana"] * w(1, "banana") + idf["apple"] * w(1, "apple")
     d21 = w(1, "banana") ** 2 + w(1, "apple") ** 2
     assert cs[1] == pytest.approx(dot1 / (math.sqrt(q2) * math.sqrt(d21)), abs=1e-9)
+
+
+def test_urls_attached_to_top_k(spark):
+    from lexis.operators.topk import with_doc_columns
+    docs = spark.createDataFrame([(1, "x y", "u1"), (2, "x", "u2"), (3, "z", "u3")],
+                                 "doc_id long, text string, url string")
+    i = build_index(docs, LATIN, keep=("url",))
+    res = with_doc_columns(bm25_search(i, q(spark, "x")), i.docs)
+    assert rows(res, "doc_id", "url") == [(1, "u1"), (2, "u2")]
