@@ -56,3 +56,16 @@ def query_plan(index: Index, qterms: DataFrame) -> DataFrame:
     w = Window.partitionBy("query_id").orderBy("df", "term")
     return with_df.withColumn("plan_order", F.row_number().over(w)).select(
         "query_id", "term", "df", "plan_order")
+
+
+def unknown_terms(index: Index, qterms: DataFrame) -> DataFrame:
+    """Query words missing from the dictionary: (query_id, term).
+
+    They contribute nothing to a ranked search and empty a Boolean one; this
+    lists them. Both joins keep the query side as the broadcast side: known
+    words first (dictionary streamed), then the rest of the batch.
+    """
+    small = is_small(qterms)
+    q = qterms.select("query_id", "term")
+    known = index.terms.select("term").join(maybe_broadcast(q, small), "term")
+    return q.join(maybe_broadcast(known, small), ["query_id", "term"], "left_anti")

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from lexis.functions.scoring import SCORE_DIGITS, report
 from lexis.operators.bm25 import bm25_idf_table, bm25_search
-from lexis.operators.boolean import boolean_search, intersect_keep_left, query_plan, term_lookup
+from lexis.operators.boolean import (boolean_search, intersect_keep_left, query_plan, term_lookup,
+                                     unknown_terms)
 from lexis.operators.index import (Index, build_index, posting_blocks, term_doc_rows,
                                    weighted_postings)
 from lexis.operators.lsa import lsa_search
@@ -475,3 +476,10 @@ def q_conversation_bm25(spark, sf_dir):
     """BM25 over a second corpus: one document per conversation turn."""
     idx = build_index(conversation_turns(spark, sf_dir), LATIN)
     return bm25_search(idx, bench_terms(spark, sf_dir))
+
+
+@register("unknown_query_terms", O.with_ctes(IDX, QRY) + """
+SELECT query_id, term FROM qt WHERE term NOT IN (SELECT term FROM terms)""")
+def q_unknown_query_terms(spark, sf_dir):
+    """Q17: the words of each passage that no document contains."""
+    return unknown_terms(doc_index(spark, sf_dir), bench_terms(spark, sf_dir))

@@ -163,3 +163,8 @@ def test_urls_attached_to_top_k(spark):
     i = build_index(docs, LATIN, keep=("url",))
     res = with_doc_columns(bm25_search(i, q(spark, "x")), i.docs)
     assert rows(res, "doc_id", "url") == [(1, "u1"), (2, "u2")]
+
+
+def test_unknown_terms_listed(spark, idx):
+    from lexis.operators.boolean import unknown_terms
+    assert rows(unknown_terms(idx, q(spark, "banana zzz yyy", "apple"))) == [(0, "yyy"), (0, "zzz")]
