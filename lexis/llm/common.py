@@ -79,6 +79,28 @@ def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20,
         lo = hi
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, text_hash): each row as one struct beside its key, so
+    that no column of the input can clash with a column of the operator."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col("doc_id").cast("long").alias("doc_id"),
+                       F.xxhash64("text").alias("text_hash"))
+
+
+def matched(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """``rows`` joined to ``found`` on (doc_id, text_hash), nulls equal.
+    ``found`` has a row for a key at most; its key columns are dropped."""
+    keys = {"doc_id": "found_doc_id", "text_hash": "found_text_hash"}
+    same = [F.col(k).eqNullSafe(F.col(v)) for k, v in keys.items()]
+    return rows.join(found.withColumnsRenamed(keys), same, how).drop(*keys.values())
+
+
+def replace_text(rows: DataFrame, text: Column, *more: Column) -> DataFrame:
+    """The structs' columns with ``text`` replaced, then ``more``."""
+    names = rows.schema["row"].dataType.names
+    return rows.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in names], *more)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

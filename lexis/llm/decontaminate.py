@@ -23,7 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexis.llm.common import BROADCAST_BYTES, ascii_lower, broadcast_if_small, saved
+from lexis.llm.common import (BROADCAST_BYTES, ascii_lower, broadcast_if_small, matched,
+                              replace_text, saved, whole_rows)
 
 WINDOW = 13
 #: A document is contaminated when 1 / MIN_SHARE of its words or more are hit.
@@ -162,40 +163,34 @@ def judge(scanned: DataFrame, min_share: int = MIN_SHARE) -> DataFrame:
                           & (F.col("n_hit") * min_share >= F.col("n_words")))
 
 
-def _matched(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-    r = rows.withColumnsRenamed({"doc_id": "_doc_id", "text_hash": "_text_hash"})
-    same = [F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")),
-            F.col("_hash") == F.col("_text_hash")]
-    return docs.withColumn("_hash", F.xxhash64("text")).join(r, same, how)
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """One row for each document: doc_id, n_words, n_hit, n_items,
     items_sha256, contaminated."""
     found = judge(scan(docs, benchmark, **options))
-    return _matched(docs.select("doc_id", "text"), found, "inner").select(
-        F.col("doc_id").cast("long").alias("doc_id"), "n_words", "n_hit", "n_items",
-        "items_sha256", "contaminated")
+    rows = whole_rows(docs.select("doc_id", "text")).select("doc_id", "text_hash")
+    return matched(rows, found, "inner").select("doc_id", "n_words", "n_hit", "n_items",
+                                                "items_sha256", "contaminated")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, as they are."""
     found = judge(scan(docs, benchmark, **options)).where("contaminated")
     bad = saved(found.select("doc_id", "text_hash"), "contaminated")
-    return _matched(docs, broadcast_if_small(bad, 32), "left_anti").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    return matched(whole_rows(docs), broadcast_if_small(bad, 32), "left_anti").select("row.*")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` with the hit words cut out of ``text``; separators stay."""
     found = judge(scan(docs, benchmark, **options)).where("n_hit > 0").select(
         "doc_id", "text_hash", "spans")
-    joined = _matched(docs, found, "left")
+    joined = matched(whole_rows(docs), found, "left").withColumn("text", F.col("row.text"))
     parts = F.regexp_extract_all("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|" + SEPARATOR),
                                  F.lit(0))
     lead = F.col("text").rlike("^" + SEPARATOR).cast("int")   # words are every other part
-    cut = F.array_join(F.transform(parts, lambda x, i: F.when(
-        ((i + lead) % 2 == 0) & F.exists("spans", lambda s: (((i - lead) / 2 + 1) >= s["from"])
-                                         & (((i - lead) / 2 + 1) <= s["to"])), F.lit("")).otherwise(x)), "")
-    return joined.withColumn("text", F.when(F.col("spans").isNotNull(), cut).otherwise(F.col("text"))
-                             ).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+    def hit(i: Column) -> Column:
+        word = F.floor((i - lead) / 2) + 1
+        return ((i + lead) % 2 == 0) & F.exists("spans", lambda s: word.between(s["from"], s["to"]))
+
+    cut = F.array_join(F.transform(parts, lambda x, i: F.when(hit(i), F.lit("")).otherwise(x)), "")
+    return replace_text(joined, F.when(F.col("spans").isNotNull(), cut).otherwise(F.col("text")))

@@ -203,11 +203,10 @@ def mix_table(docs: DataFrame, **options) -> DataFrame:
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents: each row as often as it is taken."""
     c = copies(docs.select("doc_id", "source", "text"), **options)
-    c = c.select(*[F.col(k).alias(f"_{k}") for k in _KEY], F.col("copies").alias("_copies"))
-    keyed = docs.withColumn("_words", word_count("text"))
-    same = [F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")),
-            F.col("source").cast("string").eqNullSafe(F.col("_source")),
-            F.col("_words") == F.col("_size")]
-    taken = keyed.join(c.where("_copies > 0"), same)
-    return (taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-                 .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    c = c.where("copies > 0").select(*[F.col(k).alias(f"c_{k}") for k in _KEY], "copies")
+    rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("row"),
+                       F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("source").cast("string").alias("source"), word_count("text").alias("size"))
+    same = [F.col(k).eqNullSafe(F.col(f"c_{k}")) for k in _KEY]
+    return (rows.join(c, same).select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+                .select("row.*"))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexis.llm.common import ASCII_LOWER, saved, text_slices
+from lexis.llm.common import ASCII_LOWER, matched, saved, text_slices, whole_rows
 from lexis.llm.components import components
 
 SHINGLE = 3
@@ -205,9 +205,6 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
     g = groups(docs, shingle, max_bits, **options)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
     kept = (g.groupBy("root").agg(first.alias("k"))
-             .select(F.col("k.doc_id").alias("_doc_id"), F.col("k.text_hash").alias("_text_hash")))
-    keyed = docs.withColumn("_hash", F.xxhash64("text"))
-    same = [F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")),
-            F.col("_hash") == F.col("_text_hash")]
-    rows = keyed.join(kept, same, "left_semi")
-    return rows.dropDuplicates(["doc_id", "_hash"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+             .select("k.doc_id", "k.text_hash"))
+    rows = matched(whole_rows(docs), kept, "left_semi")
+    return rows.dropDuplicates(["doc_id", "text_hash"]).select("row.*")

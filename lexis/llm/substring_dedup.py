@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexis.llm.common import broadcast_if_small, saved, text_slices
+from lexis.llm.common import (broadcast_if_small, matched, replace_text, saved, text_slices,
+                              whole_rows)
 
 MIN_WORDS = 5
 #: Units cut at line feeds, and after sentence ends within a line.
@@ -103,15 +104,11 @@ def repeated_spans(docs: DataFrame, pattern: re.Pattern = UNIT,
 def remove_repeats(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with the removed stretches cut out of ``text``."""
     spans = (repeated_spans(docs, **options).groupBy("doc_id", "text_hash")
-             .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
-             .withColumnsRenamed({"doc_id": "_doc_id", "text_hash": "_text_hash"}))
-    same = [F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")),
-            F.col("_hash") == F.col("_text_hash")]
-    joined = docs.withColumn("_hash", F.xxhash64("text")).join(spans, same, "left")
+             .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")))
+    joined = matched(whole_rows(docs), spans, "left").withColumn("text", F.col("row.text"))
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("kept"))
-    cut = F.aggregate("_spans", zero, lambda s, x: F.struct(
+    cut = F.aggregate("spans", zero, lambda s, x: F.struct(
         x["end"].alias("at"),
         F.concat(s["kept"], F.substring(F.col("text"), s["at"] + 1, x["start"] - s["at"])).alias("kept")),
         lambda s: F.concat(s["kept"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
-    return joined.withColumn("text", F.when(F.col("_spans").isNotNull(), cut).otherwise(F.col("text"))
-                             ).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return replace_text(joined, F.when(F.col("spans").isNotNull(), cut).otherwise(F.col("text")))

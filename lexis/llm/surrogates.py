@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexis.llm.common import broadcast_if_small, saved
+from lexis.llm.common import broadcast_if_small, matched, replace_text, saved, whole_rows
 
 KEY = "surrogate-key-1"
 
@@ -160,26 +160,22 @@ def entity_table(entities: DataFrame, key: str = KEY) -> DataFrame:
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with every entity in ``text`` replaced, and n_entities."""
     raws = F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))
-    marked = docs.withColumn("_hash", F.xxhash64("text"))
-    found = (marked.where(F.col("text").rlike(PATTERN))
-                   .select(F.col("doc_id").cast("long").alias("_doc_id"), F.col("_hash").alias("_text_hash"),
-                           F.posexplode(raws).alias("at", "raw"))
-                   .dropDuplicates(["_doc_id", "_text_hash", "at"]))
+    rows = whole_rows(docs).withColumn("text", F.col("row.text"))
+    found = (rows.where(F.col("text").rlike(PATTERN))
+                 .select("doc_id", "text_hash", F.posexplode(raws).alias("at", "raw"))
+                 .dropDuplicates(["doc_id", "text_hash", "at"]))
     found = (found.withColumn("kind", entity_type(F.col("raw")))
                   .withColumn("norm", normalised(F.col("raw"), F.col("kind"))))
     found = saved(found, "pii-mentions")
     table = broadcast_if_small(saved(entity_table(found, key), "pii-table"), 160)
     named = found.join(table, ["kind", "norm"]).withColumn(
         "new", laid_out(F.col("raw"), F.col("kind"), F.col("norm"), F.col("sub")))
-    per_doc = named.groupBy("_doc_id", "_text_hash").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("at", "new"))), lambda x: x["new"]).alias("_new"))
+    per_doc = named.groupBy("doc_id", "text_hash").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "new"))), lambda x: x["new"]).alias("new"))
     per_doc = broadcast_if_small(saved(per_doc, "pii-documents"), 512)
-    same = [F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")),
-            F.col("_hash") == F.col("_text_hash")]
-    joined = marked.join(per_doc, same, "left")
+    joined = matched(rows, per_doc, "left")
     gaps = F.split("text", PATTERN)
     text = F.array_join(F.flatten(F.transform(gaps, lambda g, i: F.when(
-        i < F.size("_new"), F.array(g, F.get("_new", i))).otherwise(F.array(g)))), "")
-    return joined.withColumn("text", F.when(F.col("_new").isNotNull(), text).otherwise(F.col("text"))
-                             ).select(*[F.col(f"`{c}`") for c in docs.columns],
-                                      F.coalesce(F.size("_new"), F.lit(0)).alias("n_entities"))
+        i < F.size("new"), F.array(g, F.get("new", i))).otherwise(F.array(g)))), "")
+    return replace_text(joined, F.when(F.col("new").isNotNull(), text).otherwise(F.col("text")),
+                        F.coalesce(F.size("new"), F.lit(0)).alias("n_entities"))
