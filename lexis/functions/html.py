@@ -4,9 +4,10 @@ No HTML parser: pages are handled by regular expressions on the raw string,
 inside the JVM. The patterns are plain strings so the DuckDB check can use
 the very same ones. Supported selectors: a tag name with at most one
 condition -- a class (``div.tagcloud``), an attribute equal to a value
-(``a[rel=tag]``) or starting with a prefix (``a[href^=https://]``).
-Known gaps: nested elements of the same tag as a container, numeric
-character references (left as they are).
+(``a[rel=tag]``) or starting with a prefix (``a[href^=https://]``). Attribute
+values may be in double, single or no quotes; a class is one of the tokens of
+its attribute; containers end where their own close tag is, whatever is
+nested in them; named (the list below) and numeric references are decoded.
 """
 
 from __future__ import annotations
@@ -22,10 +23,14 @@ from pyspark.sql import functions as F
 P_CLOSERS = ("address article aside blockquote details div dl fieldset figcaption figure "
              "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section "
              "table ul").split()
-# Named character references decoded in text; &amp; goes last so that
-# "&amp;lt;" becomes "&lt;" and not "<".
+# Named character references decoded in text; &amp; goes last so that, where
+# they are replaced one after the other, "&amp;lt;" becomes "&lt;" and not "<".
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&amp;", "&"))
+            ("&nbsp;", " "), ("&copy;", "\u00a9"), ("&reg;", "\u00ae"), ("&middot;", "\u00b7"),
+            ("&laquo;", "\u00ab"), ("&raquo;", "\u00bb"), ("&ndash;", "\u2013"),
+            ("&mdash;", "\u2014"), ("&lsquo;", "\u2018"), ("&rsquo;", "\u2019"),
+            ("&ldquo;", "\u201c"), ("&rdquo;", "\u201d"), ("&hellip;", "\u2026"),
+            ("&euro;", "\u20ac"), ("&trade;", "\u2122"), ("&amp;", "&"))
 # Characters folded to one space in element text (no-break space included).
 TEXT_SPACE = r"[ \t\n\f\r\x{A0}]+"
 # ---------------------------------------------------------------------------
@@ -45,16 +50,24 @@ class Sel:
     value: str = ""
 
     def open_tag(self, capture_attr: bool = False) -> str:
-        """Regex for the start tag. With ``capture_attr`` the attribute value
-        is group 1."""
-        cond = ""
+        """Regex for the start tag. With ``capture_attr`` the attribute value,
+        in its quotes if it has any, is group 1."""
         if self.cls:
-            cond = rf'[^>]*\bclass\s*=\s*"[^"]*\b{re.escape(self.cls)}\b[^"]*"'
-        elif self.attr:
-            val = re.escape(self.value) + ("[^\"]*" if self.op == "^=" else "")
-            val = f"({val})" if capture_attr else val
-            cond = rf'[^>]*\b{re.escape(self.attr)}\s*=\s*"{val}"'
-        return rf"<{self.tag}\b{cond}[^>]*>"
+            c = re.escape(self.cls)
+            return (rf"<{self.tag}\b[^>]*?\sclass\s*=\s*(?:"
+                    rf'"(?:[^"]*\s)?{c}(?:\s[^"]*)?"[^>]*|'
+                    rf"'(?:[^']*\s)?{c}(?:\s[^']*)?'[^>]*|{c}(?:\s[^>]*)?)>")
+        if self.attr:
+            v, more = re.escape(self.value), self.op == "^="
+            quoted = (rf'"{v}[^"]*"|\'{v}[^\']*\'|{v}[^\s"\'>]*' if more else
+                      rf'"{v}"|\'{v}\'|{v}')
+            group = f"({quoted})" if capture_attr else f"(?:{quoted})"
+            return rf"<{self.tag}\b[^>]*?\s{re.escape(self.attr)}\s*=\s*{group}(?:[\s/][^>]*)?>"
+        return rf"<{self.tag}\b[^>]*>"
+
+    def boundary(self) -> str:
+        """Regex for any start or end tag of this element's kind."""
+        return rf"(?is)<{self.tag}\b[^>]*>|</{self.tag}\s*>"
 
     def element(self) -> str:
         """Regex for a whole element; inner HTML is the last group."""
@@ -84,23 +97,79 @@ def clean(html: Column) -> Column:
     return F.regexp_replace(F.coalesce(html, F.lit("")), DROP_BLOCKS, "")
 
 
+def _reference(part: Column) -> Column:
+    """One piece of text: a character reference decoded, else as it is.
+    Code points that name no character become U+FFFD."""
+    digits = F.regexp_extract(part, r"^&#([0-9]{1,7});$", 1)
+    hexes = F.regexp_extract(part, r"(?i)^&#x([0-9a-f]{1,6});$", 1)
+    code = F.when(digits != "", digits.cast("int")).when(hexes != "", F.conv(hexes, 16, 10).cast("int"))
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(
+        F.lit("\ufffd"))
+    out = F.when(code.isNotNull(), F.when(code == 0xA0, F.lit(" ")).otherwise(char))
+    for ent, ch in ENTITIES:
+        out = out.when(part == ent, F.lit(ch))
+    return out.otherwise(part)
+
+
+def decoded(s: Column) -> Column:
+    """Character references decoded, each once."""
+    parts = F.regexp_extract_all(s, F.lit(r"(?i)(?s)&(?:#x[0-9a-f]+|#[0-9]+|[a-z]+);|[^&]+|&"), F.lit(0))
+    return F.when(F.contains(s, F.lit("&")), F.array_join(F.transform(parts, _reference), "")).otherwise(s)
+
+
 def text(fragment: Column) -> Column:
-    """Element text: line breaks to spaces, tags off, entities decoded,
+    """Element text: line breaks to spaces, tags off, references decoded,
     whitespace folded and trimmed."""
     t = F.regexp_replace(fragment, BR, " ")
-    t = F.regexp_replace(t, ANY_TAG, "")
-    for ent, ch in ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
+    t = decoded(F.regexp_replace(t, ANY_TAG, ""))
     return F.trim(F.regexp_replace(t, TEXT_SPACE, " "))
 
 
 def inner_all(html: Column, sel: Sel) -> Column:
-    """Inner HTML of every element matching ``sel``, in page order."""
-    return F.regexp_extract_all(html, F.lit(sel.element()), F.lit(1))
+    """Inner HTML of every outermost element matching ``sel``, in page order.
+
+    The page is cut at the tags of the element's kind; a fold over them keeps
+    the depth below the open element and notes where it starts and ends. An
+    element that is never closed ends with the page.
+    """
+    tags = F.regexp_extract_all(html, F.lit(sel.boundary()), F.lit(0))
+    gaps = F.split(html, sel.boundary())
+    opens = rf"(?is)^{sel.open_tag()}$"
+    none = F.array().cast("array<struct<a:int,b:int>>")
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("depth"), F.lit(0).alias("a"), none.alias("r"))
+
+    def step(s, tag):
+        n, depth = s["n"] + 1, s["depth"]
+        close = tag.startswith("</")
+        ends = close & (depth == 1)
+        begins = (depth == 0) & ~close & tag.rlike(opens)
+        return F.struct(
+            n.alias("n"),
+            F.when(depth > 0, F.when(close, depth - 1).otherwise(depth + 1))
+             .when(begins, F.lit(1)).otherwise(F.lit(0)).alias("depth"),
+            F.when(begins, n).otherwise(s["a"]).alias("a"),
+            F.when(ends, F.concat(s["r"], F.array(F.struct(s["a"].alias("a"), n.alias("b")))))
+             .otherwise(s["r"]).alias("r"))
+
+    def finish(s):
+        last = F.array(F.struct(s["a"].alias("a"), (s["n"] + 1).alias("b")))
+        return F.when(s["depth"] > 0, F.concat(s["r"], last)).otherwise(s["r"])
+
+    ranges = F.aggregate(tags, start, step, finish)
+
+    # gap k (from 0) stands after tag k; an element from tag a to tag b holds
+    # gaps a .. b - 1 with the tags between them
+    def inner(r):
+        held = F.slice(gaps, r["a"] + 1, r["b"] - r["a"])
+        between = F.slice(tags, r["a"] + 1, F.greatest(r["b"] - r["a"] - 1, F.lit(0)))
+        return F.array_join(F.zip_with(held, between, lambda g, t: F.concat(g, F.coalesce(t, F.lit("")))), "")
+
+    return F.transform(ranges, inner)
 
 
 def inner_first(html: Column, sel: Sel) -> Column:
-    return F.regexp_extract(html, sel.element(), 1)
+    return F.coalesce(F.get(inner_all(html, sel), F.lit(0)), F.lit(""))
 
 
 def paragraphs(container_inner: Column, tag: str = "p") -> Column:
@@ -119,5 +188,7 @@ def paragraphs(container_inner: Column, tag: str = "p") -> Column:
 def links(html: Column, sel: Sel) -> Column:
     """array<struct<href, inner>> of elements matching ``sel`` (an attribute
     selector), in page order."""
-    return F.arrays_zip(F.regexp_extract_all(html, F.lit(sel.link()), F.lit(1)).alias("href"),
+    raw = F.regexp_extract_all(html, F.lit(sel.link()), F.lit(1))
+    href = F.transform(raw, lambda v: decoded(F.regexp_replace(v, "^[\"']|[\"']$", "")))
+    return F.arrays_zip(href.alias("href"),
                         F.regexp_extract_all(html, F.lit(sel.link()), F.lit(2)).alias("inner"))

@@ -16,10 +16,12 @@ TOP_K = 10          # results per query (vector, BM25, LSA)
 LSA_RANK = 5        # kept singular values
 # ---------------------------------------------------------------------------
 
-# Scores are reported rounded to this many decimals, and ranked on the
-# rounded value with doc_id ascending as tie-break: documents with equal
-# statistics then rank the same whatever order the sums were added in.
+# Scores are reported rounded to this many decimals. They are ranked on this
+# many significant digits, with doc_id ascending as tie-break: documents with
+# equal statistics then rank the same whatever order the sums were added in,
+# and small scores keep their order.
 SCORE_DIGITS = 9
+RANK_DIGITS = 10
 
 
 def safe_div(num: Column, den: Column) -> Column:
@@ -63,5 +65,14 @@ def cosine(dot: Column, q2: Column, d2: Column, metric: str = "cosine") -> Colum
     raise ValueError(f"unknown metric {metric!r}")
 
 
+def ranking(score: Column, digits: int = RANK_DIGITS) -> Column:
+    """The score to ``digits`` significant digits, as a number in the same
+    order: scores of one power of ten are told apart by their rounded
+    mantissa."""
+    exponent = F.floor(F.log10(F.abs(score)))
+    step = F.pow(F.lit(10.0), exponent - (digits - 1))
+    return F.when(F.abs(score) < F.lit(1e-290), F.lit(0.0)).otherwise(F.round(score / step) * step)
+
+
 def report(score: Column) -> Column:
     return F.round(score, SCORE_DIGITS)

@@ -17,6 +17,7 @@ rows spread over many tasks, never one giant array.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -123,59 +124,188 @@ def build_index(docs: DataFrame, profile: LanguageProfile, text_cols: Sequence[s
                  docs=doc_table, corpus=corpus_from_docs(doc_table))
 
 
+def merge_repeated(docs: DataFrame, text_cols: Sequence[str] = ("text",), key: str = "doc_id",
+                   sep: str = "\n") -> DataFrame:
+    """Documents with the texts of repeated keys joined into one row each
+    (in the order of their text). For inputs whose keys are not known to be
+    unique; ``save_index`` refuses repeated keys."""
+    text = [F.array_join(F.sort_array(F.collect_list(c)), sep).alias(c) for c in text_cols]
+    return docs.groupBy(key).agg(*text)
+
+
+def materialize(index: Index, path: str) -> Index:
+    """The index with its postings written once, as plain Parquet under
+    ``path``, and the other tables computed from them: for a plan that reads
+    an index in several places, so the corpus is tokenized once. Searches that
+    outlive the session use ``save_index``.
+    """
+    spark, path = index.sparkSession, path.rstrip("/")
+    index.postings.write.parquet(f"{path}/postings")
+    postings = spark.read.parquet(f"{path}/postings")
+    terms_from_postings(postings).write.parquet(f"{path}/terms")
+    docs = docs_from_postings(postings, index.docs)
+    corpus_from_docs(docs).write.parquet(f"{path}/corpus")
+    return Index(postings=postings, terms=spark.read.parquet(f"{path}/terms"), docs=docs,
+                 corpus=spark.read.parquet(f"{path}/corpus"))
+
+
+# --- the stored index -------------------------------------------------------
+#
+# One layout for every writer, under one folder:
+#   postings/batch=<id>/   bucketed by doc_id, sorted by term inside a bucket
+#   docs/batch=<id>/       doc_id, n_tokens, n_unique [, extra columns]
+#   terms/, corpus/        derived from all batches
+#   layout/                one row: number of buckets, columns of postings
+# A batch is written (or rewritten) as a whole, so a replay stores nothing
+# twice; the first build is the batch "base".
+
+BASE_BATCH = "base"
+#: Bytes of documents a bucket is sized for.
+BUCKET_BYTES = 128 << 20
+MAX_BUCKETS = 100_000
+
+
 def postings_table_name(path: str) -> str:
     """Session-catalog name of the postings table stored at ``path``."""
     return "lexis_postings_" + hashlib.md5(path.rstrip("/").encode()).hexdigest()[:16]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def bucket_count(df: DataFrame) -> int:
+    """Buckets for postings made from ``df``: as many as its bytes ask for
+    (by the planner's statistics), and at least one for each shuffle task."""
+    spark = df.sparkSession
+    least = max(spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:                                # not known
+        return least
+    return min(MAX_BUCKETS, max(least, -(-size // BUCKET_BYTES)))
+
+
+def open_postings(spark: SparkSession, path: str) -> str:
+    """Name of the postings table at ``path``, registered in this session's
+    catalog with the stored columns and buckets, and its batches listed."""
+    name = postings_table_name(path)
+    if not spark.catalog.tableExists(name):
+        n, columns = spark.read.parquet(f"{path}/layout").first()
+        where = f"{path}/postings".replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {name} ({columns}, batch STRING) USING parquet PARTITIONED BY (batch) "
+                  f"CLUSTERED BY (doc_id) SORTED BY (term) INTO {int(n)} BUCKETS LOCATION '{where}'")
+    if path_exists(spark, f"{path}/postings"):
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+    return name
+
+
+def start_index(spark: SparkSession, path: str, postings: DataFrame, buckets: int) -> None:
+    """Write the layout of an index that holds nothing yet."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in postings.schema)
+    layout = spark.createDataFrame([(int(buckets), columns)], "n_buckets int, columns string")
+    layout.coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
+    spark.sql(f"DROP TABLE IF EXISTS {postings_table_name(path)}")
+
+
+def write_postings(spark: SparkSession, path: str, postings: DataFrame, batch: str) -> DataFrame:
+    """Write one batch of postings (replacing what the batch held) and return
+    it read back. One exchange, by doc_id."""
+    name = open_postings(spark, path)
+    n = int(spark.read.parquet(f"{path}/layout").first()[0])
+    # A static partition: only this batch is overwritten. The view belongs to
+    # the frame's own session (a micro-batch has one of its own).
+    session, view = postings.sparkSession, f"postings_{uuid.uuid4().hex}"
+    postings.repartition(n, "doc_id").createOrReplaceTempView(view)
+    try:
+        session.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (batch = '{batch}') SELECT * FROM {view}")
+    finally:
+        session.catalog.dropTempView(view)
+    spark.catalog.refreshTable(name)
+    return spark.table(name).where(F.col("batch") == batch).drop("batch")
+
+
+def stored_docs(spark: SparkSession, path: str) -> DataFrame:
+    """Document rows of all batches, with the batch."""
+    return spark.read.option("mergeSchema", "true").parquet(f"{path}/docs").withColumn(
+        "batch", F.col("batch").cast("string"))
+
+
+def refresh_derived(spark: SparkSession, path: str) -> None:
+    """Rewrite ``terms`` and ``corpus`` from all stored batches."""
+    postings = spark.table(open_postings(spark, path))
+    terms_from_postings(postings).sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/terms")
+    corpus_from_docs(stored_docs(spark, path)).coalesce(1).write.mode("overwrite").parquet(f"{path}/corpus")
+
+
 def save_index(index: Index, path: str, mode: str = "overwrite",
                buckets: int | None = None) -> Index:
     """Write the index under ``path`` and return it read back.
 
-    Postings are stored document-partitioned: a table bucketed by doc_id
-    (``buckets`` files, each sorted by term). Every search aggregates per
-    (query, document), and with this layout that aggregation -- and the top-k
-    that follows -- runs inside each bucket's task with no exchange of
-    candidate rows; the sort by term lets parquet row-group statistics skip
-    most of a file for rare query terms. The other tables are computed from
-    the stored postings, so the corpus is tokenized once.
+    Postings are stored document-partitioned: a table bucketed by doc_id, each
+    bucket sorted by term. Every search aggregates per (query, document), and
+    with this layout that aggregation -- and the top-k that follows -- runs
+    inside each bucket's task with no exchange of candidate rows; the sort by
+    term lets parquet row-group statistics skip most of a file for rare query
+    terms. The other tables are computed from the stored postings, so the
+    corpus is tokenized once.
+
+    ``mode``: "overwrite" replaces the index; "append" adds the documents as a
+    new batch and rewrites the derived tables. Keys that are stored already, or
+    repeat within ``index``, are refused (see ``merge_repeated``).
     """
-    spark = index.sparkSession
-    path = path.rstrip("/")
-    b = int(buckets or max(spark.sparkContext.defaultParallelism,
-                           int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    (index.postings.repartition(b, "doc_id")
-          .write.mode(mode).bucketBy(b, "doc_id").sortBy("term")
-          .option("path", f"{path}/postings").saveAsTable(postings_table_name(path)))
-    spark.catalog.refreshTable(postings_table_name(path))
-    postings = spark.table(postings_table_name(path))
-    terms_from_postings(postings).sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/terms")
-    docs_from_postings(postings, index.docs).write.mode(mode).parquet(f"{path}/docs")
-    docs = spark.read.parquet(f"{path}/docs")
-    (corpus_from_docs(docs).withColumn("n_buckets", F.lit(b)).coalesce(1)
-        .write.mode(mode).parquet(f"{path}/corpus"))
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"mode {mode!r} is not supported")
+    spark, path = index.sparkSession, path.rstrip("/")
+    batch = BASE_BATCH
+    if mode == "append" and path_exists(spark, f"{path}/layout"):
+        batch = uuid.uuid4().hex[:16]
+    else:
+        start_index(spark, path, index.postings, buckets or bucket_count(index.postings))
+        for part in ("postings", "docs"):
+            p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}")
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    postings = write_postings(spark, path, index.postings, batch)
+    docs = docs_from_postings(postings, index.docs)
+    try:
+        docs.write.mode("overwrite").parquet(f"{path}/docs/batch={batch}")
+        refuse_repeated(spark, path, postings, batch)
+    except ValueError:
+        drop_batch(spark, path, batch)
+        raise
+    refresh_derived(spark, path)
     return load_index(spark, path)
 
 
+def refuse_repeated(spark: SparkSession, path: str, postings: DataFrame, batch: str) -> None:
+    """Fail when a key of the batch stands for more than one document."""
+    counts = postings.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("n_unique").alias("u"))
+    twice = counts.where("n <> u").limit(1).collect()
+    if not twice and batch != BASE_BATCH:
+        docs = stored_docs(spark, path)
+        old = docs.where(F.col("batch") != batch).select("doc_id")
+        twice = docs.where(F.col("batch") == batch).join(old, "doc_id", "left_semi").limit(1).collect()
+    if twice:
+        raise ValueError(f"document key {twice[0]['doc_id']!r} is stored or repeats: merge or drop it first")
+
+
+def drop_batch(spark: SparkSession, path: str, batch: str) -> None:
+    """Take one batch out of the index again."""
+    spark.sql(f"ALTER TABLE {open_postings(spark, path)} DROP IF EXISTS PARTITION (batch = '{batch}')")
+    for part in ("postings", "docs"):
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}/batch={batch}")
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def load_index(spark: SparkSession, path: str) -> Index:
-    """Open a stored index; registers its bucketed postings table in this
-    session's catalog when needed (plain parquet also works, unbucketed)."""
+    """Open a stored index, in whatever session or process."""
     path = path.rstrip("/")
-    corpus = spark.read.parquet(f"{path}/corpus")
-    name = postings_table_name(path)
-    if "n_buckets" in corpus.columns and not spark.catalog.tableExists(name):
-        b = corpus.select("n_buckets").first()[0]
-        spark.sql(f"CREATE TABLE {name} USING parquet CLUSTERED BY (doc_id) SORTED BY (term) "
-                  f"INTO {int(b)} BUCKETS LOCATION '{path}/postings'")
-    if spark.catalog.tableExists(name):
-        spark.catalog.refreshTable(name)
-        postings = spark.table(name)
-    else:
-        postings = spark.read.parquet(f"{path}/postings")
-    return Index(postings=postings,
-                 terms=spark.read.parquet(f"{path}/terms"),
-                 docs=spark.read.parquet(f"{path}/docs"),
-                 corpus=corpus)
+    docs = stored_docs(spark, path).where(F.col("n_tokens") > 0).drop("batch")
+    return Index(postings=spark.table(open_postings(spark, path)).drop("batch"),
+                 terms=spark.read.parquet(f"{path}/terms"), docs=docs,
+                 corpus=spark.read.parquet(f"{path}/corpus"))
 
 
 def corpus_stats(index: Index, n_docs: int | None = None) -> DataFrame:
@@ -191,7 +321,8 @@ def posting_blocks(postings: DataFrame, block_size: int = 128) -> DataFrame:
     doc_id div block_size, sorted. A block holds at most ``block_size`` ids
     (ids are unique within a term), so a stop-like term becomes many bounded
     rows instead of one array as long as the corpus."""
-    blk = F.floor(F.col("doc_id") / F.lit(block_size)).cast("long")
+    # whole-number division: as doubles, ids past 2**53 would share blocks
+    blk = F.expr(f"(doc_id - pmod(doc_id, {int(block_size)})) div {int(block_size)}")
     return (postings.groupBy("term", blk.alias("block"))
                     .agg(F.sort_array(F.collect_list("doc_id")).alias("doc_ids")))
 
@@ -227,7 +358,8 @@ def join_term_table(index: Index, rows: DataFrame, table: DataFrame, how: str =
     hot = F.broadcast(hot_terms(index, hot_terms_max))
     hot_rows = rows.join(hot, "term", "left_semi")
     cold_rows = rows.join(hot, "term", "left_anti")
-    hot_table = F.broadcast(table.join(hot, "term", "left_semi"))
+    # one row a term, so at most hot_terms_max rows are broadcast
+    hot_table = F.broadcast(table.join(hot, "term", "left_semi").dropDuplicates(["term"]))
     cold_table = table.join(hot, "term", "left_anti")
     return hot_rows.join(hot_table, "term", how).unionByName(cold_rows.join(cold_table, "term", how))
 

@@ -40,11 +40,17 @@ from pyspark import cloudpickle
 # the package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Singular values below LSA_RCOND * s_max count as zero. The Gram route
-# gives eigenvalues to ~1e-16 * lambda_max, i.e. singular values to
-# ~1e-8 * s_max; a looser cut keeps numerical noise out of S^-1.
+# Singular values below LSA_RCOND * s_max count as zero: a parameter of this
+# implementation, not of the ranking being matched. The Gram route gives
+# eigenvalues to ~1e-16 * lambda_max, i.e. singular values to ~1e-8 * s_max; a
+# looser cut keeps numerical noise out of S^-1.
 LSA_RCOND = 1e-6
 
+# A task holds at most about this many bytes of Gram sums and of one dense
+# block; past it partial sums are sent on and started afresh.
+GRAM_BYTES = 64 << 20
+CELLS_PER_BATCH = 1 << 18
+
 GRAM_SCHEMA = "query_id long, i int, j int, g double"
 
 
@@ -68,12 +74,15 @@ def _gram_block(acc: dict, qid: np.ndarray, doc: np.ndarray, ti: np.ndarray,
         return
     qb = np.flatnonzero(np.diff(qid)) + 1
     for lo, hi in zip(np.r_[0, qb], np.r_[qb, len(qid)]):
-        d = doc[lo:hi]
-        row = np.r_[0, np.cumsum(d[1:] != d[:-1])]        # local document index
+        row = np.r_[0, np.cumsum(doc[lo + 1:hi] != doc[lo:hi - 1])]   # local document index
         t = int(ti[lo:hi].max()) + 1
-        m = np.zeros((int(row[-1]) + 1, t))
-        m[row, ti[lo:hi]] = w[lo:hi]
-        g = m.T @ m
+        step = max(1, GRAM_BYTES // (8 * t))                         # documents in a block
+        g = np.zeros((t, t))
+        for first in range(0, int(row[-1]) + 1, step):
+            a, b = np.searchsorted(row, [first, first + step])
+            m = np.zeros((min(step, int(row[-1]) + 1 - first), t))
+            m[row[a:b] - first, ti[lo + a:lo + b]] = w[lo + a:lo + b]
+            g += m.T @ m
         q = int(qid[lo])
         old = acc.get(q)
         if old is not None:
@@ -85,6 +94,18 @@ def _gram_block(acc: dict, qid: np.ndarray, doc: np.ndarray, ti: np.ndarray,
         acc[q] = g
 
 
+def _cells(acc: dict):
+    """The sums held so far as rows, a bounded number at a time."""
+    for q, g in acc.items():
+        i, j = np.nonzero(np.triu(g))
+        for at in range(0, len(i), CELLS_PER_BATCH):
+            x, y = i[at:at + CELLS_PER_BATCH], j[at:at + CELLS_PER_BATCH]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(x), q, dtype=np.int64)), pa.array(x.astype(np.int32)),
+                 pa.array(y.astype(np.int32)), pa.array(g[x, y])],
+                names=["query_id", "i", "j", "g"])
+
+
 def _partial_gram(batches):
     """Per task: A_q^T A_q summed over this task's documents, per query.
 
@@ -113,14 +134,12 @@ def _partial_gram(batches):
         cut = int(starts[-1])
         _gram_block(acc, *(a[:cut] for a in cur[:4]))
         pend = [a[cut:] for a in cur]
+        if sum(g.nbytes for g in acc.values()) > GRAM_BYTES:
+            yield from _cells(acc)                # the sum over tasks adds them up
+            acc.clear()
     if len(pend[0]):
         _gram_block(acc, *pend[:4])
-    for q, g in acc.items():
-        i, j = np.nonzero(np.triu(g))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(i), q, dtype=np.int64)), pa.array(i.astype(np.int32)),
-             pa.array(j.astype(np.int32)), pa.array(g[i, j])],
-            names=["query_id", "i", "j", "g"])
+    yield from _cells(acc)
 
 
 def gram_matrices(entries: DataFrame) -> DataFrame:
@@ -170,7 +189,10 @@ def _factors(k: int, rcond: float):
 def factor_table(gram: DataFrame, k: int = LSA_RANK, rcond: float = LSA_RCOND) -> DataFrame:
     """(query_id, ti, f0..f{k-1}, q0..q{k-1}): f_c = V[ti, c] / s_c for the
     k' <= k largest non-zero singular values (zeros past k'), and the folded
-    query q . V_k . S_k^-1 repeated on each row. One small group per query."""
+    query q . V_k . S_k^-1 repeated on each row. One small group per query.
+
+    A word whose weights are all zero (it is in every document) has no Gram
+    cell, and need not have a row here: its factors are zero."""
     return gram.groupBy("query_id").applyInPandas(_factors(k, rcond), factor_schema(k))
 
 
@@ -188,10 +210,13 @@ def lsa_scores(index: Index, qterms: DataFrame, k: int = LSA_RANK, metric: str =
     a = query_matrix(index, qterms, small)
     factors = factor_table(gram_matrices(a), k, rcond)
     comps = list(range(k))
-    proj = (a.join(maybe_broadcast(factors, small), ["query_id", "ti"])
+    # left: a document whose words all have zero factors is a candidate still,
+    # at the origin, with similarity 0
+    zero = F.lit(0.0)
+    proj = (a.join(maybe_broadcast(factors, small), ["query_id", "ti"], "left")
              .groupBy("query_id", "doc_id")
-             .agg(*[F.sum(F.col("w") * F.col(f"f{c}")).alias(f"d{c}") for c in comps],
-                  *[F.max(f"q{c}").alias(f"q{c}") for c in comps]))
+             .agg(*[F.coalesce(F.sum(F.col("w") * F.col(f"f{c}")), zero).alias(f"d{c}") for c in comps],
+                  *[F.coalesce(F.max(f"q{c}"), zero).alias(f"q{c}") for c in comps]))
     dot = sum((F.col(f"q{c}") * F.col(f"d{c}") for c in comps), F.lit(0.0))
     q2 = sum((F.col(f"q{c}") * F.col(f"q{c}") for c in comps), F.lit(0.0))
     d2 = sum((F.col(f"d{c}") * F.col(f"d{c}") for c in comps), F.lit(0.0))

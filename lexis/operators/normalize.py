@@ -138,7 +138,9 @@ def russian_stem_array(words: Column) -> Column:
 
 
 def porter1a_stem_array(words: Column) -> Column:
-    """Porter step 1a on an array<string>: sses->ss, ies->i, ss->ss, s->''."""
+    """Porter step 1a on an array<string>: sses->ss, ies->i, ss->ss, s->''.
+    Words of one or two letters are left alone, as in the published program,
+    so no word becomes the empty string."""
     a = F.transform(words, lambda w: F.struct(
         w.alias("w"), F.regexp_extract(w, _ending_re(PORTER_1A), 1).alias("suf")))
 
@@ -146,7 +148,7 @@ def porter1a_stem_array(words: Column) -> Column:
         w, suf = s["w"], s["suf"]
         out = w
         for end, rep in PORTER_1A.items():
-            out = F.when(suf == end, F.concat(_cut(w, F.lit(len(end))), F.lit(rep))).otherwise(out)
+            out = F.when((suf == end) & (F.length(w) > 2), F.concat(_cut(w, F.lit(len(end))), F.lit(rep))).otherwise(out)
         return out
     return F.transform(a, f)
 

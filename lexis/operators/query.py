@@ -7,14 +7,25 @@ from pyspark.sql import functions as F
 
 from lexis.operators.index import Index, corpus_stats
 
-# Query batches are broadcast to the postings scan when they have at most
-# this many (query, term) rows -- a checked count, not an assumption.
-QUERY_BROADCAST_MAX_ROWS = 2_000_000
+# Query batches are broadcast to the postings scan when their rows, written
+# out, have at most this many bytes -- measured on the frame that is
+# broadcast, not assumed.
+QUERY_BROADCAST_MAX_BYTES = 64 << 20
+# What a row takes in memory beside its values.
+ROW_BYTES = 32
 
 
-def is_small(df: DataFrame, max_rows: int = QUERY_BROADCAST_MAX_ROWS) -> bool:
-    """Count ``df`` (a query batch, never corpus data) against ``max_rows``."""
-    return df.count() <= max_rows
+def frame_bytes(df: DataFrame) -> int:
+    """Bytes of the rows of ``df`` (a query batch or a result of one, never
+    corpus data): the values as JSON text, and a fixed part for each row."""
+    n, size = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
+    return n * ROW_BYTES + (size or 0)
+
+
+def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether ``df`` may be broadcast."""
+    limit = QUERY_BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+    return frame_bytes(df) <= limit
 
 
 def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:

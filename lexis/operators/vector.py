@@ -88,6 +88,6 @@ def dense_vectors(index: Index, qwords: DataFrame, qterms: DataFrame,
     hits = query_weighted_postings(index, qterms, n_docs, small)
     maps = hits.groupBy("query_id", "doc_id").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("m"))
-    joined = maps.join(maybe_broadcast(qwords, small), "query_id")
+    joined = maps.join(maybe_broadcast(qwords, is_small(qwords)), "query_id")
     vec = F.transform("words", lambda t: report(F.coalesce(F.try_element_at("m", t), F.lit(0.0))))
     return joined.select("query_id", "doc_id", vec.alias("vector"))

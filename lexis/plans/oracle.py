@@ -7,7 +7,7 @@ expressions one for one (same split, same word test, same formula order).
 
 from __future__ import annotations
 
-from lexis.functions.scoring import BM25_B, BM25_K1, SCORE_DIGITS, TOP_K
+from lexis.functions.scoring import BM25_B, BM25_K1, RANK_DIGITS, SCORE_DIGITS, TOP_K
 from lexis.profile import EN_DASH, LETTER_WORD, SPLIT_PATTERN
 
 # Java's \s also matches U+000B, RE2's does not: add it so both split alike.
@@ -40,7 +40,8 @@ def words_sql(text: str, word_pattern: str = LETTER_WORD, stop_words=(),
 
 
 def index_ctes(source: str = "documents", key: str = "doc_id", text: str = "text",
-               stop_words=(), word_map: str | None = None, fields=None) -> str:
+               stop_words=(), word_map: str | None = None, fields=None,
+               word_pattern: str = LETTER_WORD) -> str:
     """CTEs dw, d, postings, terms, corpus over one text column (or several
     ``fields``, tokenized one after another)."""
     if fields:
@@ -48,7 +49,7 @@ def index_ctes(source: str = "documents", key: str = "doc_id", text: str = "text
         for f in fields[1:]:
             ws = f"list_concat({ws}, {words_sql(f, stop_words=stop_words, word_map=word_map)})"
     else:
-        ws = words_sql(text, stop_words=stop_words, word_map=word_map)
+        ws = words_sql(text, word_pattern, stop_words=stop_words, word_map=word_map)
     return f"""
 dw AS (SELECT {key} AS doc_id, {ws} AS ws
        FROM {source}),
@@ -62,10 +63,11 @@ corpus AS (SELECT count(*) AS n_docs, sum(n_tokens)::BIGINT AS n_tokens, sum(n_u
                   avg(n_unique)::DOUBLE AS avg_unique, avg(n_tokens)::DOUBLE AS avg_tokens FROM d)"""
 
 
-def query_ctes(source: str = "benchmark", key: str = "item_id", text: str = "text") -> str:
+def query_ctes(source: str = "benchmark", key: str = "item_id", text: str = "text",
+               word_pattern: str = LETTER_WORD) -> str:
     """CTEs qw (words per query) and qt (query_id, term, qtf, first_pos, n_terms)."""
     return f"""
-qw AS (SELECT {key} AS query_id, {words_sql(text)} AS ws FROM {source}),
+qw AS (SELECT {key} AS query_id, {words_sql(text, word_pattern)} AS ws FROM {source}),
 qtok AS (SELECT query_id, unnest(ws) AS term, (generate_subscripts(ws, 1) - 1)::INTEGER AS pos FROM qw),
 qt0 AS (SELECT query_id, term, count(*) AS qtf, min(pos) AS first_pos FROM qtok GROUP BY query_id, term),
 qt AS (SELECT *, count(*) OVER (PARTITION BY query_id) AS n_terms FROM qt0)"""
@@ -78,13 +80,19 @@ def with_ctes(*parts: str) -> str:
 def top_k_sql(scores: str, k: int = TOP_K) -> str:
     """Rank rows of the relation ``scores`` (query_id, doc_id, score)."""
     return f"""
-SELECT query_id, rank, doc_id, score FROM (
-  SELECT query_id, doc_id, score,
-         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank
-  FROM (SELECT query_id, doc_id, round(score, {SCORE_DIGITS}) AS score FROM {scores}))
+SELECT query_id, rank, doc_id, round(score, {SCORE_DIGITS}) AS score FROM (
+  SELECT query_id, doc_id, score, row_number() OVER (
+           PARTITION BY query_id ORDER BY {significant_sql('score')} DESC, doc_id)::INTEGER AS rank
+  FROM {scores})
 WHERE rank <= {k}"""
 
 
+def significant_sql(x: str) -> str:
+    """``x`` to RANK_DIGITS significant digits."""
+    step = f"pow(10.0::DOUBLE, floor(log10(abs({x}))) - {RANK_DIGITS - 1})"
+    return f"CASE WHEN abs({x}) < 1e-290::DOUBLE THEN 0.0::DOUBLE ELSE round({x} / {step}) * {step} END"
+
+
 def bm25_term_sql(idf: str, tf: str, length: str, avg: str,
                   k1: float = BM25_K1, b: float = BM25_B) -> str:
     norm = (f"({dbl(1.0 - b)} + CASE WHEN {avg} = 0 THEN 0.0 "
@@ -117,11 +125,18 @@ def html_clean_sql(html: str) -> str:
     return f"regexp_replace(coalesce({html}, ''), {lit(DROP_BLOCKS)}, '', 'g')"
 
 
-def html_text_sql(x: str) -> str:
-    from lexis.functions.html import ANY_TAG, BR, ENTITIES, TEXT_SPACE
-    t = f"regexp_replace(regexp_replace({x}, {lit(BR)}, ' ', 'g'), {lit(ANY_TAG)}, '', 'g')"
+def _decoded_sql(t: str) -> str:
+    """Named references replaced one after the other, &amp; last."""
+    from lexis.functions.html import ENTITIES
     for ent, ch in ENTITIES:
         t = f"replace({t}, {lit(ent)}, {lit(ch)})"
+    return t
+
+
+def html_text_sql(x: str) -> str:
+    from lexis.functions.html import ANY_TAG, BR, TEXT_SPACE
+    t = f"regexp_replace(regexp_replace({x}, {lit(BR)}, ' ', 'g'), {lit(ANY_TAG)}, '', 'g')"
+    t = _decoded_sql(t)
     return f"trim(regexp_replace({t}, {lit(TEXT_SPACE)}, ' ', 'g'))"
 
 
@@ -133,12 +148,16 @@ def html_paragraphs_sql(c: str, tag: str = "p") -> str:
     return f"list_filter({texts}, lambda s: s <> '')"
 
 
+# A captured href in its quotes, if any.
+QUOTED_HREF = "trim(h, chr(34) || chr(39))"
+
+
 def html_links_sql(html: str, spec) -> str:
     """list<struct(href, inner)> of the first ``spec.limit`` matching links."""
     pat = lit(spec.link.link())
     per = (f"list_transform(regexp_extract_all({html}, {lit(spec.container.element())}, 1), "
            f"lambda c: list_transform(regexp_extract_all(c, {pat}, 1), "
-           f"lambda h, i: {{'href': h, 'inner': regexp_extract_all(c, {pat}, 2)[i]}}))")
+           f"lambda h, i: {{'href': {_decoded_sql(QUOTED_HREF)}, 'inner': regexp_extract_all(c, {pat}, 2)[i]}}))")
     return f"list_slice(flatten({per}), 1, {spec.limit})"
 
 

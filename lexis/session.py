@@ -7,6 +7,7 @@ and returns DataFrames. ``get_spark`` is for scripts, tests and the bench.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -54,6 +55,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="lexis-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)

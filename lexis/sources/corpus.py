@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Bytes a core has to read before a scan counts as wide enough.
+SPREAD_BYTES = 16 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -16,16 +20,31 @@ def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = N
     Text tables often arrive as few large row groups, so the scan has fewer
     tasks than cores and the per-row tokenizing would run on one core. Only
     then are rows redistributed -- hashed on ``key`` when given (deterministic
-    on retry without the sort a round-robin exchange needs); a scan that is
-    already wide (the 100 TB case) is left as it is and no shuffle is added.
+    on retry without the sort a round-robin exchange needs).
+
+    The width is judged from the sizes of the files that are read, so nothing
+    runs while a plan is built. Frames that read no files, or enough bytes to
+    fill the cores (the 100 TB case), are left as they are.
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    if _is_plain_scan(df) and _scan_bytes(df) < want * SPREAD_BYTES:
         return df.repartition(want, key) if key else df.repartition(want)
     return df
 
 
+def _is_plain_scan(df: DataFrame) -> bool:
+    """Whether the plan only reads and projects: anything with a shuffle,
+    a join or a sort in it has the partitions its author chose."""
+    plan = df._jdf.queryExecution().analyzed().toString()
+    names = {line.strip(" :+-").split("(")[0].split(" ")[0] for line in plan.splitlines() if line.strip()}
+    return names <= {"Project", "Filter", "Relation", "SubqueryAlias", "View"} and "Relation" in plan
+
+
+def _scan_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as (doc_id, text)."""
     return table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -34,11 +53,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversation_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document per conversation turn: (doc_id, conv_id, turn, role, text).
 
-    doc_id = conv_id * 1_000_000 + turn (turns per conversation stay far
-    below a million), so turn documents keep a single bigint key.
+    doc_id = conv_id * 2**32 + turn, so turn documents keep a single bigint
+    key. Ids that would not fit (a negative or 32-bit turn, a conv_id past
+    31 bits) fail the query rather than share a key.
     """
     c = table(spark, sf_dir, "conversations")
-    return c.select((F.col("conv_id") * F.lit(1_000_000) + F.col("turn")).alias("doc_id"),
+    fits = F.col("turn").between(0, 2**32 - 1) & F.col("conv_id").between(-2**31, 2**31 - 1)
+    doc_id = F.when(fits, F.col("conv_id") * F.lit(2**32) + F.col("turn")).when(
+        fits.isNotNull(), F.raise_error(F.lit("conversation or turn id out of range")).cast("long"))
+    return c.select(doc_id.alias("doc_id"),
                     "conv_id", "turn", "role", "text")
 
 

@@ -77,8 +77,9 @@ def extract_articles(pages: DataFrame, spec: ArticleSpec = FIXTURE_ARTICLE,
     """(page_id, url, title, content, keywords), one row per page.
 
     content: texts of all paragraphs of all containers joined by a space;
-    keywords: texts of the tag links joined by ';'. ``titles`` (url, title),
-    e.g. from ``extract_links`` on the listing page, overrides the title.
+    keywords: texts of the tag links joined by ';'. ``titles`` (url, title,
+    and page_id and pos for their order), e.g. from ``extract_links`` on the
+    listing page, overrides the title; of a repeated link the first title wins.
     """
     html = clean(F.col("html"))
     paras = F.flatten(F.transform(inner_all(html, spec.container),
@@ -94,9 +95,10 @@ def extract_articles(pages: DataFrame, spec: ArticleSpec = FIXTURE_ARTICLE,
     out = spread(pages, "page_id").select("page_id", "url", title.alias("title"),
                                           content.alias("content"), keywords.alias("keywords"))
     if titles is not None:
-        # One title per url; AQE turns this into a broadcast join at run
-        # time when the listing side proves small.
-        t = titles.groupBy("url").agg(F.min("title").alias("_t"))
+        # The first title of a url in listing order; AQE turns this into a
+        # broadcast join at run time when the listing side proves small.
+        order = F.struct(*[c for c in ("page_id", "pos") if c in titles.columns], "title")
+        t = titles.groupBy("url").agg(F.min_by("title", order).alias("_t"))
         out = (out.join(t, "url", "left")
                   .withColumn("title", F.coalesce("_t", "title")).drop("_t")
                   .select("page_id", "url", "title", "content", "keywords"))

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 
 def collector(spark: SparkSession, name: str, surname: str, group_name: str | None) -> DataFrame:
@@ -45,12 +44,12 @@ def append_new(spark: SparkSession, df: DataFrame, path: str, key: Sequence[str]
     (insert-or-ignore); duplicates inside ``df`` are folded too.
 
     The stored files are listed when the plan is built, before the write
-    starts, so the anti join never sees the rows it is adding.
+    starts, so the anti join never sees the rows it is adding. A stored table
+    that lacks a key column, or cannot be read, is an error.
     """
     new = df.dropDuplicates(list(key))
-    try:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
         old = spark.read.parquet(path).select(*key)
         new = new.join(old, list(key), "left_anti")
-    except AnalysisException:
-        pass  # nothing stored yet
     new.write.mode("append").parquet(path)

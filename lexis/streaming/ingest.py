@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pyspark.sql.utils import AnalysisException
-
-from lexis.operators.index import Index, corpus_from_docs, postings_from_words, terms_from_postings
+from lexis.operators.index import (Index, bucket_count, load_index, path_exists, postings_from_words,
+                                   refresh_derived, start_index, stored_docs, write_postings)
+from lexis.operators.query import is_small, maybe_broadcast
 from lexis.operators.tokens import doc_words
 from lexis.profile import LanguageProfile
 
@@ -28,32 +28,31 @@ from lexis.profile import LanguageProfile
 def index_batch(spark: SparkSession, batch: DataFrame, index_path: str, profile: LanguageProfile,
                 text_cols: Sequence[str] = ("text",), key: str = "doc_id",
                 batch_id: str = "0") -> None:
-    """Add one batch of documents to the stored postings and document table.
-
-    Output goes to the batch's own ``batch=`` partition (stream run + epoch),
-    overwritten as a whole, so a replayed batch rewrites exactly what it
-    wrote before and never touches another batch's output. Documents already
-    stored by another batch are skipped (insert-or-ignore); that test reads
-    only the stored document ids -- one row per document -- not the postings.
+    """Add one batch of documents to the stored index (started if there is
+    none; ``save_index`` may have written it).
+
+    Output goes to the batch's own partition (stream run + epoch), overwritten
+    as a whole, so a replayed batch rewrites exactly what it wrote before and
+    never touches another batch's output. Documents stored by another batch
+    are skipped (insert-or-ignore): the batch's keys are broadcast to the
+    stored document ids when they are few, so that history is only streamed.
     """
-    docs_path = f"{index_path}/docs"
+    path = index_path.rstrip("/")
     new = batch.dropDuplicates([key])
-    try:
-        seen = (spark.read.parquet(docs_path).where(F.col("batch") != F.lit(batch_id))
-                     .select(F.col("doc_id").alias(key)))
-        new = new.join(seen, key, "left_anti")
-    except AnalysisException:
-        pass  # nothing stored yet
+    if path_exists(spark, f"{path}/docs"):
+        keys = new.select(F.col(key).alias("doc_id"))
+        stored = stored_docs(spark, path).where(F.col("batch") != F.lit(batch_id)).select("doc_id")
+        seen = stored.join(maybe_broadcast(keys, is_small(keys)), "doc_id", "left_semi").distinct()
+        new = new.join(seen.withColumnRenamed("doc_id", key), key, "left_anti")
     dw = doc_words(new, profile, text_cols, key).persist()
     try:
         postings = postings_from_words(dw, key)
-        docs = dw.where(F.col("n_tokens") > 0).select(F.col(key).alias("doc_id"), "n_tokens",
-                                                      "n_unique")
-        postings.write.mode("overwrite").parquet(f"{index_path}/postings/batch={batch_id}")
+        if not path_exists(spark, f"{path}/layout"):
+            start_index(spark, path, postings, bucket_count(postings))
+        write_postings(spark, path, postings, batch_id)
         # Documents with no token are recorded too, so they are not retried.
-        ids = dw.select(F.col(key).alias("doc_id")).join(docs, "doc_id", "left").fillna(
-            0, ["n_tokens", "n_unique"])
-        ids.write.mode("overwrite").parquet(f"{docs_path}/batch={batch_id}")
+        (dw.select(F.col(key).alias("doc_id"), "n_tokens", "n_unique")
+           .write.mode("overwrite").parquet(f"{path}/docs/batch={batch_id}"))
     finally:
         dw.unpersist()
 
@@ -81,13 +80,7 @@ def start_ingest(docs_stream: DataFrame, index_path: str, checkpoint: str,
 
 
 def refresh_dictionary(spark: SparkSession, index_path: str) -> Index:
-    """Recompute ``terms`` and ``corpus`` from the stored postings and
-    documents (all epochs), and return the whole index."""
-    postings = spark.read.parquet(f"{index_path}/postings").drop("batch")
-    terms_from_postings(postings).sortWithinPartitions("term").write.mode("overwrite") \
-        .parquet(f"{index_path}/terms")
-    docs = spark.read.parquet(f"{index_path}/docs").drop("batch")
-    corpus_from_docs(docs).coalesce(1).write.mode("overwrite").parquet(f"{index_path}/corpus")
-    return Index(postings=postings, terms=spark.read.parquet(f"{index_path}/terms"),
-                 docs=docs.where(F.col("n_tokens") > 0),
-                 corpus=spark.read.parquet(f"{index_path}/corpus"))
+    """Recompute ``terms`` and ``corpus`` from all stored batches, and return
+    the whole index."""
+    refresh_derived(spark, index_path.rstrip("/"))
+    return load_index(spark, index_path)

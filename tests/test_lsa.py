@@ -39,8 +39,8 @@ def brute_force(wp, qterms, metric, k=5, top=10):
                 a[row[t], j] = wp.get((d, t), 0.0)
         u, s, vt = np.linalg.svd(a, full_matrices=False)
         kk = sum(1 for c in range(min(k, len(s))) if s[c] > 0 and s[c] >= LSA_RCOND * s[0])
-        if kk == 0:
-            out[qid] = []
+        if kk == 0:                     # every weight is zero: all at the origin
+            out[qid] = [(d, 0.0) for d in docs][:top]
             continue
         q = np.zeros(len(vocab))
         for t in known:
@@ -106,3 +106,27 @@ def test_rank_deficient_query_keeps_nonzero_values(spark):
     got = sorted((r.doc_id, r.score) for r in res)
     assert [d for d, _ in got] == [d for d, _ in sorted(want)]
     assert [s for _, s in got] == pytest.approx([s for _, s in sorted(want)], abs=1e-6)
+
+
+@pytest.mark.parametrize("word", ["aaa", "zzz"])
+@pytest.mark.parametrize("metric", ["cosine", "reference"])
+def test_a_word_of_every_document_loses_no_candidates(spark, word, metric):
+    docs = spark.createDataFrame([(1, f"{word} kiwi"), (2, f"{word} lime kiwi"), (3, word), (4, f"{word} plum")],
+                                 "doc_id long, text string")
+    idx = build_index(docs, LATIN)
+    q = parse_queries(spark.createDataFrame([(1, f"{word} kiwi")], "query_id long, text string"), LATIN)
+    got = {r.doc_id for r in lsa_search(idx, q, metric=metric).collect()}
+    assert got == {1, 2, 3, 4}
+
+
+def test_small_memory_budget_changes_nothing(spark, monkeypatch):
+    from lexis.operators import lsa
+    idx = build_index(documents(spark, SF001), LATIN)
+    q = parse_queries(benchmark_queries(spark, SF001), LATIN)
+    want = lsa_search(idx, q, metric="cosine").collect()
+    monkeypatch.setattr(lsa, "GRAM_BYTES", 20_000)
+    monkeypatch.setattr(lsa, "CELLS_PER_BATCH", 100)
+    got = lsa_search(idx, q, metric="cosine").collect()
+    key = lambda r: (r.query_id, r.rank)
+    for a, b in zip(sorted(want, key=key), sorted(got, key=key)):
+        assert a.doc_id == b.doc_id and abs(a.score - b.score) < 1e-7
