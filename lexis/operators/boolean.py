@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexis.operators.index import Index
-from lexis.operators.query import candidate_postings, is_small, maybe_broadcast
+from lexis.operators.query import candidate_postings, hot_join, is_small, maybe_broadcast
 
 
 def boolean_search(index: Index, qterms: DataFrame) -> DataFrame:
@@ -36,8 +36,9 @@ def term_lookup(index: Index, qterms: DataFrame) -> DataFrame:
 
 def intersect_keep_left(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """Rows of ``left`` whose key occurs in ``right``; left duplicates kept
-    (a semi join -- SQL INTERSECT would fold them)."""
-    return left.join(right, on, "left_semi")
+    (a semi join -- SQL INTERSECT would fold them). Safe against keys that
+    hold many of the rows."""
+    return hot_join(left, right.select(on).distinct(), on, "left_semi")
 
 
 def query_plan(index: Index, qterms: DataFrame) -> DataFrame:

@@ -185,11 +185,11 @@ def lemma_dictionary(table: DataFrame, form: str = "form", lemma: str = "lemma",
 
 def lemmatize(tokens: DataFrame, dictionary: DataFrame, term: str = "term") -> DataFrame:
     """Replace each token by its lemma; a form the dictionary lacks stays as
-    it is (never NULL). The dictionary is a language's word list, bounded by
-    the language rather than the corpus; the planner broadcasts it when its
-    statistics allow, else shuffles both sides."""
+    it is (never NULL). A dictionary that measures small is broadcast; a larger
+    one is salted, since the commonest words hold most tokens."""
+    from lexis.operators.query import hot_join
     d = dictionary.select(F.col("form").alias(term), F.col("lemma").alias("_lemma"))
-    return (tokens.join(d, term, "left")
+    return (hot_join(tokens, d, term, "left")
                   .withColumn(term, F.coalesce(F.col("_lemma"), F.col(term))).drop("_lemma"))
 
 

@@ -34,6 +34,27 @@ def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
+# Copies of the smaller side where a join by word must shuffle: a word with a
+# third of all rows is then this many tasks.
+SALTS = 32
+
+
+def hot_join(rows: DataFrame, table: DataFrame, on: str, how: str = "inner",
+             small: bool | None = None) -> DataFrame:
+    """``rows`` joined to ``table`` on a key whose values may be as frequent
+    as stop words. A table that measures small is broadcast; otherwise it is
+    copied to every salt, and a row's salt is a hash of the whole row. Same
+    rows either way; ``how`` is inner, left, left_semi or left_anti.
+    """
+    if small is None:
+        small = is_small(table)
+    if small:
+        return rows.join(F.broadcast(table), on, how)
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    return salted.join(copies, [on, "_salt"], how).drop("_salt")
+
+
 def with_term_stats(index: Index, qterms: DataFrame, n_docs: int | None = None,
                     small: bool | None = None) -> DataFrame:
     """Known query terms with df and corpus statistics.
@@ -73,4 +94,4 @@ def candidate_postings(index: Index, qstats: DataFrame, small: bool = True,
         words = few_terms(qterms if qterms is not None else qstats, postings.sparkSession)
         if words is not None:
             postings = postings.where(F.col("term").isin(words))
-    return postings.join(maybe_broadcast(qstats, small), "term")
+    return hot_join(postings, qstats, "term", small=small)

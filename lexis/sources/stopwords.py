@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexis.operators.query import is_small
+from lexis.operators.query import hot_join
 from lexis.operators.tokens import tokens
 from lexis.profile import LanguageProfile
 
@@ -77,13 +77,6 @@ def remove_stop_words(rows: DataFrame, stop: DataFrame, term: str = "term") -> D
     """Anti join of token rows with a stop-word table.
 
     Stop words are the hottest keys there are: a list that measures small is
-    broadcast, so no token shuffles; a longer one is salted, each word going
-    to every salt of its rows' key.
+    broadcast, so no token shuffles; a longer one is salted.
     """
-    words = stop.select(F.col("word").alias(term)).distinct()
-    if is_small(words):
-        return rows.join(F.broadcast(words), term, "left_anti")
-    salts = 64
-    salted = words.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    mine = F.pmod(F.xxhash64(*[c for c in rows.columns]), F.lit(salts)).cast("int")
-    return rows.withColumn("_salt", mine).join(salted, [term, "_salt"], "left_anti").select(*rows.columns)
+    return hot_join(rows, stop.select(F.col("word").alias(term)).distinct(), term, "left_anti")
