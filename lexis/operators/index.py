@@ -42,6 +42,9 @@ class Index:
     terms: DataFrame
     docs: DataFrame
     corpus: DataFrame
+    # of a stored index: postings with the number of their term's part
+    parted: DataFrame | None = None
+    term_parts: int = 1
 
     @property
     def sparkSession(self) -> SparkSession:
@@ -152,16 +155,19 @@ def materialize(index: Index, path: str) -> Index:
 # --- the stored index -------------------------------------------------------
 #
 # One layout for every writer, under one folder:
-#   postings/batch=<id>/   bucketed by doc_id, sorted by term inside a bucket
+#   postings/batch=<id>/part=<n>/   bucketed by doc_id, sorted by term inside
+#                          a bucket; a term's part is a hash of it
 #   docs/batch=<id>/       doc_id, n_tokens, n_unique [, extra columns]
 #   terms/, corpus/        derived from all batches
-#   layout/                one row: number of buckets, columns of postings
+#   layout/                one row: numbers of buckets and parts, columns of postings
 # A batch is written (or rewritten) as a whole, so a replay stores nothing
 # twice; the first build is the batch "base".
 
 BASE_BATCH = "base"
-#: Bytes of documents a bucket is sized for.
-BUCKET_BYTES = 128 << 20
+#: Bytes of documents a bucket is sized for, and those that a file of it (one
+#: for each part) is.
+BUCKET_BYTES = 4 << 30
+FILE_BYTES = 64 << 20
 MAX_BUCKETS = 100_000
 
 
@@ -181,10 +187,22 @@ def bucket_count(df: DataFrame) -> int:
     spark = df.sparkSession
     least = max(spark.sparkContext.defaultParallelism,
                 int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return min(MAX_BUCKETS, max(least, -(-_plan_bytes(df) // BUCKET_BYTES)))
+
+
+def part_count(df: DataFrame, buckets: int) -> int:
+    """Parts by term, so that a file of a bucket keeps a useful size."""
+    return max(1, _plan_bytes(df) // (buckets * FILE_BYTES))
+
+
+def _plan_bytes(df: DataFrame) -> int:
+    """Bytes of a plan by the planner's statistics (0 if not known)."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= 1 << 60:                                # not known
-        return least
-    return min(MAX_BUCKETS, max(least, -(-size // BUCKET_BYTES)))
+    return size if size < 1 << 60 else 0
+
+
+def term_part(term: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(int(parts))).cast("int")
 
 
 def open_postings(spark: SparkSession, path: str) -> str:
@@ -192,9 +210,9 @@ def open_postings(spark: SparkSession, path: str) -> str:
     catalog with the stored columns and buckets, and its batches listed."""
     name = postings_table_name(path)
     if not spark.catalog.tableExists(name):
-        n, columns = spark.read.parquet(f"{path}/layout").first()
+        n, _, columns = spark.read.parquet(f"{path}/layout").first()
         where = f"{path}/postings".replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"CREATE TABLE {name} ({columns}, batch STRING) USING parquet PARTITIONED BY (batch) "
+        spark.sql(f"CREATE TABLE {name} ({columns}, batch STRING, part INT) USING parquet PARTITIONED BY (batch, part) "
                   f"CLUSTERED BY (doc_id) SORTED BY (term) INTO {int(n)} BUCKETS LOCATION '{where}'")
     if path_exists(spark, f"{path}/postings"):
         spark.catalog.recoverPartitions(name)
@@ -202,10 +220,14 @@ def open_postings(spark: SparkSession, path: str) -> str:
     return name
 
 
-def start_index(spark: SparkSession, path: str, postings: DataFrame, buckets: int) -> None:
+def start_index(spark: SparkSession, path: str, postings: DataFrame, buckets: int | None = None,
+                term_parts: int | None = None) -> None:
     """Write the layout of an index that holds nothing yet."""
+    buckets = buckets or bucket_count(postings)
+    parts = term_parts or part_count(postings, buckets)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in postings.schema)
-    layout = spark.createDataFrame([(int(buckets), columns)], "n_buckets int, columns string")
+    layout = spark.createDataFrame([(int(buckets), int(parts), columns)],
+                                   "n_buckets int, n_parts int, columns string")
     layout.coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
     spark.sql(f"DROP TABLE IF EXISTS {postings_table_name(path)}")
 
@@ -214,17 +236,19 @@ def write_postings(spark: SparkSession, path: str, postings: DataFrame, batch: s
     """Write one batch of postings (replacing what the batch held) and return
     it read back. One exchange, by doc_id."""
     name = open_postings(spark, path)
-    n = int(spark.read.parquet(f"{path}/layout").first()[0])
+    n, parts, _ = spark.read.parquet(f"{path}/layout").first()
     # A static partition: only this batch is overwritten. The view belongs to
     # the frame's own session (a micro-batch has one of its own).
     session, view = postings.sparkSession, f"postings_{uuid.uuid4().hex}"
-    postings.repartition(n, "doc_id").createOrReplaceTempView(view)
+    (postings.withColumn("part", term_part(F.col("term"), parts)).repartition(n, "doc_id")
+             .createOrReplaceTempView(view))
     try:
-        session.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (batch = '{batch}') SELECT * FROM {view}")
+        session.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (batch = '{batch}', part) "
+                    f"SELECT * FROM {view}")
     finally:
         session.catalog.dropTempView(view)
     spark.catalog.refreshTable(name)
-    return spark.table(name).where(F.col("batch") == batch).drop("batch")
+    return spark.table(name).where(F.col("batch") == batch).drop("batch", "part")
 
 
 def stored_docs(spark: SparkSession, path: str) -> DataFrame:
@@ -235,13 +259,13 @@ def stored_docs(spark: SparkSession, path: str) -> DataFrame:
 
 def refresh_derived(spark: SparkSession, path: str) -> None:
     """Rewrite ``terms`` and ``corpus`` from all stored batches."""
-    postings = spark.table(open_postings(spark, path))
+    postings = spark.table(open_postings(spark, path)).drop("batch", "part")
     terms_from_postings(postings).sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/terms")
     corpus_from_docs(stored_docs(spark, path)).coalesce(1).write.mode("overwrite").parquet(f"{path}/corpus")
 
 
 def save_index(index: Index, path: str, mode: str = "overwrite",
-               buckets: int | None = None) -> Index:
+               buckets: int | None = None, term_parts: int | None = None) -> Index:
     """Write the index under ``path`` and return it read back.
 
     Postings are stored document-partitioned: a table bucketed by doc_id, each
@@ -249,7 +273,7 @@ def save_index(index: Index, path: str, mode: str = "overwrite",
     with this layout that aggregation -- and the top-k that follows -- runs
     inside each bucket's task with no exchange of candidate rows; the sort by
     term lets parquet row-group statistics skip most of a file for rare query
-    terms. The other tables are computed from the stored postings, so the
+    terms, and a search reads only the parts its words hash to. The other tables are computed from the stored postings, so the
     corpus is tokenized once.
 
     ``mode``: "overwrite" replaces the index; "append" adds the documents as a
@@ -263,7 +287,7 @@ def save_index(index: Index, path: str, mode: str = "overwrite",
     if mode == "append" and path_exists(spark, f"{path}/layout"):
         batch = uuid.uuid4().hex[:16]
     else:
-        start_index(spark, path, index.postings, buckets or bucket_count(index.postings))
+        start_index(spark, path, index.postings, buckets, term_parts)
         for part in ("postings", "docs"):
             p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}")
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
@@ -303,9 +327,10 @@ def load_index(spark: SparkSession, path: str) -> Index:
     """Open a stored index, in whatever session or process."""
     path = path.rstrip("/")
     docs = stored_docs(spark, path).where(F.col("n_tokens") > 0).drop("batch")
-    return Index(postings=spark.table(open_postings(spark, path)).drop("batch"),
-                 terms=spark.read.parquet(f"{path}/terms"), docs=docs,
-                 corpus=spark.read.parquet(f"{path}/corpus"))
+    parted = spark.table(open_postings(spark, path)).drop("batch")
+    parts = spark.read.parquet(f"{path}/layout").first()["n_parts"]
+    return Index(postings=parted.drop("part"), terms=spark.read.parquet(f"{path}/terms"), docs=docs,
+                 corpus=spark.read.parquet(f"{path}/corpus"), parted=parted, term_parts=parts)
 
 
 def corpus_stats(index: Index, n_docs: int | None = None) -> DataFrame:

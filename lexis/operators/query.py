@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexis.operators.index import Index, corpus_stats
+from lexis.operators.index import Index, corpus_stats, term_part
 
 # Query batches are broadcast to the postings scan when their rows, written
 # out, have at most this many bytes -- measured on the frame that is
@@ -83,12 +83,19 @@ def candidate_postings(index: Index, qstats: DataFrame, small: bool = True,
     """Postings of the query terms, one row per (query, term, document).
 
     ``qstats`` has at most one row per (query, term) of the batch (bounded by
-    the count taken on the parsed batch), so it is the broadcast side and the
-    postings are read once, without a shuffle. For a short query the words
+    the bytes taken on the parsed batch), so it is the broadcast side and the
+    postings are read once, without a shuffle. Of a stored index only the
+    parts that the batch's words hash to are read. For a short query the words
     also go into the scan as a filter: postings files are sorted by term, so
     parquet row-group statistics skip most of every file.
     """
     postings = index.postings
+    if small and index.parted is not None and index.term_parts > 1:
+        # the numbers of the parts that the batch's words hash to: static
+        # partition pruning, whatever the number of words
+        part = term_part(F.col("term"), index.term_parts)
+        numbers = (qterms if qterms is not None else qstats).select(part.alias("part")).distinct()
+        postings = index.parted.where(F.col("part").isin([r.part for r in numbers.collect()])).drop("part")
     if small:
         # The parsed batch (no dictionary join) is enough to list its words.
         words = few_terms(qterms if qterms is not None else qstats, postings.sparkSession)

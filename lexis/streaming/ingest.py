@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lexis.operators.index import (Index, bucket_count, load_index, path_exists, postings_from_words,
+from lexis.operators.index import (Index, load_index, path_exists, postings_from_words,
                                    refresh_derived, start_index, stored_docs, write_postings)
 from lexis.operators.query import is_small, maybe_broadcast
 from lexis.operators.tokens import doc_words
@@ -48,7 +48,7 @@ def index_batch(spark: SparkSession, batch: DataFrame, index_path: str, profile:
     try:
         postings = postings_from_words(dw, key)
         if not path_exists(spark, f"{path}/layout"):
-            start_index(spark, path, postings, bucket_count(postings))
+            start_index(spark, path, postings)
         write_postings(spark, path, postings, batch_id)
         # Documents with no token are recorded too, so they are not retried.
         (dw.select(F.col(key).alias("doc_id"), "n_tokens", "n_unique")

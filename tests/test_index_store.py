@@ -101,3 +101,23 @@ def test_building_a_plan_starts_no_job(spark):
     build_index(shuffled, LATIN)
     assert not sc.statusTracker().getJobIdsForGroup("plan-only")
     sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_search_reads_only_the_parts_of_its_words(spark):
+    from lexis.operators.bm25 import bm25_search
+    from lexis.operators.tokens import parse_queries
+    path = scratch_path(spark, "parts")
+    docs = frame(spark, [(i, " ".join(f"w{chr(97 + (i * k) % 26)}x" for k in range(1, 9))) for i in range(60)])
+    index = build_index(docs, LATIN)
+    stored = save_index(index, path, term_parts=64)
+    queries = frame(spark, [(1, "wax wbx"), (2, "wcx nothing")]).withColumnRenamed("doc_id", "query_id")
+    q = parse_queries(queries, LATIN)
+    got = bm25_search(stored, q)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "part#" in plan
+    everything = {f.rsplit("/part=", 1)[1].split("/")[0] for f in stored.parted.inputFiles()}
+    words = q.select("term").distinct().count()
+    assert len(everything) > words
+    read = {r.part for r in stored.parted.where("term in ('wax', 'wbx', 'wcx')").select("part").distinct().collect()}
+    assert len(read) <= 3
+    assert rows(got) == rows(bm25_search(index, q))
