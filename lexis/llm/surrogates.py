@@ -11,7 +11,8 @@ A surrogate depends on (key, type, normalised entity) only, so all mentions of
 an entity, in whatever layout, get the same one (coreference). Two entities of
 a type must not share a surrogate, and a surrogate must not be a real entity:
 the table of distinct entities is checked, and all but the smallest of a
-colliding set are drawn again with the next attempt number until none collide.
+colliding set are drawn again with the next attempt number until none collide;
+names and mail addresses, which may be short, get longer as attempts go on.
 
 The entity table is distinct and shuffled by entity; a mention held by a third
 of all documents is pre-aggregated there and joined with a skew-safe join.
@@ -43,6 +44,8 @@ TYPES = (
 )
 PATTERN = "|".join(f"(?:{p})" for _, p in TYPES)
 GENDER_LETTERS = 1
+#: Attempts after which surrogates of names and mail addresses get a letter more.
+LONGER_AFTER = 8
 
 
 def entity_type(raw: Column) -> Column:
@@ -105,8 +108,15 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str = KEY) -> Co
     local, domain = F.split_part(norm, F.lit("@"), F.lit(1)), F.split_part(norm, F.lit("@"), F.lit(2))
     last_two = F.regexp_extract(domain, r"[^.]+\.[^.]+$", 0)
     host = F.substring(domain, F.lit(1), F.length(domain) - F.length(last_two))
-    email = F.concat(_mapped(local, stream), F.lit("@"),
+    # where every draw of this length may be taken, later ones get longer
+    extra = F.when(attempt >= LONGER_AFTER, _mapped(
+        F.repeat(F.lit("a"), F.floor(attempt / LONGER_AFTER).cast("int")), F.sha2(F.reverse(stream), 512))
+    ).otherwise(F.lit(""))
+    email = F.concat(_mapped(local, stream), extra, F.lit("@"),
                      _mapped(host, F.sha2(stream, 512)), last_two)
+    whole = _mapped(norm, stream, GENDER_LETTERS)
+    name = F.concat(F.substring(whole, F.lit(1), F.length(whole) - GENDER_LETTERS), extra,
+                    F.right(whole, F.lit(GENDER_LETTERS)))
     octets = F.array(*[(_byte(stream, F.lit(i)) % 254 + 1).cast("string") for i in range(4)])
     digits = _mapped(norm, stream)
     body = F.substring(digits, F.lit(1), F.length(digits) - 1)
@@ -118,7 +128,7 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str = KEY) -> Co
                    .otherwise(digits))
              .when(kind == "account", F.concat(F.substring(norm, 1, 2),
                                                _mapped(F.substr(norm, F.lit(3)), stream)))
-             .when(kind == "name", _mapped(norm, stream, GENDER_LETTERS)).otherwise(digits))
+             .when(kind == "name", name).otherwise(digits))
 
 
 def laid_out(raw: Column, kind: Column, norm: Column, sub: Column) -> Column:

@@ -63,6 +63,15 @@ def test_surrogates_stay_distinct_when_draws_collide(spark, monkeypatch):
     assert not set(subs) & {r["norm"] for r in got}
 
 
+def test_short_entities_get_longer_surrogates_when_all_are_taken(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    ents = [("email", f"{c}@x.com") for c in letters] + [("name", f"{c.upper()}a") for c in letters]
+    got = P.entity_table(spark.createDataFrame(ents, "kind string, norm string")).collect()
+    assert len({(r["kind"], r["sub"]) for r in got}) == 52
+    assert not {(r["kind"], r["sub"]) for r in got} & set(ents)
+    assert all(r["sub"].endswith("a") for r in got if r["kind"] == "name")
+
+
 def test_fixture_keeps_everything_else(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     new = {r["doc_id"]: r for r in P.pseudonymise(docs).collect()}
