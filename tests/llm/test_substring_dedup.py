@@ -80,3 +80,48 @@ def test_both_sides_of_the_broadcast_switch(spark, monkeypatch):
     monkeypatch.setattr(C, "BROADCAST_BYTES", -1)
     got = S.repeats(frame(spark, ROWS)).select("doc_id", "start", "end", "n_words", "first_doc_id")
     assert {tuple(r) for r in got.collect()} == brute(ROWS)
+
+
+def words_left(spark, rows):
+    return {r["doc_id"]: r["text"].split() for r in S.remove_repeats(frame(spark, rows)).collect()}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_an_unpunctuated_passage_in_mid_line_is_removed_but_for_its_ends(spark, seed):
+    passage = [f"p{seed}x{i}" for i in range(60)]
+    before, after = [f"b{i}" for i in range(9 + seed)], [f"a{i}" for i in range(40)]
+    rows = [(1, " ".join(["one"] * 3 + passage + ["tail", "of", "one"])),
+            (2, " ".join(before + passage + after)), (3, " ".join(passage).upper() + " - end")]
+    got = words_left(spark, rows)
+    assert got[1] == rows[0][1].split()
+    for d, outside in ((2, before + after), (3, ["-", "end"])):
+        kept = [w.lower() for w in got[d] if w.lower() in passage]
+        assert [w for w in got[d] if w.lower() not in passage] == outside
+        assert len(kept) <= 2 * (S.WINDOW - 1)
+    spans = {r["doc_id"]: r for r in S.repeated_spans(frame(spark, rows)).collect()}
+    assert spans[2]["n_words"] == 60 - sum(w in passage for w in got[2]) and spans[2]["first_doc_ids"] == [1]
+
+
+def test_every_run_of_31_words_has_a_removed_piece_and_shorter_ones_stay(spark):
+    least = S.PIECE + S.WINDOW - 1
+    rows = [(0, " ".join(f"w{i}" for i in range(400)))]
+    rows += [(d, " ".join([f"x{d}", *[f"w{i}" for i in range(7 * d, 7 * d + n)], f"y{d}"]))
+             for d, n in [(d, least if d <= 30 else S.PIECE - 1) for d in range(1, 50)]]
+    got = {r["doc_id"] for r in S.repeated_spans(frame(spark, rows)).collect()}
+    assert got == set(range(1, 31))
+
+
+def test_text_that_repeats_itself_keeps_its_first_words(spark):
+    for period in (1, 3, 20):
+        text = " ".join(f"z{i % period}" for i in range(300))
+        left = words_left(spark, [(1, text)])[1]
+        assert left[:S.PIECE] == text.split()[:S.PIECE] and len(left) < 70
+
+
+def test_words_are_hashed_as_folded():
+    text = "Straße STRASSE strasse İstanbul i\u0307stanbul 😀 ΑΣ ας x_1 X_1 e\u0301a \ud800"
+    starts, ends, h = S._words(text)
+    words = [text[a:b] for a, b in zip(starts, ends)]
+    assert words == re.findall(r"\w+", text)
+    same = {(a.casefold() == b.casefold()) == (x == y) for a, x in zip(words, h) for b, y in zip(words, h)}
+    assert same == {True} and not len(S._words("")[2]) and not len(S._words(" .")[0])
