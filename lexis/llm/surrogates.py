@@ -1,14 +1,15 @@
 """PII surrogates: keyed, type-consistent replacements, in DataFrame functions.
 
 Detected entities (e-mail, card, phone, IP address, IBAN-like account, secret,
-titled person name) are replaced by surrogates of the same form: digits by
+person name with a title, or the words of one again in the same document) are replaced by surrogates of the same form: digits by
 digits, letters by letters of the same case and script, punctuation as it is.
 IP addresses stay valid, a card that passes the Luhn check gets a surrogate
 that does, an e-mail keeps its last two domain labels, a name keeps its title
 and the last letters that mark gender.
 
 A surrogate depends on (key, type, normalised entity) only, so all mentions of
-an entity, in whatever layout, get the same one (coreference). Two entities of
+an entity, in whatever layout, get the same one (coreference). The entities of
+names are their words, so 'Dr. Anna Petrov' and a later 'Petrov' agree. Two entities of
 a type must not share a surrogate, and a surrogate must not be a real entity:
 the table of distinct entities is checked, and all but the smallest of a
 colliding set are drawn again with the next attempt number until none collide;
@@ -31,16 +32,22 @@ from lexis.llm.common import broadcast_if_small, matched, replace_text, saved, w
 
 KEY = "surrogate-key-1"
 
+TITLE = r"(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Sr|Sra)\b\.?"
+NAME = rf"\b{TITLE} \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?"
+# Where a phone's next group may not start: an IP address, a card.
+_OTHER = r"(?!(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b|[0-9]{4}(?:[ \-]?[0-9]{4}){3}\b)"
+
 # Entity types with their patterns, in order of precedence.
 TYPES = (
     ("email", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"),
-    ("secret", r"(?:password|passwd|token|secret|api_key|apikey)\s*[=:]\s*[\x22']?[A-Za-z0-9_\-]{12,}"),
+    ("secret", r"(?i:password|passwd|token|secret|api_key|apikey)\s*[=:]\s*[\x22']?[A-Za-z0-9_\-]{12,}"),
     ("ip", r"\b(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b"),
     ("account", r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{10,30}\b"),
     ("card", r"\b[0-9]{4}(?:[ \-]?[0-9]{4}){3}\b"),
-    ("phone", r"\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .\-]?[0-9]{2,4}){2,4}\b"
+    ("phone", r"\+1[ .\-]?(?:\([0-9]{3}\)|[0-9]{3})[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}\b"
+              rf"|\+[0-9]{{1,3}}[ .\-]?(?:\([0-9]{{1,4}}\)|[0-9]{{1,4}})(?:[ .\-]?{_OTHER}[0-9]{{2,4}}){{2,4}}\b"
               r"|\([0-9]{3}\) [0-9]{3}-[0-9]{4}\b|\b[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}\b|\b[0-9]{10}\b"),
-    ("name", r"\b(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Sr|Sra)\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?"),
+    ("name", NAME),
 )
 PATTERN = "|".join(f"(?:{p})" for _, p in TYPES)
 GENDER_LETTERS = 1
@@ -60,7 +67,7 @@ def normalised(raw: Column, kind: Column) -> Column:
     return (F.when(kind.isin("phone", "card"), F.regexp_replace(raw, r"[^0-9]", ""))
              .when(kind == "email", F.lower(raw))
              .when(kind == "secret", F.regexp_extract(raw, r"[A-Za-z0-9_\-]{12,}$", 0))
-             .when(kind == "name", F.regexp_replace(raw, r"^\p{L}+\.? ", ""))
+             .when(kind == "name", F.regexp_replace(raw, rf"^{TITLE} ", ""))
              .otherwise(raw))
 
 
@@ -167,24 +174,51 @@ def entity_table(entities: DataFrame, key: str = KEY) -> DataFrame:
         done, attempt = good, attempt + 1
 
 
+def name_words(text: Column) -> Column:
+    """Alternatives to PATTERN: the words of the text's titled names, one or
+    two in a row, or an empty string."""
+    bare = F.transform(F.regexp_extract_all(text, F.lit(NAME), F.lit(0)),
+                       lambda x: F.regexp_replace(x, rf"^{TITLE} ", ""))
+    words = F.filter(F.array_distinct(F.flatten(F.transform(bare, lambda x: F.split(x, " ")))),
+                     lambda w: ~w.rlike(rf"^{TITLE}$"))
+    one = F.concat(F.lit(r"(?:"), F.array_join(words, "|"), F.lit(r")(?![\p{L}\p{M}\p{N}_])"))
+    return F.when(F.size(words) > 0, F.concat(
+        F.lit(r"|(?<![\p{L}\p{M}\p{N}_])"), one, F.lit("(?: "), one, F.lit(")?"))).otherwise(F.lit(""))
+
+
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with every entity in ``text`` replaced, and n_entities."""
-    raws = F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))
     rows = whole_rows(docs).withColumn("text", F.col("row.text"))
     found = (rows.where(F.col("text").rlike(PATTERN))
-                 .select("doc_id", "text_hash", F.posexplode(raws).alias("at", "raw"))
-                 .dropDuplicates(["doc_id", "text_hash", "at"]))
-    found = (found.withColumn("kind", entity_type(F.col("raw")))
-                  .withColumn("norm", normalised(F.col("raw"), F.col("kind"))))
-    found = saved(found, "pii-mentions")
+                 .select("doc_id", "text_hash", "text", name_words(F.col("text")).alias("names")))
+    raws = F.regexp_extract_all("text", F.concat(F.lit(PATTERN), F.col("names")), F.lit(0))
+    found = (found.select("doc_id", "text_hash", "names", F.posexplode(raws).alias("at", "raw"))
+                  .dropDuplicates(["doc_id", "text_hash", "at"])
+                  .withColumn("kind", entity_type(F.col("raw"))))
+    # a name is an entity for each word; its title stays with the first
+    whole = normalised(F.col("raw"), F.col("kind"))
+    lead = F.when(F.col("kind") == "name", F.substring("raw", F.lit(1), F.length("raw") - F.length(whole)))
+    parts = F.transform(F.when(F.col("kind") == "name", F.split(whole, " ")).otherwise(F.array(whole)),
+                        lambda w, i: F.struct(w.alias("norm"), F.when(F.col("kind") != "name", F.col("raw")).when(
+                            i == 0, F.concat(lead, w)).otherwise(F.concat(F.lit(" "), w)).alias("raw")))
+    found = found.select("doc_id", "text_hash", "names", "at", "kind", F.posexplode(parts).alias("nth", "part"))
+    found = saved(found.select("doc_id", "text_hash", "names", "at", "nth", "kind", "part.norm", "part.raw"),
+                  "pii-mentions")
     table = broadcast_if_small(saved(entity_table(found, key), "pii-table"), 160)
     named = found.join(table, ["kind", "norm"]).withColumn(
         "new", laid_out(F.col("raw"), F.col("kind"), F.col("norm"), F.col("sub")))
+
+    def joined_parts(m: Column, i: Column) -> Column:
+        return F.when(m["nth"] == 0, F.concat(m["new"], F.coalesce(F.when(
+            F.get("mentions", i + 1)["nth"] == 1, F.get("mentions", i + 1)["new"]), F.lit(""))))
     per_doc = named.groupBy("doc_id", "text_hash").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("at", "new"))), lambda x: x["new"]).alias("new"))
+        F.array_sort(F.collect_list(F.struct("at", "nth", "new"))).alias("mentions"),
+        F.max("names").alias("names"))
+    per_doc = per_doc.select("doc_id", "text_hash", "names", F.filter(
+        F.transform("mentions", joined_parts), lambda x: x.isNotNull()).alias("new"))
     per_doc = broadcast_if_small(saved(per_doc, "pii-documents"), 512)
     joined = matched(rows, per_doc, "left")
-    gaps = F.split("text", PATTERN)
+    gaps = F.split("text", F.concat(F.lit(PATTERN), F.col("names")))
     text = F.array_join(F.flatten(F.transform(gaps, lambda g, i: F.when(
         i < F.size("new"), F.array(g, F.get("new", i))).otherwise(F.array(g)))), "")
     return replace_text(joined, F.when(F.col("new").isNotNull(), text).otherwise(F.col("text")),

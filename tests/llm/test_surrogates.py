@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SF001
+from conftest import SF001, SF01
 from llm.helpers import awkward, clashing, empty
 from pyspark.sql import functions as F
 
@@ -97,3 +97,44 @@ def test_native_awkward_clashing_empty(spark):
     assert {r["text"] for r in P.pseudonymise(awkward(spark)).collect()} == {
         r["text"] for r in awkward(spark).collect()}
     assert not re.search("Python|Arrow", out._jdf.queryExecution().toString())
+
+
+def test_secret_keywords_in_any_case(spark):
+    got = replaced(spark, [(1, 'TOKEN = "9233A8EC11D793CF922E" Password: 36fdea71d793cf922e')])
+    assert got[1][1] == 2 and re.fullmatch(r'TOKEN = "[0-9A-Z]{20}" Password: [0-9a-f]{18}', got[1][0])
+    assert "9233A8EC11D793CF922E" not in got[1][0] and "36fdea71d793cf922e" not in got[1][0]
+
+
+def test_a_phone_ends_where_another_number_starts(spark):
+    got = replaced(spark, [(1, "+1 (826) 555-4081 190.137.223.204 end"), (2, "+1 (826) 555-4081."),
+                           (3, "+1 (826) 555-4081 4111 1111 1111 1111"), (4, "+49 30 1234 5678 190.137.223.204 x")])
+    phones = [re.match(r"\+\d \(\d{3}\) \d{3}-\d{4}", got[i][0]).group() for i in (1, 2, 3)]
+    assert len(set(phones)) == 1 and [got[i][1] for i in (1, 2, 3, 4)] == [2, 1, 2, 2]
+    ips = [re.search(r" (\d+\.\d+\.\d+\.\d+) ", got[i][0]).group(1) for i in (1, 4)]
+    assert ips[0] == ips[1] != "190.137.223.204" and luhn(re.sub(r"\D", "", got[3][0][18:]))
+
+
+def test_names_are_found_again_without_their_title(spark):
+    got = replaced(spark, [(1, "Dr. Anna Petrov came. Petrov said; Anna Petrov, Petrovs and Petrov's friend Anna."),
+                           (2, "Mr Petrov met Petrov"), (3, "Petrov has no title here.")])
+    first, last, again, both, friend = re.fullmatch(
+        r"Dr\. (\w+) (\w+) came\. (\w+) said; (\w+ \w+), Petrovs and (\w+)'s friend \1\.", got[1][0]).groups()
+    assert last == again == friend != "Petrov" and both == f"{first} {last}" and first != "Anna"
+    assert got[1][1] == 5 and got[2] == (f"Mr {last} met {last}", 2) and got[3] == ("Petrov has no title here.", 0)
+
+
+def test_no_entity_of_any_type_is_left_in_the_fixture(spark):
+    plain = {"secret": r"(?i)token\s*=\s*\"?([0-9a-f]{12,})", "ip": r"(?<![\d.])(\d+\.\d+\.\d+\.\d+)(?!\d)",
+             "phone": r"(\+1 \(\d{3}\) \d{3}-\d{4})", "email": r"([\w.]+@[\w.]+\w)",
+             "name": r"(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Sr|Sra)\.? ([A-Z][a-z]+)"}
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
+    extra = spark.createDataFrame([(-1, 'TOKEN = "9233A8EC11D793CF922E" +1 (826) 555-4081 190.137.223.204 '
+                                        'Dr. Anna Petrov and Petrov')], docs.schema)
+    docs = docs.unionByName(extra)
+    new, seen = {r["doc_id"]: r["text"] for r in P.pseudonymise(docs).collect()}, set()
+    for r in docs.collect():
+        for kind, pattern in plain.items():
+            for value in re.findall(pattern, r["text"]):
+                seen.add(kind)
+                assert value not in new[r["doc_id"]], (r["doc_id"], kind)
+    assert seen == set(plain)
