@@ -7,10 +7,14 @@ pre-aggregated before they shuffle, so neither a host nor a line with a third
 of all rows is a hot group, and lines meet counts by digest (two 64-bit
 hashes) only.
 
+Lines are compared without the ASCII white space at their ends, and kept with
+what is not spaces of it.
+
 Defined cases: null html or url is an empty page of the empty host; empty
 lines are no lines; repeated rows (page_id and text equal) are pages of their
-own in the counts and get a row each; ratios equal to the limit stay; an empty
-table gives an empty result; other columns are ignored.
+own in the counts and get a row each; ratios equal to the limit stay; hosts of
+fewer than ``min_pages`` pages are left as they are; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,6 +49,7 @@ def text_lines(text: str | Column) -> Column:
 
 
 def _digest(line: Column) -> Column:
+    line = F.btrim(line, F.lit(" \t\n\x0b\f\r"))
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(3), line).alias("b"))
 
 

@@ -66,3 +66,11 @@ def test_awkward_rows(spark):
                           (4, "h", 2, 1)], key=repr)
     assert clean(spark, rows[:0]).count() == 0
     assert spark.range(1).select(L.text_lines(F.lit("a\n\n b "))).first()[0] == ["a", "b"]
+
+
+def test_copies_that_differ_in_white_space_at_their_ends_are_one_line(spark):
+    ends = [("", ""), ("\t", ""), ("", "\r"), (" \x0b\f", "\t\r"), ("\t ", " ")]
+    rows = [page(i, "a.org", a + "menu" + b, f"body\t{i}\r") for i, (a, b) in enumerate(ends)]
+    got = clean(spark, rows, max_ratio=0.9).collect()
+    assert {(r["page_id"], r["n_lines"], r["n_dropped"], r["text"]) for r in got} == {
+        (i, 2, 1, f"body\t{i}\r") for i in range(5)}
