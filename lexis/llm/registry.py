@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexis.llm import decontaminate, knn, line_dedup, mixing, quality, simhash, substring_dedup
+from lexis.llm import decontaminate, knn, line_dedup, merkle, mixing, quality, simhash, substring_dedup
 from lexis.llm import surrogates, token_ids, url_filter
 from lexis.session import scratch_path
 from lexis.sources.corpus import table
@@ -179,3 +179,57 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken, and source and copies."""
     return mixing.mix_table(table(spark, sf_dir, "documents"))
+
+
+# DuckDB has no crc32: bits are shifted out one by one, a byte entering
+# before each eight shifts (-1 marks a shift).
+CRC_SQL = r"""xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+    string_split(doc_id::VARCHAR, ''), lambda c: [ord(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, s: CASE WHEN s >= 0 THEN xor(a::BIGINT, s::BIGINT)
+    ELSE xor(a::BIGINT >> 1, CASE WHEN a::BIGINT & 1 = 1 THEN 3988292384 ELSE 0 END) END), 4294967295)"""
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(
+        f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END"
+        for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_KIDS_SQL = "substr(kids, 1, 64 * (i % 16)::INT)", "substr(kids, 64 * (i % 16)::INT + 65)"
+_UP_SQL = """SELECT k + 1, g, i // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY i))
+  FROM {0} WHERE n > 1 GROUP BY k, g, i // 16, n"""
+
+
+@register("op11_merkle_manifest", f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source AS g, {_leaf_sql("text")} AS leaf,
+         CASE WHEN {CRC_SQL} % 5 = 0 THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+  FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+                  count(*) OVER (PARTITION BY g) AS n FROM docs),
+tree(k, g, i, n, digest) AS (SELECT 0, g, i, n, leaf FROM leaves UNION ALL {_UP_SQL.format("tree")}),
+tree_kids AS (SELECT k, g, i // 16 AS p, string_agg(digest, '' ORDER BY i) AS kids FROM tree WHERE n > 1 GROUP BY ALL),
+tops AS (SELECT g, digest, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1),
+wood(k, g, i, n, digest) AS (SELECT 0, 0, i, n, digest FROM tops UNION ALL {_UP_SQL.format("wood")}),
+wood_kids AS (SELECT k, g, i // 16 AS p, string_agg(digest, '' ORDER BY i) AS kids FROM wood WHERE n > 1 GROUP BY ALL),
+a(r, lvl, g, i, n, own, sib) AS (
+  SELECT r, 0, g, i, n, coalesce(changed, leaf), '' FROM leaves UNION ALL
+  SELECT r, lvl + 1, a.g, i // 16, (n + 15) // 16, sha256({_KIDS_SQL[0]} || own || {_KIDS_SQL[1]}),
+         sib || {_KIDS_SQL[0]} || {_KIDS_SQL[1]}
+  FROM a JOIN tree_kids c ON c.k = lvl AND c.g IS NOT DISTINCT FROM a.g AND c.p = i // 16 WHERE n > 1),
+b(r, lvl, i, n, own, sib) AS (
+  SELECT r, 0, t.i, t.n, own, sib FROM a JOIN tops t ON t.g IS NOT DISTINCT FROM a.g WHERE a.n = 1 UNION ALL
+  SELECT r, lvl + 1, i // 16, (n + 15) // 16, sha256({_KIDS_SQL[0]} || own || {_KIDS_SQL[1]}),
+         sib || {_KIDS_SQL[0]} || {_KIDS_SQL[1]}
+  FROM b JOIN wood_kids c ON c.k = lvl AND c.p = i // 16 WHERE n > 1)
+SELECT doc_id, leaf, t.digest AS subroot, w.digest AS root, sha256(sib) AS proof_sha256, own AS folded_root,
+       own = w.digest AS verified
+FROM leaves l JOIN b ON b.r = l.r AND b.n = 1 JOIN tops t ON t.g IS NOT DISTINCT FROM l.g
+JOIN wood w ON w.n = 1""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified."""
+    m = merkle.manifest(table(spark, sf_dir, "documents"), carry={"changed": merkle.tampered_leaf()})
+    folded = merkle.fold(F.coalesce("changed", "leaf"), F.col("path"))
+    m = m.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+                 folded.alias("folded_root"))
+    return m.withColumn("verified", F.col("folded_root") == F.col("root"))
