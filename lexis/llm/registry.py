@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexis.llm import decontaminate, knn, line_dedup, merkle, mixing, quality, simhash, substring_dedup
-from lexis.llm import surrogates, token_ids, url_filter
+from lexis.llm import surrogates, token_ids, url_filter, whitening
 from lexis.session import scratch_path
 from lexis.sources.corpus import table
 
@@ -233,3 +233,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = m.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
                  folded.alias("folded_root"))
     return m.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@register("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, component, n, deviation, whitened, explained, identity_error."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
