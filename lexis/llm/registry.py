@@ -14,8 +14,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexis.llm import decontaminate, knn, line_dedup, merkle, mixing, quality, simhash, substring_dedup
-from lexis.llm import surrogates, token_ids, url_filter, whitening
+from lexis.llm import decontaminate, knn, line_dedup, merkle, mixing, pieces, quality, simhash
+from lexis.llm import substring_dedup, surrogates, token_ids, url_filter, whitening
 from lexis.session import scratch_path
 from lexis.sources.corpus import table
 
@@ -24,6 +24,7 @@ ORACLE_SQL: dict[str, str] = {}
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def register(name: str, sql: str | None = None):
@@ -235,6 +236,17 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+@register("op12_sentencepiece")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    model = pieces.read_model(public_tokenizers.path(PIECE_MODEL))
+    ids = pieces.encode(table(spark, sf_dir, "documents"), model)
+    ids = ids.withColumn("n_tokens", F.size("ids").cast("long")).withColumn(
+        "ids_sha256", F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256))
+    kept = ["doc_id", "n_tokens", "ids_sha256"]
+    return pieces.decode(ids, model, keep=kept).select(*kept, F.sha2("text", 256).alias("decoded_sha256"))
+
+
 @register("op13_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vec_id, component, n, deviation, whitened, explained, identity_error."""
