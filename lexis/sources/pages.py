@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexis.functions.html import Sel, clean, inner_all, inner_first, links, paragraphs, text
+from lexis.functions.html import (Sel, clean, first, inner_first, inners, let, links, marked, paragraphs,
+                                  text)
 from lexis.sources.corpus import spread
 
 # Links taken per listing page.
@@ -61,9 +62,7 @@ def extract_links(pages: DataFrame, spec: LinkSpec = FIXTURE_LINKS) -> DataFrame
     Link and title come from the same element; a link without the title
     element falls back to the link's own text.
     """
-    html = clean(F.col("html"))
-    per_container = F.transform(inner_all(html, spec.container), lambda c: links(c, spec.link))
-    found = F.slice(F.flatten(per_container), 1, spec.limit)
+    found = F.slice(links(clean(F.col("html")), spec.link, within=spec.container), 1, spec.limit)
     rows = spread(pages, "page_id").select("page_id", "url", F.posexplode(found).alias("pos", "a"))
     inner = F.col("a.inner")
     own = text(inner)
@@ -81,19 +80,22 @@ def extract_articles(pages: DataFrame, spec: ArticleSpec = FIXTURE_ARTICLE,
     and page_id and pos for their order), e.g. from ``extract_links`` on the
     listing page, overrides the title; of a repeated link the first title wins.
     """
-    html = clean(F.col("html"))
-    paras = F.flatten(F.transform(inner_all(html, spec.container),
-                                  lambda c: paragraphs(c, spec.paragraph)))
-    content = F.array_join(paras, spec.paragraph_sep)
+    def fields(page):
+        paras = F.flatten(F.transform(inners(page, spec.container), lambda c: paragraphs(c, spec.paragraph)))
+        if spec.keyword_container is not None:
+            kw = F.transform(inners(page, spec.keyword_link, spec.keyword_container), text)
+            keywords = F.array_join(F.filter(kw, lambda s: s != ""), spec.keyword_sep)
+        else:
+            keywords = F.lit("")
+        title = text(first(page, spec.title)) if spec.title is not None else F.lit(None).cast("string")
+        return F.struct(title.alias("title"), F.array_join(paras, spec.paragraph_sep).alias("content"),
+                        keywords.alias("keywords"))
+
+    kinds = [spec.container, spec.title, spec.keyword_container]
     if spec.keyword_container is not None:
-        kw = F.flatten(F.transform(inner_all(html, spec.keyword_container),
-                                   lambda c: F.transform(inner_all(c, spec.keyword_link), text)))
-        keywords = F.array_join(F.filter(kw, lambda s: s != ""), spec.keyword_sep)
-    else:
-        keywords = F.lit("")
-    title = text(inner_first(html, spec.title)) if spec.title is not None else F.lit(None).cast("string")
-    out = spread(pages, "page_id").select("page_id", "url", title.alias("title"),
-                                          content.alias("content"), keywords.alias("keywords"))
+        kinds.append(spec.keyword_link)
+    out = (spread(pages, "page_id").select("page_id", "url", let(marked(clean(F.col("html")), *kinds), fields).alias("a"))
+           .select("page_id", "url", "a.title", "a.content", "a.keywords"))
     if titles is not None:
         # The first title of a url in listing order; AQE turns this into a
         # broadcast join at run time when the listing side proves small.

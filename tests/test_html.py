@@ -1,13 +1,15 @@
 """Selectors and text on inputs that are harder than the fixture's, against
 the standard library's parser."""
 
+import time
+from html import unescape
 from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
 
-from lexis.functions.html import Sel, decoded, inner_all, links, text
-from lexis.sources.pages import SITE_ARTICLE, SITE_LINKS, extract_articles, extract_links
+from lexis.functions.html import CHUNK_TAGS, Sel, decoded, inner_all, inners, let, links, marked, text
+from lexis.sources.pages import SITE_ARTICLE, SITE_LINKS, LinkSpec, extract_articles, extract_links
 
 
 class Paragraphs(HTMLParser):
@@ -89,3 +91,57 @@ def test_outermost_elements_in_page_order(spark):
     assert got == ["1<nav>2</nav>3", "4", "5"]
     assert spark.range(1).select(links(F.lit("<a href=x>"), Sel("a", attr="href"))).first()[0] == []
     assert spark.range(1).select(text(F.lit("a<br>b <i>c</i>"))).first()[0] == "a b c"
+
+
+REFERENCES = ["&eacute;&times;&alpha;", "&lt b &gt", "&copy2024 &notit; &notin; &ampx", "&#65 &#x41 &#150; &#x80;",
+              "&CounterClockwiseContourIntegral;", "&nosuch; &;", "&AMP;&AMP", "&NotEqualTilde;", "caf&eacute &Eacutex"]
+
+
+@pytest.mark.parametrize("raw", REFERENCES)
+def test_named_references_of_the_standard(spark, raw):
+    assert spark.range(1).select(decoded(F.lit(raw))).first()[0] == unescape(raw)
+
+
+def page_of(n):
+    return "<nav>" + "".join(f'<a href="/{i}">t{i}</a>' for i in range(n)) + "</nav>" + "".join(
+        f"<article><p>x{i}</p></article>" for i in range(n))
+
+
+def test_many_elements_are_all_found(spark):
+    n = 3 * CHUNK_TAGS + 7
+    df = spark.createDataFrame([(1, "u", page_of(n))], "page_id long, url string, html string")
+    links_ = extract_links(df, LinkSpec(Sel("nav"), Sel("a", attr="href", op="^=", value="/"), limit=10**6)).orderBy("pos")
+    assert [(r.href, r.title) for r in links_.collect()] == [(f"/{i}", f"t{i}") for i in range(n)]
+    got = extract_articles(df).first()
+    assert got.content == " ".join(f"x{i}" for i in range(n))
+    assert got.keywords == ";".join(f"t{i}" for i in range(n))
+
+
+def test_time_follows_the_page(spark):
+    """Eight times the elements take far less than 64 times as long."""
+    def seconds(n):
+        df = spark.createDataFrame([(1, "u", page_of(n))], "page_id long, url string, html string")
+        began = time.perf_counter()
+        assert len(extract_articles(df).first().keywords) > n
+        return time.perf_counter() - began
+
+    seconds(1000)
+    small, large = min(seconds(2000) for _ in range(2)), seconds(16000)
+    assert large < 24 * small + 2
+
+
+def test_elements_within_containers(spark):
+    html = ("<a>out</a><nav><a>1<a>x</a></a><a>2</nav><a>between</a><nav><nav><a>3</a></nav><a>4</a></nav>"
+            "<nav><a>5")
+    got = spark.range(1).select(let(marked(F.lit(html), Sel("a"), Sel("nav")),
+                                    lambda p: inners(p, Sel("a"), Sel("nav")))).first()[0]
+    assert got == ["1<a>x</a>", "2", "3", "4", "5"]
+    got = spark.range(1).select(links(F.lit('<nav><a href="/1">1<a href="/2">2</a><a href="/3">3</nav>'),
+                                      Sel("a", attr="href", op="^=", value="/"), Sel("nav"))).first()[0]
+    assert [(r.href, r.inner) for r in got] == [("/1", '1<a href="/2">2')]
+
+
+def test_blocks_that_never_close(spark):
+    df = spark.createDataFrame([(1, "u", "<article><p>a</p></article><script>x " + "<script" * 2000)],
+                               "page_id long, url string, html string")
+    assert extract_articles(df).first().content == "a"
