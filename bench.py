@@ -19,7 +19,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lexis.operators.bm25 import bm25_search  # noqa: E402
 from lexis.operators.boolean import boolean_search  # noqa: E402
-from lexis.operators.index import build_index, save_index, weighted_postings  # noqa: E402
+from lexis.operators.index import build_index, weighted_postings  # noqa: E402
+from lexis.operators.store import save_index
 from lexis.operators.lsa import lsa_search  # noqa: E402
 from lexis.operators.tokens import parse_queries, tokens  # noqa: E402
 from lexis.operators.vector import cosine_search  # noqa: E402

@@ -9,7 +9,8 @@ Typical use::
 
 from lexis.operators.bm25 import bm25_search
 from lexis.operators.boolean import boolean_search, query_plan, term_lookup
-from lexis.operators.index import Index, build_index, load_index, save_index, weighted_postings
+from lexis.operators.index import Index, build_index, weighted_postings
+from lexis.operators.store import load_index, save_index
 from lexis.operators.lsa import lsa_search
 from lexis.operators.normalize import lemmatize_postings, stem_vocabulary
 from lexis.operators.tokens import doc_words, parse_queries, tokens

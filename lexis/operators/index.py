@@ -1,6 +1,6 @@
 """Inverted index: postings, dictionary, document and corpus statistics.
 
-Layout (all plain DataFrames, stored as parquet by ``save_index``):
+Layout (all plain DataFrames, stored as parquet by ``store.save_index``):
 
 * ``postings`` (term, doc_id, tf, n_tokens, n_unique) -- one row per
   distinct (term, document). Document lengths ride along on every posting,
@@ -16,12 +16,10 @@ rows spread over many tasks, never one giant array.
 
 from __future__ import annotations
 
-import hashlib
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexis.functions.scoring import tf_idf
@@ -86,12 +84,14 @@ def terms_from_postings(postings: DataFrame) -> DataFrame:
                     .select("term", F.md5("term").alias("term_id"), "df"))
 
 
-def docs_from_postings(postings: DataFrame, docs: DataFrame) -> DataFrame:
+def docs_from_postings(postings: DataFrame, docs: DataFrame, counted: bool = False) -> DataFrame:
     """The document table rebuilt from stored postings (whose rows carry the
     document lengths), so the corpus is not tokenized a second time. Extra
-    document columns, if any, are joined back by doc_id."""
+    document columns, if any, are joined back by doc_id. With ``counted`` also
+    the number of postings as n_rows: it is n_unique unless the key repeats."""
     d = postings.groupBy("doc_id").agg(F.max("n_tokens").alias("n_tokens"),
-                                       F.max("n_unique").alias("n_unique"))
+                                       F.max("n_unique").alias("n_unique"),
+                                       *[F.count(F.lit(1)).alias("n_rows")] * counted)
     extra = [c for c in docs.columns if c not in ("doc_id", "n_tokens", "n_unique")]
     if extra:
         d = d.join(docs.select("doc_id", *extra), "doc_id")
@@ -152,187 +152,6 @@ def materialize(index: Index, path: str) -> Index:
                  corpus=spark.read.parquet(f"{path}/corpus"))
 
 
-# --- the stored index -------------------------------------------------------
-#
-# One layout for every writer, under one folder:
-#   postings/batch=<id>/part=<n>/   bucketed by doc_id, sorted by term inside
-#                          a bucket; a term's part is a hash of it
-#   docs/batch=<id>/       doc_id, n_tokens, n_unique [, extra columns]
-#   terms/, corpus/        derived from all batches
-#   layout/                one row: numbers of buckets and parts, columns of postings
-# A batch is written (or rewritten) as a whole, so a replay stores nothing
-# twice; the first build is the batch "base".
-
-BASE_BATCH = "base"
-#: Bytes of documents a bucket is sized for, and those that a file of it (one
-#: for each part) is.
-BUCKET_BYTES = 4 << 30
-FILE_BYTES = 64 << 20
-MAX_BUCKETS = 100_000
-
-
-def postings_table_name(path: str) -> str:
-    """Session-catalog name of the postings table stored at ``path``."""
-    return "lexis_postings_" + hashlib.md5(path.rstrip("/").encode()).hexdigest()[:16]
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def bucket_count(df: DataFrame) -> int:
-    """Buckets for postings made from ``df``: as many as its bytes ask for
-    (by the planner's statistics), and at least one for each shuffle task."""
-    spark = df.sparkSession
-    least = max(spark.sparkContext.defaultParallelism,
-                int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return min(MAX_BUCKETS, max(least, -(-_plan_bytes(df) // BUCKET_BYTES)))
-
-
-def part_count(df: DataFrame, buckets: int) -> int:
-    """Parts by term, so that a file of a bucket keeps a useful size."""
-    return max(1, _plan_bytes(df) // (buckets * FILE_BYTES))
-
-
-def _plan_bytes(df: DataFrame) -> int:
-    """Bytes of a plan by the planner's statistics (0 if not known)."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size if size < 1 << 60 else 0
-
-
-def term_part(term: Column, parts: int) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(int(parts))).cast("int")
-
-
-def open_postings(spark: SparkSession, path: str) -> str:
-    """Name of the postings table at ``path``, registered in this session's
-    catalog with the stored columns and buckets, and its batches listed."""
-    name = postings_table_name(path)
-    if not spark.catalog.tableExists(name):
-        n, _, columns = spark.read.parquet(f"{path}/layout").first()
-        where = f"{path}/postings".replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"CREATE TABLE {name} ({columns}, batch STRING, part INT) USING parquet PARTITIONED BY (batch, part) "
-                  f"CLUSTERED BY (doc_id) SORTED BY (term) INTO {int(n)} BUCKETS LOCATION '{where}'")
-    if path_exists(spark, f"{path}/postings"):
-        spark.catalog.recoverPartitions(name)
-    spark.catalog.refreshTable(name)
-    return name
-
-
-def start_index(spark: SparkSession, path: str, postings: DataFrame, buckets: int | None = None,
-                term_parts: int | None = None) -> None:
-    """Write the layout of an index that holds nothing yet."""
-    buckets = buckets or bucket_count(postings)
-    parts = term_parts or part_count(postings, buckets)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in postings.schema)
-    layout = spark.createDataFrame([(int(buckets), int(parts), columns)],
-                                   "n_buckets int, n_parts int, columns string")
-    layout.coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
-    spark.sql(f"DROP TABLE IF EXISTS {postings_table_name(path)}")
-
-
-def write_postings(spark: SparkSession, path: str, postings: DataFrame, batch: str) -> DataFrame:
-    """Write one batch of postings (replacing what the batch held) and return
-    it read back. One exchange, by doc_id."""
-    name = open_postings(spark, path)
-    n, parts, _ = spark.read.parquet(f"{path}/layout").first()
-    # A static partition: only this batch is overwritten. The view belongs to
-    # the frame's own session (a micro-batch has one of its own).
-    session, view = postings.sparkSession, f"postings_{uuid.uuid4().hex}"
-    (postings.withColumn("part", term_part(F.col("term"), parts)).repartition(n, "doc_id")
-             .createOrReplaceTempView(view))
-    try:
-        session.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (batch = '{batch}', part) "
-                    f"SELECT * FROM {view}")
-    finally:
-        session.catalog.dropTempView(view)
-    spark.catalog.refreshTable(name)
-    return spark.table(name).where(F.col("batch") == batch).drop("batch", "part")
-
-
-def stored_docs(spark: SparkSession, path: str) -> DataFrame:
-    """Document rows of all batches, with the batch."""
-    return spark.read.option("mergeSchema", "true").parquet(f"{path}/docs").withColumn(
-        "batch", F.col("batch").cast("string"))
-
-
-def refresh_derived(spark: SparkSession, path: str) -> None:
-    """Rewrite ``terms`` and ``corpus`` from all stored batches."""
-    postings = spark.table(open_postings(spark, path)).drop("batch", "part")
-    terms_from_postings(postings).sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/terms")
-    corpus_from_docs(stored_docs(spark, path)).coalesce(1).write.mode("overwrite").parquet(f"{path}/corpus")
-
-
-def save_index(index: Index, path: str, mode: str = "overwrite",
-               buckets: int | None = None, term_parts: int | None = None) -> Index:
-    """Write the index under ``path`` and return it read back.
-
-    Postings are stored document-partitioned: a table bucketed by doc_id, each
-    bucket sorted by term. Every search aggregates per (query, document), and
-    with this layout that aggregation -- and the top-k that follows -- runs
-    inside each bucket's task with no exchange of candidate rows; the sort by
-    term lets parquet row-group statistics skip most of a file for rare query
-    terms, and a search reads only the parts its words hash to. The other tables are computed from the stored postings, so the
-    corpus is tokenized once.
-
-    ``mode``: "overwrite" replaces the index; "append" adds the documents as a
-    new batch and rewrites the derived tables. Keys that are stored already, or
-    repeat within ``index``, are refused (see ``merge_repeated``).
-    """
-    if mode not in ("overwrite", "append"):
-        raise ValueError(f"mode {mode!r} is not supported")
-    spark, path = index.sparkSession, path.rstrip("/")
-    batch = BASE_BATCH
-    if mode == "append" and path_exists(spark, f"{path}/layout"):
-        batch = uuid.uuid4().hex[:16]
-    else:
-        start_index(spark, path, index.postings, buckets, term_parts)
-        for part in ("postings", "docs"):
-            p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}")
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    postings = write_postings(spark, path, index.postings, batch)
-    docs = docs_from_postings(postings, index.docs)
-    try:
-        docs.write.mode("overwrite").parquet(f"{path}/docs/batch={batch}")
-        refuse_repeated(spark, path, postings, batch)
-    except ValueError:
-        drop_batch(spark, path, batch)
-        raise
-    refresh_derived(spark, path)
-    return load_index(spark, path)
-
-
-def refuse_repeated(spark: SparkSession, path: str, postings: DataFrame, batch: str) -> None:
-    """Fail when a key of the batch stands for more than one document."""
-    counts = postings.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("n_unique").alias("u"))
-    twice = counts.where("n <> u").limit(1).collect()
-    if not twice and batch != BASE_BATCH:
-        docs = stored_docs(spark, path)
-        old = docs.where(F.col("batch") != batch).select("doc_id")
-        twice = docs.where(F.col("batch") == batch).join(old, "doc_id", "left_semi").limit(1).collect()
-    if twice:
-        raise ValueError(f"document key {twice[0]['doc_id']!r} is stored or repeats: merge or drop it first")
-
-
-def drop_batch(spark: SparkSession, path: str, batch: str) -> None:
-    """Take one batch out of the index again."""
-    spark.sql(f"ALTER TABLE {open_postings(spark, path)} DROP IF EXISTS PARTITION (batch = '{batch}')")
-    for part in ("postings", "docs"):
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}/batch={batch}")
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def load_index(spark: SparkSession, path: str) -> Index:
-    """Open a stored index, in whatever session or process."""
-    path = path.rstrip("/")
-    docs = stored_docs(spark, path).where(F.col("n_tokens") > 0).drop("batch")
-    parted = spark.table(open_postings(spark, path)).drop("batch")
-    parts = spark.read.parquet(f"{path}/layout").first()["n_parts"]
-    return Index(postings=parted.drop("part"), terms=spark.read.parquet(f"{path}/terms"), docs=docs,
-                 corpus=spark.read.parquet(f"{path}/corpus"), parted=parted, term_parts=parts)
-
-
 def corpus_stats(index: Index, n_docs: int | None = None) -> DataFrame:
     """The one-row statistics, with N optionally fixed (e.g. 30)."""
     c = index.corpus

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexis.operators.index import Index, corpus_stats, term_part
+from lexis.operators.index import Index, corpus_stats
+from lexis.operators.store import term_part
 
 # Query batches are broadcast to the postings scan when their rows, written
 # out, have at most this many bytes -- measured on the frame that is

@@ -18,9 +18,9 @@ from lexis.functions.scoring import SCORE_DIGITS, report
 from lexis.operators.bm25 import bm25_idf_table, bm25_search
 from lexis.operators.boolean import (boolean_search, intersect_keep_left, query_plan, term_lookup,
                                      unknown_terms)
-from lexis.operators.index import (Index, build_index, join_term_table, load_index, materialize,
-                                   open_postings, posting_blocks, postings_table_name, save_index, term_doc_rows,
-                                   weighted_postings)
+from lexis.operators.index import (Index, build_index, join_term_table, materialize, posting_blocks,
+                                   term_doc_rows, weighted_postings)
+from lexis.operators.store import load_index, postings_table_name, save_index
 from lexis.operators.lsa import gram_matrices, lsa_search, query_matrix
 from lexis.operators.normalize import (PORTER_1A, lemma_dictionary, lemmatize_postings,
                                        stem_vocabulary)
@@ -543,7 +543,7 @@ def q_stream_ingest(spark, sf_dir):
     stream = (spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", max(1, n // 3))
                    .parquet(f"{base}/incoming"))
     start_ingest(stream, f"{base}/index", f"{base}/checkpoint", LATIN).awaitTermination()
-    return spark.table(open_postings(spark, f"{base}/index")).select("term", "doc_id", "tf")
+    return load_index(spark, f"{base}/index").postings.select("term", "doc_id", "tf")
 
 
 # --- whole workflows over the other text tables ------------------------------
@@ -568,6 +568,19 @@ def q_conversation_bm25(spark, sf_dir):
     return bm25_search(idx, bench_terms(spark, sf_dir))
 
 
+@register("conversation_index", O.with_ctes(O.index_ctes("conversations", "conv_id")) + """,
+whole AS (SELECT term, doc_id, sum(tf)::BIGINT AS tf FROM postings GROUP BY term, doc_id)
+SELECT term, doc_id, tf, (sum(tf) OVER (PARTITION BY doc_id))::BIGINT AS n_tokens,
+       count(*) OVER (PARTITION BY doc_id) AS n_unique, count(*) OVER (PARTITION BY term) AS df
+FROM whole""")
+def q_conversation_index(spark, sf_dir):
+    """Rows that share a key (the turns of a conversation) stored as
+    one document with the words of all."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "text")
+    i = save_index(build_index(turns, LATIN, key="conv_id"), scratch_path(spark, "conversations"), repeats="merge")
+    return join_term_table(i, i.postings, i.terms.select("term", "df"))
+
+
 @register("unknown_query_terms", O.with_ctes(IDX, QRY) + """
 SELECT query_id, term FROM qt WHERE term NOT IN (SELECT term FROM terms)""")
 def q_unknown_query_terms(spark, sf_dir):

@@ -4,9 +4,9 @@ New documents arrive as a stream (files landing in a folder, a table, a
 queue); each micro-batch is tokenized and its postings and document rows are
 written to the stored index under the batch's epoch, with insert-or-ignore
 semantics per document, so a replayed batch (after a failure, from the
-checkpoint, or the whole stream again) stores nothing twice. The
-dictionary and corpus statistics are derived from the stored postings by
-``refresh_dictionary`` when a consistent snapshot is wanted.
+checkpoint, or the whole stream again) stores nothing twice. A micro-batch
+becomes visible as one new version of the index, its postings, dictionary and
+corpus statistics together.
 """
 
 from __future__ import annotations
@@ -18,41 +18,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lexis.operators.index import (Index, load_index, path_exists, postings_from_words,
-                                   refresh_derived, start_index, stored_docs, write_postings)
+from lexis.operators.index import Index, postings_from_words
 from lexis.operators.query import is_small, maybe_broadcast
+from lexis.operators.store import (batches_near, commit, load_index, merge_postings, new_generation, read_version,
+                                   stored_docs, with_batch, write_batch)
 from lexis.operators.tokens import doc_words
 from lexis.profile import LanguageProfile
 
 
 def index_batch(spark: SparkSession, batch: DataFrame, index_path: str, profile: LanguageProfile,
                 text_cols: Sequence[str] = ("text",), key: str = "doc_id",
-                batch_id: str = "0") -> None:
+                batch_id: str = "0", repeats: str = "merge") -> None:
     """Add one batch of documents to the stored index (started if there is
-    none; ``save_index`` may have written it).
+    none; ``save_index`` may have written it) as its next version.
 
-    Output goes to the batch's own partition (stream run + epoch), overwritten
-    as a whole, so a replayed batch rewrites exactly what it wrote before and
-    never touches another batch's output. Documents stored by another batch
-    are skipped (insert-or-ignore): the batch's keys are broadcast to the
-    stored document ids when they are few, so that history is only streamed.
+    A replayed batch replaces what it stored before and never touches another
+    batch's rows. Documents stored by another batch are left out (insert or
+    ignore) and counted in the version: only batches whose range of keys meets
+    this one's are read, and the keys are broadcast to them when they are few.
+    Documents that share a key within the batch become one document with the
+    words of all, or fail the batch (``repeats="refuse"``).
     """
     path = index_path.rstrip("/")
-    new = batch.dropDuplicates([key])
-    if path_exists(spark, f"{path}/docs"):
-        keys = new.select(F.col(key).alias("doc_id"))
-        stored = stored_docs(spark, path).where(F.col("batch") != F.lit(batch_id)).select("doc_id")
-        seen = stored.join(maybe_broadcast(keys, is_small(keys)), "doc_id", "left_semi").distinct()
-        new = new.join(seen.withColumnRenamed("doc_id", key), key, "left_anti")
-    dw = doc_words(new, profile, text_cols, key).persist()
+    before = read_version(spark, path)
+    dw = doc_words(batch, profile, text_cols, key).withColumnRenamed(key, "doc_id").persist()
     try:
-        postings = postings_from_words(dw, key)
-        if not path_exists(spark, f"{path}/layout"):
-            start_index(spark, path, postings)
-        write_postings(spark, path, postings, batch_id)
+        new, ignored = dw, 0
+        others = [b for b in before["batches"] if b["batch"] != batch_id] if before else []
+        if others:
+            keys = dw.select("doc_id").distinct()
+            low, high = keys.agg(F.min("doc_id").cast("string"), F.max("doc_id").cast("string")).first()
+            near = batches_near(dw, before | {"batches": others}, (low, high))
+            if near:
+                stored = stored_docs(spark, path, before, near).select("doc_id")
+                seen = stored.join(maybe_broadcast(keys, is_small(keys)), "doc_id", "left_semi").distinct()
+                new = dw.join(seen, "doc_id", "left_anti")
+                ignored = dw.join(seen, "doc_id", "left_semi").count()
+        postings = postings_from_words(new)
+        if repeats == "merge":
+            postings = merge_postings(postings)
+        state = before or new_generation(postings)
         # Documents with no token are recorded too, so they are not retried.
-        (dw.select(F.col(key).alias("doc_id"), "n_tokens", "n_unique")
-           .write.mode("overwrite").parquet(f"{path}/docs/batch={batch_id}"))
+        row = write_batch(spark, path, state, postings, new.select("doc_id"), batch_id, all_docs=True)
+        commit(spark, path, with_batch(spark, path, state, row | {"ignored": ignored}), before["number"] if before else 0)
     finally:
         dw.unpersist()
 
@@ -80,7 +88,6 @@ def start_ingest(docs_stream: DataFrame, index_path: str, checkpoint: str,
 
 
 def refresh_dictionary(spark: SparkSession, index_path: str) -> Index:
-    """Recompute ``terms`` and ``corpus`` from all stored batches, and return
-    the whole index."""
-    refresh_derived(spark, index_path.rstrip("/"))
+    """The whole index as it stands: batches bring their own part of ``terms``
+    and ``corpus``, so there is nothing to compute again."""
     return load_index(spark, index_path)

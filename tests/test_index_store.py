@@ -6,8 +6,8 @@ import sys
 import pytest
 from conftest import ROOT, rows
 
-from lexis.operators.index import (build_index, load_index, merge_repeated, postings_table_name, save_index,
-                                   weighted_postings)
+from lexis.operators.index import build_index, merge_repeated, weighted_postings
+from lexis.operators.store import load_index, postings_table_name, save_index
 from lexis.profile import LATIN
 from lexis.session import scratch_path
 from lexis.sources.tables import append_new
@@ -43,7 +43,7 @@ def test_reopen_in_another_process(spark):
     code = f"""
 import sys; sys.path.insert(0, {ROOT!r})
 from lexis.session import get_spark
-from lexis.operators.index import load_index
+from lexis.operators.store import load_index
 spark = get_spark("local[1]")
 print("FOUND", load_index(spark, {path!r}).postings.count())
 """

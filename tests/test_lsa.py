@@ -14,7 +14,8 @@ import pytest
 from conftest import SF001
 
 from lexis.functions.scoring import SCORE_DIGITS
-from lexis.operators.index import build_index, save_index, weighted_postings
+from lexis.operators.index import build_index, weighted_postings
+from lexis.operators.store import save_index
 from lexis.operators.lsa import LSA_RCOND, lsa_search
 from lexis.operators.tokens import parse_queries
 from lexis.profile import LATIN

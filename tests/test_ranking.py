@@ -8,7 +8,8 @@ from conftest import rows
 
 from lexis.operators.bm25 import bm25_search
 from lexis.operators.boolean import boolean_search, intersect_keep_left, query_plan
-from lexis.operators.index import build_index, load_index, save_index, weighted_postings
+from lexis.operators.index import build_index, weighted_postings
+from lexis.operators.store import load_index, save_index
 from lexis.operators.tokens import parse_queries
 from lexis.operators.vector import cosine_search
 from lexis.profile import LATIN
