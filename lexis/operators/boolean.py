@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from lexis.operators.index import Index
 from lexis.operators.query import candidate_postings, hot_join, is_small, maybe_broadcast
+from lexis.session import scratch_path
 
 
 def boolean_search(index: Index, qterms: DataFrame) -> DataFrame:
@@ -26,6 +27,57 @@ def boolean_search(index: Index, qterms: DataFrame) -> DataFrame:
     return matched.where(F.col("m") == F.col("n_terms")).select("query_id", "doc_id")
 
 
+#: Words, counted from a query's rarest, that the steps of ``rarest_first`` read.
+STEPS = ((1, 1), (2, 2), (3, None))
+
+
+def rarest_first(index: Index, qterms: DataFrame, log: list[int] | None = None) -> DataFrame:
+    """The rows of ``boolean_search``, found from each query's rarest word on.
+
+    The rarest word's documents are read first; every later step reads only
+    postings of documents that are still possible, so a stop-like word costs as
+    many postings as there are possible documents, not its whole list. A query
+    with an unknown word is dropped at the dictionary, and the steps end when
+    nothing is possible any more. What a step leaves is written down, so a
+    lost executor repeats one step. ``log`` gets the rows left by each step.
+
+    Worth its extra passes where lists are long; ``boolean_search`` reads all
+    words' lists in one pass.
+    """
+    small = is_small(qterms)
+    order = _written(query_plan(index, qterms), "query-order")
+    unknown = order.where("df = 0").select("query_id").distinct()
+    order = order.join(maybe_broadcast(unknown, small), "query_id", "left_anti")
+    possible = None
+    for first, last in STEPS:
+        words = order.where(F.col("plan_order") >= first)
+        if last is not None:
+            words = words.where(F.col("plan_order") <= last)
+        words = words.select("query_id", "term", F.count(F.lit(1)).over(Window.partitionBy("query_id")).alias("n"))
+        docs = possible.select("doc_id").distinct() if possible is not None else None
+        hits = candidate_postings(index, words, small, words, docs)
+        if possible is not None:
+            hits = hits.join(maybe_broadcast(possible, is_small(possible)), ["query_id", "doc_id"], "left_semi")
+        left = (hits.groupBy("query_id", "doc_id", "n").agg(F.count(F.lit(1)).alias("m"))
+                    .where(F.col("m") == F.col("n")).select("query_id", "doc_id"))
+        if possible is not None:                           # queries that have no more words
+            done = possible.join(maybe_broadcast(words.select("query_id").distinct(), small), "query_id", "left_anti")
+            left = left.unionByName(done)
+        possible = _written(left, "possible")
+        n = possible.count()                               # of a written table: its footers
+        if log is not None:
+            log.append(n)
+        if n == 0:
+            break
+    return possible
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def term_lookup(index: Index, qterms: DataFrame) -> DataFrame:
     """Postings of each query word: (query_id, term, doc_id). One equality
     lookup per word, batched into a single broadcast join."""

@@ -80,7 +80,7 @@ def few_terms(qstats: DataFrame, spark) -> list[str] | None:
 
 
 def candidate_postings(index: Index, qstats: DataFrame, small: bool = True,
-                       qterms: DataFrame | None = None) -> DataFrame:
+                       qterms: DataFrame | None = None, docs: DataFrame | None = None) -> DataFrame:
     """Postings of the query terms, one row per (query, term, document).
 
     ``qstats`` has at most one row per (query, term) of the batch (bounded by
@@ -89,6 +89,11 @@ def candidate_postings(index: Index, qstats: DataFrame, small: bool = True,
     parts that the batch's words hash to are read. For a short query the words
     also go into the scan as a filter: postings files are sorted by term, so
     parquet row-group statistics skip most of every file.
+
+    ``docs`` (doc_id, each once) lets only postings of these documents pass,
+    before they meet the query words: a set that measures small is broadcast to
+    the scan, a larger one is shuffled to the buckets that the postings are
+    stored in. Either way the postings stay where they are.
     """
     postings = index.postings
     if small and index.parted is not None and index.term_parts > 1:
@@ -102,4 +107,6 @@ def candidate_postings(index: Index, qstats: DataFrame, small: bool = True,
         words = few_terms(qterms if qterms is not None else qstats, postings.sparkSession)
         if words is not None:
             postings = postings.where(F.col("term").isin(words))
+    if docs is not None:
+        postings = postings.join(maybe_broadcast(docs, is_small(docs)), "doc_id", "left_semi")
     return hot_join(postings, qstats, "term", small=small)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lexis.functions.scoring import SCORE_DIGITS, report
 from lexis.operators.bm25 import bm25_idf_table, bm25_search
-from lexis.operators.boolean import (boolean_search, intersect_keep_left, query_plan, term_lookup,
+from lexis.operators.boolean import (boolean_search, intersect_keep_left, query_plan, rarest_first, term_lookup,
                                      unknown_terms)
 from lexis.operators.index import (Index, build_index, join_term_table, materialize, posting_blocks,
                                    term_doc_rows, weighted_postings)
@@ -239,14 +239,25 @@ def q_dense_vectors(spark, sf_dir):
 
 # --- Boolean ---------------------------------------------------------------
 
-@register("boolean_and", O.with_ctes(IDX, QRY) + """
+BOOLEAN_SQL = O.with_ctes(IDX, QRY) + """
 SELECT qt.query_id, p.doc_id FROM qt JOIN postings p USING (term)
-GROUP BY qt.query_id, p.doc_id, qt.n_terms HAVING count(*) = qt.n_terms""")
+GROUP BY qt.query_id, p.doc_id, qt.n_terms HAVING count(*) = qt.n_terms"""
+
+
+@register("boolean_and", BOOLEAN_SQL)
 def q_boolean_and(spark, sf_dir):
     """Documents holding every word of a passage."""
     return boolean_search(stored_index(spark, sf_dir), bench_terms(spark, sf_dir))
 
 
+@register("boolean_rarest_first", BOOLEAN_SQL)
+def q_boolean_rarest_first(spark, sf_dir):
+    """The same from each passage's rarest word on, over a stored index."""
+    path = scratch_path(spark, "boolean-index")
+    index = save_index(doc_index(spark, sf_dir), path)
+    return rarest_first(index, bench_terms(spark, sf_dir))
+
+
 @register("term_lookup", O.with_ctes(IDX, QRY) + """
 SELECT qt.query_id, qt.term, p.doc_id FROM qt JOIN postings p USING (term)""")
 def q_term_lookup(spark, sf_dir):
