@@ -9,12 +9,14 @@ singular value or vector. With A = U S V^T (documents x words):
 * a document is its row of U_k = (A . V_k . S_k^-1)_d;
 * scores compare the two k-vectors (true cosine or the reference form).
 
-Distributed plan: the word x word Gram matrix A^T A is summed in the
-executors (partial sums per task, then one small aggregation per query);
-only that t x t matrix (t = words in the query) reaches a Python worker,
-one query per group, for the eigen-decomposition. Documents are projected
-by a join of their postings with the factor table and a sum, like any
-other score. Nothing per document is collected.
+Distributed plan: a tall-skinny QR. Every task reduces its documents' rows of
+a query's matrix to a triangular factor of at most t x t (t = words in the
+query), factors are stacked and reduced again along a tree (``MERGE_FAN_IN``
+to one), and the SVD is taken of the one R that is left: A = Q R has A's
+singular values and right vectors, to the precision of A itself. (A^T A would
+square the condition number; ``gram_matrices`` still gives it.) Documents are
+projected by a join of their postings with the factor table and a sum, like
+any other score. Nothing per document is collected.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -33,7 +36,6 @@ from lexis.functions.scoring import LSA_RANK, TOP_K, cosine, tf_idf
 from lexis.operators.index import Index
 from lexis.operators.query import candidate_postings, is_small, maybe_broadcast, with_term_stats
 from lexis.operators.topk import top_k
-from pyspark import cloudpickle
 
 # The grouped/Arrow functions below run in Python workers. Pickling this
 # module by value ships their code with the task, so workers need no copy of
@@ -41,17 +43,20 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Singular values below LSA_RCOND * s_max count as zero: a parameter of this
-# implementation, not of the ranking being matched. The Gram route gives
-# eigenvalues to ~1e-16 * lambda_max, i.e. singular values to ~1e-8 * s_max; a
-# looser cut keeps numerical noise out of S^-1.
-LSA_RCOND = 1e-6
+# implementation, not of the ranking being matched. QR and the SVD of R are
+# exact to ~1e-16 * s_max; the cut keeps rounding out of S^-1.
+LSA_RCOND = 1e-10
 
-# A task holds at most about this many bytes of Gram sums and of one dense
-# block; past it partial sums are sent on and started afresh.
+# Triangular factors that meet in one task of the merge tree, about.
+MERGE_FAN_IN = 16
+
+# A task holds at most about this many bytes of Gram sums (or triangular
+# factors) and of one dense block; past it they are sent on and started afresh.
 GRAM_BYTES = 64 << 20
 CELLS_PER_BATCH = 1 << 18
 
 GRAM_SCHEMA = "query_id long, i int, j int, g double"
+R_SCHEMA = "query_id long, node int, t int, r binary"
 
 
 def query_matrix(index: Index, qterms: DataFrame, small: bool | None = None) -> DataFrame:
@@ -67,9 +72,9 @@ def query_matrix(index: Index, qterms: DataFrame, small: bool | None = None) ->
     return hits.select("query_id", "doc_id", "ti", "term", w.alias("w"))
 
 
-def _gram_block(acc: dict, qid: np.ndarray, doc: np.ndarray, ti: np.ndarray,
-                w: np.ndarray) -> None:
-    """Add A^T A of complete documents (rows sorted by query, document)."""
+def _dense_blocks(qid: np.ndarray, doc: np.ndarray, ti: np.ndarray, w: np.ndarray):
+    """(query, documents x words block) of complete documents whose rows are
+    sorted by query and document; a block stays under ``GRAM_BYTES``."""
     if len(qid) == 0:
         return
     qb = np.flatnonzero(np.diff(qid)) + 1
@@ -77,21 +82,32 @@ def _gram_block(acc: dict, qid: np.ndarray, doc: np.ndarray, ti: np.ndarray,
         row = np.r_[0, np.cumsum(doc[lo + 1:hi] != doc[lo:hi - 1])]   # local document index
         t = int(ti[lo:hi].max()) + 1
         step = max(1, GRAM_BYTES // (8 * t))                         # documents in a block
-        g = np.zeros((t, t))
         for first in range(0, int(row[-1]) + 1, step):
             a, b = np.searchsorted(row, [first, first + step])
             m = np.zeros((min(step, int(row[-1]) + 1 - first), t))
             m[row[a:b] - first, ti[lo + a:lo + b]] = w[lo + a:lo + b]
-            g += m.T @ m
-        q = int(qid[lo])
-        old = acc.get(q)
-        if old is not None:
-            n = max(old.shape[0], t)
-            grown = np.zeros((n, n))
-            grown[:old.shape[0], :old.shape[0]] += old
-            grown[:t, :t] += g
-            g = grown
-        acc[q] = g
+            yield int(qid[lo]), m
+
+
+def _widened(m: np.ndarray, t: int) -> np.ndarray:
+    return m if m.shape[1] == t else np.pad(m, ((0, 0), (0, t - m.shape[1])))
+
+
+def _add_gram(acc: dict, q: int, m: np.ndarray) -> None:
+    g, old = m.T @ m, acc.get(q)
+    if old is not None:
+        n = max(len(old), len(g))
+        g = np.pad(g, (0, n - len(g))) + np.pad(old, (0, n - len(old)))
+    acc[q] = g
+
+
+def _add_rows(acc: dict, q: int, m: np.ndarray) -> None:
+    """Stack rows under the query's triangular factor and reduce them."""
+    old = acc.get(q)
+    if old is not None:
+        t = max(m.shape[1], old.shape[1])
+        m = np.vstack([_widened(old, t), _widened(m, t)])
+    acc[q] = np.linalg.qr(m, mode="r") if m.shape[0] > 1 else m
 
 
 def _cells(acc: dict):
@@ -106,18 +122,15 @@ def _cells(acc: dict):
                 names=["query_id", "i", "j", "g"])
 
 
-def _partial_gram(batches):
-    """Per task: A_q^T A_q summed over this task's documents, per query.
+def _complete(batches):
+    """Column arrays (query, document, word, weight) of complete documents.
 
     Rows (query_id, doc_id, ti, w, k) arrive sorted by (query_id, doc_id)
     with k = 1 on each document's first entry, so a document is a contiguous
     run; the run still open at the end of an Arrow batch waits for the next
     one. A run that does not start at k = 1 means the input was not
-    co-located, and the task fails rather than return a wrong matrix. Each query's documents become a dense
-    (docs x words) block and a single matrix product adds their outer
-    products -- no Python loop over rows.
+    co-located, and the task fails rather than return a wrong matrix.
     """
-    acc: dict[int, np.ndarray] = {}
     cols = ("query_id", "doc_id", "ti", "w", "k")
     pend = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0),
             np.empty(0, np.int64)]
@@ -129,17 +142,71 @@ def _partial_gram(batches):
         qid, doc, k = cur[0], cur[1], cur[4]
         new_run = np.r_[True, (qid[1:] != qid[:-1]) | (doc[1:] != doc[:-1])]
         if not np.array_equal(new_run, k == 1):
-            raise RuntimeError("LSA Gram input is not grouped by (query_id, doc_id)")
-        starts = np.flatnonzero(new_run)
-        cut = int(starts[-1])
-        _gram_block(acc, *(a[:cut] for a in cur[:4]))
+            raise RuntimeError("LSA matrix rows are not grouped by (query_id, doc_id)")
+        cut = int(np.flatnonzero(new_run)[-1])
+        yield tuple(a[:cut] for a in cur[:4])
         pend = [a[cut:] for a in cur]
+    if len(pend[0]):
+        yield tuple(pend[:4])
+
+
+def _reduced(batches, add, send):
+    """Per task: ``add`` over this task's blocks, query by query; what is held
+    goes out when it passes ``GRAM_BYTES``, and at the end. No Python loop over
+    rows: a block is one matrix operation."""
+    acc: dict[int, np.ndarray] = {}
+    for part in _complete(batches):
+        for q, m in _dense_blocks(*part):
+            add(acc, q, m)
         if sum(g.nbytes for g in acc.values()) > GRAM_BYTES:
-            yield from _cells(acc)                # the sum over tasks adds them up
+            yield from send(acc)                # what comes after the task joins them
             acc.clear()
-    if len(pend[0]):
-        _gram_block(acc, *pend[:4])
-    yield from _cells(acc)
+    yield from send(acc)
+
+
+def _partial_gram(batches):
+    """A_q^T A_q summed over a task's documents, per query."""
+    return _reduced(batches, _add_gram, _cells)
+
+
+def _factor_rows(acc: dict, node: int):
+    """Triangular factors as rows, a bounded number of bytes at a time."""
+    held, size = [], 0
+    for q, r in [*acc.items(), (None, None)]:
+        if held and (q is None or size > GRAM_BYTES):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([h[0] for h in held], pa.int64()), pa.array([node] * len(held), pa.int32()),
+                 pa.array([h[1].shape[1] for h in held], pa.int32()),
+                 pa.array([h[1].astype("<f8").tobytes() for h in held], pa.binary())],
+                names=["query_id", "node", "t", "r"])
+            held, size = [], 0
+        if q is not None:
+            held.append((q, r))
+            size += r.nbytes
+
+
+def _partial_r(batches):
+    """Triangular factors of a task's documents, per query."""
+    node = TaskContext.get().partitionId()
+    return _reduced(batches, _add_rows, lambda acc: _factor_rows(acc, node))
+
+
+def _merged_r(batches):
+    """Factors of the same query and node reduced to one (or to a few, where
+    a task would hold too much: the next level merges those)."""
+    acc: dict[tuple[int, int], np.ndarray] = {}
+
+    def send():
+        for node in sorted({n for _, n in acc}):
+            yield from _factor_rows({q: r for (q, n), r in acc.items() if n == node}, node)
+        acc.clear()
+
+    for batch in batches:
+        for q, node, t, r in zip(*(batch.column(c).to_pylist() for c in range(4))):
+            _add_rows(acc, (q, node), np.frombuffer(r, "<f8").reshape(-1, t))
+        if sum(g.nbytes for g in acc.values()) > GRAM_BYTES:
+            yield from send()
+    yield from send()
 
 
 def gram_matrices(entries: DataFrame) -> DataFrame:
@@ -152,11 +219,51 @@ def gram_matrices(entries: DataFrame) -> DataFrame:
     Tasks emit at most t^2 partial sums per query (t = the query's words);
     the final sum is per matrix cell.
     """
+    partial = _document_runs(entries).mapInArrow(_partial_gram, GRAM_SCHEMA)
+    return partial.groupBy("query_id", "i", "j").agg(F.sum("g").alias("g"))
+
+
+def _document_runs(entries: DataFrame) -> DataFrame:
     per_doc = Window.partitionBy("query_id", "doc_id").orderBy("ti")
-    flat = (entries.select("query_id", "doc_id", "ti", "w")
+    return (entries.select("query_id", "doc_id", "ti", "w")
                    .withColumn("k", F.row_number().over(per_doc)))
-    partial = flat.mapInArrow(_partial_gram, GRAM_SCHEMA)
-    return partial.groupBy("query_id", "i", "j").agg(F.sum("g").alias("g"))
+
+
+def triangular_factors(entries: DataFrame) -> DataFrame:
+    """(query_id, node, t, r): about ``MERGE_FAN_IN`` triangular factors at
+    most for every query, whose stacked rows have A's Gram matrix.
+
+    ``r`` holds rows of t doubles. Placed as ``gram_matrices``; a task sends one
+    factor of t columns per query, and every level of the tree shuffles those
+    to a sixteenth as many (query, node) groups.
+    """
+    spark = entries.sparkSession
+    r = _document_runs(entries).mapInArrow(_partial_r, R_SCHEMA)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    while tasks > MERGE_FAN_IN:
+        tasks = -(-tasks // MERGE_FAN_IN)
+        r = (r.withColumn("node", F.floor(F.col("node") / MERGE_FAN_IN).cast("int"))
+              .repartition("query_id", "node").mapInArrow(_merged_r, R_SCHEMA))
+    return r
+
+
+def _one_factor(pdf: pd.DataFrame) -> np.ndarray:
+    acc: dict[int, np.ndarray] = {}
+    for t, r in zip(pdf["t"], pdf["r"]):
+        _add_rows(acc, 0, np.frombuffer(r, "<f8").reshape(-1, t))
+    return acc[0]
+
+
+def _gram_of(pdf: pd.DataFrame) -> pd.DataFrame:
+    r = _one_factor(pdf)
+    i, j = np.triu_indices(r.shape[1])
+    return pd.DataFrame({"query_id": np.full(len(i), pdf["query_id"].iloc[0]), "i": i.astype(np.int32),
+                         "j": j.astype(np.int32), "g": (r.T @ r)[i, j]})
+
+
+def gram_of_factors(factors: DataFrame) -> DataFrame:
+    """(query_id, i, j, g): R^T R, the upper triangle of A^T A with its zeros."""
+    return factors.groupBy("query_id").applyInPandas(_gram_of, GRAM_SCHEMA)
 
 
 def factor_schema(k: int) -> str:
@@ -167,15 +274,11 @@ def factor_schema(k: int) -> str:
 def _factors(k: int, rcond: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         qid = int(pdf["query_id"].iloc[0])
-        t = int(max(pdf["i"].max(), pdf["j"].max())) + 1
-        g = np.zeros((t, t))
-        g[pdf["i"].to_numpy(), pdf["j"].to_numpy()] = pdf["g"].to_numpy()
-        g = np.triu(g) + np.triu(g, 1).T
-        lam, vec = np.linalg.eigh(g)
-        order = np.argsort(lam)[::-1]
-        lam, vec = lam[order], vec[:, order]
-        s = np.sqrt(np.clip(lam, 0.0, None))
-        keep = [c for c in range(min(k, t)) if s[c] > 0 and s[c] >= rcond * s[0]]
+        r = _one_factor(pdf)
+        t = r.shape[1]
+        _, s, right = np.linalg.svd(r, full_matrices=False)
+        vec = right.T
+        keep = [c for c in range(min(k, len(s))) if s[c] > 0 and s[c] >= rcond * s[0]]
         f = np.zeros((t, k))
         f[:, :len(keep)] = vec[:, keep] / s[keep]
         qv = f.sum(axis=0)              # q = 1 on every known query word
@@ -186,14 +289,15 @@ def _factors(k: int, rcond: float):
     return run
 
 
-def factor_table(gram: DataFrame, k: int = LSA_RANK, rcond: float = LSA_RCOND) -> DataFrame:
+def factor_table(factors: DataFrame, k: int = LSA_RANK, rcond: float = LSA_RCOND) -> DataFrame:
     """(query_id, ti, f0..f{k-1}, q0..q{k-1}): f_c = V[ti, c] / s_c for the
     k' <= k largest non-zero singular values (zeros past k'), and the folded
-    query q . V_k . S_k^-1 repeated on each row. One small group per query.
+    query q . V_k . S_k^-1 repeated on each row. One small group per query: its
+    last few triangular factors.
 
-    A word whose weights are all zero (it is in every document) has no Gram
-    cell, and need not have a row here: its factors are zero."""
-    return gram.groupBy("query_id").applyInPandas(_factors(k, rcond), factor_schema(k))
+    A word whose weights are all zero (it is in every document) need not have a
+    row here: its factors are zero."""
+    return factors.groupBy("query_id").applyInPandas(_factors(k, rcond), factor_schema(k))
 
 
 def lsa_scores(index: Index, qterms: DataFrame, k: int = LSA_RANK, metric: str = "reference",
@@ -204,11 +308,11 @@ def lsa_scores(index: Index, qterms: DataFrame, k: int = LSA_RANK, metric: str =
     is built) and carries the folded query, so projecting a document is one
     aggregation of its entries -- k sums side by side, no k-fold copy of the
     candidates -- and the factor table is consumed once (computing it twice
-    would redo the Gram pass). It holds one row per (query, query word).
+    would redo the pass over the matrix). It holds one row per (query, query word).
     """
     small = is_small(qterms)
     a = query_matrix(index, qterms, small)
-    factors = factor_table(gram_matrices(a), k, rcond)
+    factors = factor_table(triangular_factors(a), k, rcond)
     comps = list(range(k))
     # left: a document whose words all have zero factors is a candidate still,
     # at the origin, with similarity 0

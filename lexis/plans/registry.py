@@ -21,7 +21,7 @@ from lexis.operators.boolean import (boolean_search, intersect_keep_left, query_
 from lexis.operators.index import (Index, build_index, join_term_table, materialize, posting_blocks,
                                    term_doc_rows, weighted_postings)
 from lexis.operators.store import load_index, postings_table_name, save_index
-from lexis.operators.lsa import gram_matrices, lsa_search, query_matrix
+from lexis.operators.lsa import gram_matrices, gram_of_factors, lsa_search, query_matrix, triangular_factors
 from lexis.operators.normalize import (PORTER_1A, lemma_dictionary, lemmatize_postings,
                                        stem_vocabulary)
 from lexis.operators.tokens import doc_words, parse_queries, tokens
@@ -446,13 +446,33 @@ SELECT query_id, term_i, term_j, round(g, {SCORE_DIGITS}) AS g FROM g WHERE g <>
 def q_lsa_gram(spark, sf_dir):
     """Cells of each query's word x word matrix A^T A, upper triangle."""
     a = query_matrix(stored_index(spark, sf_dir), bench_terms(spark, sf_dir))
+    return _cells(a, gram_matrices(a))
+
+
+def _cells(a: DataFrame, gram: DataFrame) -> DataFrame:
     words = a.select("query_id", "ti", "term").distinct()
     wi = words.select("query_id", F.col("ti").alias("i"), F.col("term").alias("term_i"))
     wj = words.select("query_id", F.col("ti").alias("j"), F.col("term").alias("term_j"))
-    g = gram_matrices(a).join(wi, ["query_id", "i"]).join(wj, ["query_id", "j"])
+    g = gram.join(wi, ["query_id", "i"]).join(wj, ["query_id", "j"])
     return g.select("query_id", "term_i", "term_j", report(F.col("g")).alias("g"))
 
 
+@register("lsa_tsqr", O.with_ctes(IDX, QRY, VEC, """
+words AS (SELECT DISTINCT query_id, term FROM hw),
+pairs AS (SELECT a.query_id, a.term AS term_i, b.term AS term_j
+          FROM words a JOIN words b ON a.query_id = b.query_id AND a.term <= b.term),
+g AS (SELECT a.query_id, a.term AS term_i, b.term AS term_j, sum(a.w * b.w) AS g
+      FROM hw a JOIN hw b ON a.query_id = b.query_id AND a.doc_id = b.doc_id AND a.term <= b.term
+      GROUP BY ALL)""") + f"""
+SELECT query_id, term_i, term_j, round(coalesce(g, 0.0), {SCORE_DIGITS}) AS g
+FROM pairs LEFT JOIN g USING (query_id, term_i, term_j)""")
+def q_lsa_tsqr(spark, sf_dir):
+    """The triangular factors that the SVD is taken of, as R^T R: all
+    cells of A^T A, those of words that never meet included."""
+    a = query_matrix(stored_index(spark, sf_dir), bench_terms(spark, sf_dir))
+    return _cells(a, gram_of_factors(triangular_factors(a)))
+
+
 @register("lsa_topk")
 def q_lsa_topk(spark, sf_dir):
     """Rank-5 LSA, true cosine, top 10 per passage (checked
