@@ -1,20 +1,22 @@
 """Site-relative line frequency: drop a host's boilerplate lines.
 
 A line is boilerplate on a host when it stands on more than ``max_ratio`` of
-the host's pages, and on ``min_pages`` of them at least. DataFrame functions
-only. Pages count once per line however often they repeat it; counts are
-pre-aggregated before they shuffle, so neither a host nor a line with a third
-of all rows is a hot group, and lines meet counts by digest (two 64-bit
-hashes) only.
+the host's pages. (``min_pages`` can ask for a number of pages besides; by
+default the ratio alone decides, so a host of few pages keeps little.) DataFrame
+functions only. Pages count once per line however often they repeat it; counts
+are pre-aggregated before they shuffle, so neither a host nor a line with a
+third of all rows is a hot group, and lines meet counts by digest (two 64-bit
+hashes) only. Pages are cut into lines once and written down with the digests;
+the counts read the digests alone.
 
 Lines are compared without the ASCII white space at their ends, and kept with
 what is not spaces of it.
 
 Defined cases: null html or url is an empty page of the empty host; empty
 lines are no lines; repeated rows (page_id and text equal) are pages of their
-own in the counts and get a row each; ratios equal to the limit stay; hosts of
-fewer than ``min_pages`` pages are left as they are; an empty table
-gives an empty result; other columns are ignored.
+own in the counts and get a row each; ratios equal to the limit stay; with
+``min_pages`` hosts of fewer pages are left as they are; an empty table gives
+an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from lexis.llm.common import broadcast_if_small, saved
 
 MAX_RATIO = 0.1
-MIN_PAGES = 3
+MIN_PAGES = 1
 
 # Markup that holds no text, inline elements, and line ends.
 HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
@@ -56,10 +58,9 @@ def _digest(line: Column) -> Column:
 def boilerplate(pages: DataFrame, max_ratio: float = MAX_RATIO,
                 min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, line, n_pages, n_host_pages) of the lines over the limit;
-    ``pages`` has host and lines, ``line`` is a digest."""
+    ``pages`` has host and digests, ``line`` is a digest."""
     totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n_host_pages"))
-    each = pages.select("host", F.explode(F.array_distinct(
-        F.transform("lines", _digest))).alias("line"))
+    each = pages.select("host", F.explode(F.array_distinct("digests")).alias("line"))
     counts = (each.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_pages"))
                   .where(F.col("n_pages") >= min_pages))
     totals = broadcast_if_small(saved(totals.where(F.col("n_host_pages") >= min_pages),
@@ -73,19 +74,19 @@ def drop_boilerplate(pages: DataFrame, max_ratio: float = MAX_RATIO,
     """``pages`` (key, host, lines) with n_lines, n_dropped and the lines kept,
     in their order. ``key`` names a row's content: equal keys have equal host
     and lines."""
+    pages = saved(pages.withColumn("digests", F.transform("lines", _digest)), "page-lines")
     bad = saved(boilerplate(pages, max_ratio, min_pages).select("host", "line"), "boilerplate")
-    each = pages.select("key", "host", F.explode(F.array_distinct(
-        F.transform("lines", _digest))).alias("line"))
+    each = pages.select("key", "host", F.explode(F.array_distinct("digests")).alias("line"))
     hit = (each.join(broadcast_if_small(bad, 128), ["host", "line"], "left_semi")
                .groupBy(F.col("key").alias("k")).agg(F.collect_set("line").alias("bad")))
     hit = broadcast_if_small(saved(hit, "boilerplate-pages"), 1024)
     joined = pages.join(hit, F.col("key") == F.col("k"), "left")
     kept = F.when(F.col("bad").isNull(), F.col("lines")).otherwise(
-        F.filter("lines", lambda x: ~F.array_contains(F.col("bad"), _digest(x))))
+        F.filter("lines", lambda x, i: ~F.array_contains(F.col("bad"), F.get("digests", i))))
     return (joined.withColumn("kept", kept)
                   .withColumn("n_lines", F.size("lines").cast("long"))
                   .withColumn("n_dropped", (F.size("lines") - F.size("kept")).cast("long"))
-                  .drop("k", "bad", "lines").withColumnRenamed("kept", "lines"))
+                  .drop("k", "bad", "lines", "digests").withColumnRenamed("kept", "lines"))
 
 
 def clean_pages(pages: DataFrame, host: Column, lines: Column, **options) -> DataFrame:

@@ -87,12 +87,12 @@ WITH p AS (
            '<[^<>]*>|\n'), lambda x: trim(x, ' ')), lambda x: x <> '') AS lines
   FROM pages),
 h AS (SELECT host, count(*) AS n FROM p GROUP BY host),
-l AS (SELECT r, host, page_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM p),
-f AS (SELECT host, line, count(DISTINCT r) AS k FROM l GROUP BY ALL),
-bad AS (SELECT f.host, f.line FROM f JOIN h USING (host)
-        WHERE k >= {line_dedup.MIN_PAGES} AND k > n * {line_dedup.MAX_RATIO}::DOUBLE),
+l AS (SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS same FROM (
+  SELECT r, host, page_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM p)),
+f AS (SELECT host, same, count(DISTINCT r) AS k FROM l GROUP BY ALL),
+bad AS (SELECT f.host, f.same FROM f JOIN h USING (host) WHERE k > n * {line_dedup.MAX_RATIO}::DOUBLE),
 kept AS (SELECT r, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n FROM l
-         WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.host = l.host AND bad.line = l.line) GROUP BY r)
+         WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.host = l.host AND bad.same = l.same) GROUP BY r)
 SELECT page_id, host, len(lines) AS n_lines, len(lines) - coalesce(kept.n, 0) AS n_dropped,
        coalesce(kept.text, '') AS text
 FROM p LEFT JOIN kept USING (r)""")

@@ -46,6 +46,9 @@ def test_against_counting(spark):
             seen[hosts[i], x].add(i)
     bad = {k for k, v in seen.items() if len(v) >= 3 and len(v) > 0.25 * total[k[0]]}
     want = sorted(((i, "\n".join(x for x in ls if (hosts[i], x) not in bad)) for i, ls in lines.items()), key=repr)
+    assert as_set(clean(spark, rows, max_ratio=0.25, min_pages=3), "page_id", "text") == want
+    bad = {k for k, v in seen.items() if len(v) > 0.25 * total[k[0]]}
+    want = sorted(((i, "\n".join(x for x in ls if (hosts[i], x) not in bad)) for i, ls in lines.items()), key=repr)
     assert as_set(clean(spark, rows, max_ratio=0.25), "page_id", "text") == want
 
 
@@ -61,7 +64,7 @@ def test_awkward_rows(spark):
     rows = [(1, None, None, "x", 1), (2, "http://h/", "", "x", 1), (3, "http://h/", "<p>a</p>", "x", 1),
             (3, "http://h/", "<p>a</p>", "x", 1), (None, "no url", "text", "x", 1),
             (4, "http://h/", "<p>" + "y " * 50_000 + "</p><p>a", "x", 1)]
-    got = as_set(clean(spark, rows, max_ratio=0.5), "page_id", "host", "n_lines", "n_dropped")
+    got = as_set(clean(spark, rows, max_ratio=0.5, min_pages=3), "page_id", "host", "n_lines", "n_dropped")
     assert got == sorted([(1, "", 0, 0), (2, "h", 0, 0), (3, "h", 1, 1), (3, "h", 1, 1), (None, "", 1, 0),
                           (4, "h", 2, 1)], key=repr)
     assert clean(spark, rows[:0]).count() == 0
@@ -74,3 +77,27 @@ def test_copies_that_differ_in_white_space_at_their_ends_are_one_line(spark):
     got = clean(spark, rows, max_ratio=0.9).collect()
     assert {(r["page_id"], r["n_lines"], r["n_dropped"], r["text"]) for r in got} == {
         (i, 2, 1, f"body\t{i}\r") for i in range(5)}
+
+
+def test_the_ratio_alone_decides_by_default(spark):
+    rows = [page(1, "one.org", "only"), *[page(i, "two.org", "menu", f"b{i}") for i in (2, 3)]]
+    got = {r["page_id"]: r["text"] for r in clean(spark, rows, max_ratio=0.5).collect()}
+    assert got == {1: "", 2: "b2", 3: "b3"}
+
+
+def test_twin_compares_lines_as_the_operator(spark, tmp_path):
+    """Lines that end in tabs, and columns with the operators' own names."""
+    import duckdb
+
+    from lexis.llm import registry
+    rows = [(i, f"http://h{i % 2}/", f"<p>\tmenu{' ' * i}\t</p><p>own {i}\t</p>", "x", 1, 2, 3) for i in range(24)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, host string, lines int, digests int, key int")
+    df.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    cur = con.execute(registry.ORACLE_SQL["op3_line_dedup"])
+    cols = [c[0] for c in cur.description]
+    got = registry.QUERIES["op3_line_dedup"](spark, str(tmp_path))
+    want = sorted(cur.fetchall(), key=repr)
+    assert as_set(got, *cols) == want
+    assert all(r[3] == 1 for r in want)
