@@ -135,25 +135,23 @@ def _units(pattern: re.Pattern, min_words: int, pieces: bool):
                 for d, h, text in zip(*(part.column(c).to_pylist()
                                         for c in ("doc_id", "text_hash", "text"))):
                     text = text or ""
-                    found = []
-                    for n, m in enumerate(pattern.finditer(text)):
-                        words = _WORD.findall(m.group().casefold())
-                        if len(words) >= min_words:
-                            found.append((n, m.start(), m.end(), len(words)))
-                            digests.append(xxh3_128_digest(" ".join(words).encode("utf-8", "replace")))
+                    spans = [m.span() for m in pattern.finditer(text)]
+                    starts, ends, ids = _words(text)
+                    raw = ids.tobytes()
+                    if spans:
+                        # a unit's words, by number: those that start in it
+                        at, to = np.array(spans, np.int64).T
+                        lo, hi = np.searchsorted(starts, at), np.searchsorted(starts, to)
+                        n = np.flatnonzero(hi - lo >= min_words)
+                        if len(n):
+                            digests += [xxh3_128_digest(raw[i:j]) for i, j in zip((8 * lo[n]).tolist(),
+                                                                                 (8 * hi[n]).tolist())]
+                            add(d, h, False, n, at[n], to[n], (hi - lo)[n], lo[n] if pieces else np.zeros(len(n)))
                     if not pieces:
-                        if found:
-                            n, start, end, size = zip(*found)
-                            add(d, h, False, n, start, end, size, np.zeros(len(n)))
                         continue
-                    starts, ends, ids = _words(text)
-                    if found:
-                        n, start, end, size = zip(*found)
-                        add(d, h, False, n, start, end, size, np.searchsorted(starts, start))
                     if len(starts) >= PIECE:
                         at = _winnowed(ids)
                         add(d, h, True, at, starts[at], ends[at + PIECE - 1], np.full(len(at), PIECE), at)
-                        raw = ids.tobytes()
                         digests += [xxh3_128_digest(raw[i:i + 8 * PIECE]) for i in (8 * at).tolist()]
                 raw = pa.py_buffer(b"".join(digests))
                 both = pa.Array.from_buffers(pa.int64(), 2 * len(digests), [None, raw]).to_numpy()
