@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lexis.functions.scoring import SCORE_DIGITS, report
 from lexis.operators.bm25 import bm25_idf_table, bm25_search
+from lexis.operators.bitmaps import bitmap_and, posting_bitmaps
 from lexis.operators.boolean import (boolean_search, intersect_keep_left, query_plan, rarest_first, term_lookup,
                                      unknown_terms)
 from lexis.operators.index import (Index, build_index, join_term_table, materialize, posting_blocks,
@@ -258,6 +259,20 @@ def q_boolean_rarest_first(spark, sf_dir):
     return rarest_first(index, bench_terms(spark, sf_dir))
 
 
+@register("boolean_bitmap", BOOLEAN_SQL)
+def q_boolean_bitmap(spark, sf_dir):
+    """The same by intersecting bitmaps of ids."""
+    return bitmap_and(posting_bitmaps(doc_index(spark, sf_dir).postings), bench_terms(spark, sf_dir))
+
+
+@register("posting_bitmaps", O.with_ctes(IDX) + """
+SELECT term, CASE WHEN doc_id > 0 THEN 1 + (doc_id - 1) // 32768 ELSE 0 END AS range, count(*) AS n
+FROM postings GROUP BY ALL""")
+def q_posting_bitmaps(spark, sf_dir):
+    """Every word's bitmaps, by range of ids, with their sizes."""
+    return posting_bitmaps(doc_index(spark, sf_dir).postings).select("term", "range", "n")
+
+
 @register("term_lookup", O.with_ctes(IDX, QRY) + """
 SELECT qt.query_id, qt.term, p.doc_id FROM qt JOIN postings p USING (term)""")
 def q_term_lookup(spark, sf_dir):
