@@ -34,7 +34,7 @@ from lexis.sources.corpus import benchmark_queries, conversation_turns, document
 from lexis.session import scratch_path
 from lexis.sources.stopwords import ENGLISH, file_words, stop_word_list
 from lexis.sources.tables import append_new, collector, read_table, stamp, write_table
-from lexis.sources.xml import export_xml, read_xml
+from lexis.sources.xml import export_xml, export_xml_document, read_xml
 from lexis.streaming.ingest import start_ingest
 from lexis.sources.pages import FIXTURE_ARTICLE, FIXTURE_LINKS, extract_articles, extract_links
 
@@ -519,6 +519,15 @@ def q_xml_round_trip(spark, sf_dir):
     return read_xml(spark, path, schema)
 
 
+@register("xml_document", O.with_ctes(_articles_cte()) + "\nSELECT * FROM art")
+def q_xml_document(spark, sf_dir):
+    """The articles as one XML document from many tasks, read back."""
+    path = scratch_path(spark, "articles") + ".xml"
+    art = extract_articles(table(spark, sf_dir, "pages"))
+    export_xml_document(art, path, root_tag="articles")
+    return read_xml(spark, path, art.schema)
+
+
 @register("collector_stamp", O.with_ctes(_articles_cte()) + f"""
 SELECT page_id, url, title, {_CID_SQL} AS collector_id FROM art""")
 def q_collector_stamp(spark, sf_dir):
