@@ -77,4 +77,4 @@ def test_queries_are_registered():
     import __spark_entry__ as E
     names = set(E.queries())
     assert names >= {"pipeline", *registry.QUERIES} and len(registry.QUERIES) == 13
-    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{i}" for i in range(1, 14)}
