@@ -14,18 +14,21 @@ score.
    distance) of the k best summary entries.
 4. A data vector goes to the query cells whose ball of radius + bound reaches
    it, and to no other.
-5. Cells are solved locally in blocks of at most ``QUERY_BLOCK`` queries and
-   about ``DATA_BLOCK`` vectors, so a cell that holds most rows is many tasks;
-   a window keeps the k best of the blocks' bests.
+5. Cells are solved locally in blocks of about ``QUERY_BLOCK`` queries and
+   ``DATA_BLOCK`` vectors, so a cell that holds most rows is many tasks. How
+   many blocks a cell has follows from the vectors that reach it, so queries
+   are copied only as often as their own cell has data blocks; a window keeps
+   the k best of the blocks' bests.
 
 Bounds are floats and only widen (``SLACK``); scores are integer arithmetic.
 
 Defined cases: vectors that are null or hold a null, NaN or infinite
-component, and rows with a null vec_id, take no part; rows that repeat a
-vec_id count once (the smallest vector); shorter vectors are padded with zero
-components; ties go to the smaller vec_id; with fewer than k candidates all
-are returned; no queries or no data give an empty result; other columns are
-ignored. Scores past 64 bits wrap.
+component, and rows with a null vec_id, take no part; every row is a row of
+its own, so rows that repeat a vec_id, with the same vector or another, are
+candidates each (of each other too) and, where their id fits, queries each;
+shorter vectors are padded with zero components; ties go to the smaller
+vec_id; with fewer than k candidates all are returned; no queries or no data
+give an empty result; other columns are ignored. Scores past 64 bits wrap.
 """
 
 from __future__ import annotations
@@ -46,14 +49,15 @@ SEED = 2
 
 
 def quantized(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, v): floor(scale * x) of every usable vector."""
+    """(vec_id, v, row): floor(scale * x) of every usable vector, rows numbered
+    (the numbers are fixed only once the result is written)."""
     x = F.col("embedding")
     fit = F.forall(x, lambda c: F.coalesce(
         ~F.isnan(c) & (F.abs(c.cast("double")) < F.lit(float("inf"))), F.lit(False)))
     return (vectors.where(F.col("vec_id").isNotNull() & x.isNotNull() & fit)
                    .select(F.col("vec_id").cast("long").alias("vec_id"),
-                           F.transform(x, lambda c: F.floor(c.cast("double") * scale)).alias("v"))
-                   .groupBy("vec_id").agg(F.min("v").alias("v")))
+                           F.transform(x, lambda c: F.floor(c.cast("double") * scale)).alias("v"),
+                           F.monotonically_increasing_id().alias("row")))
 
 
 def _matrix(lists: pa.Array, dim: int) -> np.ndarray:
@@ -93,23 +97,36 @@ def _assign(pivots: np.ndarray, max_sq: float, query: bool):
             d = _distances(x, np.zeros(len(x)) if query else _extra(x, max_sq), pivots)
             cell = d.argmin(1) if len(x) else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), batch.column("v"), pa.array(cell.astype(np.int32)),
-                 pa.array(d[np.arange(len(x)), cell])], ["vec_id", "v", "cell", "dist"])
+                [batch.column("vec_id"), batch.column("v"), batch.column("row"),
+                 pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(x)), cell])],
+                ["vec_id", "v", "row", "cell", "dist"])
     return run
 
 
-def _reach(pivots: np.ndarray, max_sq: float, radius: np.ndarray, bound: np.ndarray,
-           blocks: np.ndarray):
+def _reached(batch: pa.RecordBatch, pivots: np.ndarray, max_sq: float,
+             reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, cell) for every cell whose ball (negative: none) a vector is in."""
+    x = _matrix(batch.column("v"), pivots.shape[1] - 1)
+    return np.nonzero(_distances(x, _extra(x, max_sq), pivots) <= reach)
+
+
+def _reach_counts(pivots: np.ndarray, max_sq: float, reach: np.ndarray):
+    """How many vectors of a task reach each cell."""
+    def run(batches):
+        n = np.zeros(len(pivots), np.int64)
+        for batch in batches:
+            n += np.bincount(_reached(batch, pivots, max_sq, reach)[1], minlength=len(pivots))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n), dtype=np.int32)), pa.array(n)],
+                                         ["cell", "n"])
+    return run
+
+
+def _copies(pivots: np.ndarray, max_sq: float, reach: np.ndarray, blocks: np.ndarray):
     """Copies of each data vector for the query blocks of every cell whose
     ball reaches it."""
-    dim = pivots.shape[1] - 1
-
     def run(batches):
         for batch in batches:
-            x = _matrix(batch.column("v"), dim)
-            d = _distances(x, _extra(x, max_sq), pivots)
-            need = d <= (radius + bound) * (1 + SLACK) + SLACK
-            row, cell = np.nonzero(need & (blocks > 0))
+            row, cell = _reached(batch, pivots, max_sq, reach)
             times = blocks[cell]
             row, cell = np.repeat(row, times), np.repeat(cell, times)
             block = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
@@ -117,31 +134,32 @@ def _reach(pivots: np.ndarray, max_sq: float, radius: np.ndarray, bound: np.ndar
                 pick = slice(at, at + (1 << 16))
                 taken = pa.array(row[pick])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("vec_id").take(taken), batch.column("v").take(taken),
+                    [*(batch.column(c).take(taken) for c in ("vec_id", "v", "row")),
                      pa.array(cell[pick].astype(np.int32)), pa.array(block[pick].astype(np.int32))],
-                    ["vec_id", "v", "cell", "qb"])
+                    ["vec_id", "v", "row", "cell", "qb"])
     return run
 
 
-def best(queries: np.ndarray, q_ids: np.ndarray, data: np.ndarray, ids: np.ndarray, k: int):
-    """(query id, vec_id, score) of each query's k best in one block."""
+def best(queries: np.ndarray, q_rows: np.ndarray, data: np.ndarray, ids: np.ndarray,
+         rows: np.ndarray, k: int):
+    """(number of the query, vec_id, score) of each query's k best in one block."""
     exact = float(np.abs(queries).max(initial=0)) * float(np.abs(data).max(initial=0)) * max(
         queries.shape[1], 1) < 2 ** 53
     order = np.argsort(ids, kind="stable")             # ties to the smaller id
-    data, ids = data[order], ids[order]
+    data, ids, rows = data[order], ids[order], rows[order]
     right = data.T.astype(np.float64) if exact else data.T
     out_q, out_id, out_s = [], [], []
     for at in range(0, len(queries), 64):
         part = queries[at:at + 64]
         scores = ((part.astype(np.float64) @ right).astype(np.int64) if exact else part @ right)
-        for q, s in zip(q_ids[at:at + 64], scores):
-            other = ids != q
+        for i, s in enumerate(scores, at):
+            other = rows != q_rows[i]
             s, who = s[other], ids[other]
             if len(s) > k:
                 some = np.flatnonzero(s >= np.partition(s, len(s) - k)[len(s) - k])
                 s, who = s[some], who[some]
             top = np.argsort(-s, kind="stable")[:k]
-            out_q.append(np.full(len(top), q))
+            out_q.append(np.full(len(top), i))
             out_id.append(who[top])
             out_s.append(s[top])
     join = lambda xs: np.concatenate(xs) if xs else np.empty(0, np.int64)
@@ -150,10 +168,13 @@ def best(queries: np.ndarray, q_ids: np.ndarray, data: np.ndarray, ids: np.ndarr
 
 def _solve(dim: int, k: int):
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        q, i, s = best(_matrix(_lists(left.column("v")), dim), left.column("vec_id").to_numpy(),
-                       _matrix(_lists(right.column("v")), dim), right.column("vec_id").to_numpy(), k)
-        return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(i, pa.int64()),
-                         "score": pa.array(s, pa.int64())})
+        q_ids, q_rows = left.column("vec_id").to_numpy(), left.column("row").to_numpy()
+        q, i, s = best(_matrix(_lists(left.column("v")), dim), q_rows,
+                       _matrix(_lists(right.column("v")), dim), right.column("vec_id").to_numpy(),
+                       right.column("row").to_numpy(), k)
+        return pa.table({"query_row": pa.array(q_rows[q], pa.int64()),
+                         "query_id": pa.array(q_ids[q], pa.int64()),
+                         "vec_id": pa.array(i, pa.int64()), "score": pa.array(s, pa.int64())})
     return run
 
 
@@ -184,10 +205,10 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCAL
     if not n or not n_queries:
         return empty
     p = pivots or int(np.clip(-(-n_queries // QUERIES_PER_PIVOT), MIN_PIVOTS, MAX_PIVOTS))
-    sample = data.orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id").limit(p).select("v").collect()
+    sample = data.orderBy(F.xxhash64(F.lit(SEED), "vec_id"), "vec_id", "v").limit(p).select("v").collect()
     px = _matrix(pa.array([r["v"] for r in sample], pa.list_(pa.int64())), dim)
     px = np.hstack([px.astype(np.float64), _extra(px, max_sq)[:, None]])
-    schema = "vec_id long, v array<bigint>, cell int, dist double"
+    schema = "vec_id long, v array<bigint>, row long, cell int, dist double"
     cells = data.mapInArrow(_assign(px, max_sq, False), schema)
     queries = saved(data.where(is_query).mapInArrow(_assign(px, max_sq, True), schema), "knn-queries")
 
@@ -199,20 +220,26 @@ def knn_join(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCAL
     for c, r, m in queries.groupBy("cell").agg(F.max("dist"), F.count(F.lit(1))).collect():
         radius[c], count[c] = r, m
     limit = bounds(px, radius, [(e["cell"], e["dist"]) for e in entries], k)
-    blocks = -(-count // QUERY_BLOCK)
-
-    n_db = max(1, -(-n // DATA_BLOCK))
+    reach = np.where(count > 0, (radius + limit) * (1 + SLACK) + SLACK, -1.0)
+
+    # blocks of each cell: of its queries, and of the vectors that reach it
+    reaching = np.zeros(len(px), np.int64)
+    for c, m in (data.mapInArrow(_reach_counts(px, max_sq, reach), "cell int, n long")
+                     .groupBy("cell").agg(F.sum("n")).collect()):
+        reaching[c] = m
+    q_blocks, d_blocks = -(-count // QUERY_BLOCK), -(-reaching // DATA_BLOCK)
+    of_cell = lambda blocks: F.element_at(                           # noqa: E731
+        F.array(*[F.lit(int(max(b, 1))) for b in blocks]), F.col("cell") + 1)
     keys = ["cell", "qb", "db"]
-    right = (data.mapInArrow(_reach(px, max_sq, radius, limit, blocks),
-                             "vec_id long, v array<bigint>, cell int, qb int")
-                 .withColumn("db", F.pmod(F.xxhash64("vec_id"), F.lit(n_db)).cast("int")))
+    right = (data.mapInArrow(_copies(px, max_sq, reach, q_blocks),
+                             "vec_id long, v array<bigint>, row long, cell int, qb int")
+                 .withColumn("db", F.pmod(F.xxhash64("row"), of_cell(d_blocks)).cast("int")))
     # a query's block: hashed, so that no window gathers a cell
-    per_cell = F.element_at(F.array(*[F.lit(int(max(b, 1))) for b in blocks]), F.col("cell") + 1)
-    left = (queries.withColumn("qb", F.pmod(F.xxhash64(F.lit(SEED), "vec_id"), per_cell).cast("int"))
-                   .withColumn("db", F.explode(F.sequence(F.lit(0), F.lit(int(n_db - 1)))))
-                   .select("vec_id", "v", *keys))
+    left = (queries.withColumn("qb", F.pmod(F.xxhash64(F.lit(SEED), "row"), of_cell(q_blocks)).cast("int"))
+                   .withColumn("db", F.explode(F.sequence(F.lit(0), of_cell(d_blocks) - 1)))
+                   .select("vec_id", "v", "row", *keys))
     found = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
-                 .applyInArrow(_solve(dim, k), "query_id long, vec_id long, score long"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+                 .applyInArrow(_solve(dim, k), "query_row long, query_id long, vec_id long, score long"))
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
                  .select("query_id", "rank", "vec_id", "score"))
