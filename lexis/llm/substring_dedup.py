@@ -12,7 +12,12 @@ Units are normalised (Unicode-folded case, words only) and hashed to 128 bits;
 of each digest the earliest occurrence stays, by (doc_id, place in the text),
 and all others are removed. Units keep their character offsets in the original
 text. A piece that overlaps its own earliest occurrence is removed from the end
-of that occurrence on.
+of that occurrence on. Line units and pieces are never compared with each other.
+
+Short sentences repeat by chance. So a sentence inside a line goes only as part
+of a stretch of ``MIN_STRETCH`` words or more, or next to such a stretch that
+came from the same document; a unit goes by itself where it is a whole line,
+here or where it stands first.
 
 Earliest places are minima, aggregated before they shuffle, so a passage that
 a third of all documents share is one row per task. Only digests that occur
@@ -41,6 +46,8 @@ from lexis.llm.common import (broadcast_if_small, matched, replace_text, saved,
                               whole_rows)
 
 MIN_WORDS = 5
+#: Words of a stretch that goes though no whole line repeats in it.
+MIN_STRETCH = 16
 #: Units cut at line feeds, and after sentence ends within a line.
 UNIT = re.compile(r"[^\n]+?(?:[.!?。]+(?=\s|$)|(?=\n)|$)", re.M)
 PARAGRAPH = re.compile(r"[^\n](?:.*?)(?=\n\s*\n|\Z)", re.S)
@@ -51,9 +58,11 @@ _WORD = re.compile(r"\w+")
 PIECE, WINDOW = 16, 16
 _BASE = 0x9E3779B97F4A7C15
 
-UNITS = ("doc_id long, text_hash long, piece boolean, unit int, start int, end int, n_words int, "
+UNITS = ("doc_id long, text_hash long, piece boolean, whole boolean, unit int, start int, end int, n_words int, "
          "word int, d1 long, d2 long")
-_TYPES = (pa.int64(), pa.int64(), pa.bool_(), *[pa.int32()] * 5)
+_TYPES = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), *[pa.int32()] * 5)
+#: Digests of pieces, so that no piece has the digest of a line unit.
+_PIECE_SEED = 1
 
 
 def _codes(text: str) -> np.ndarray:
@@ -121,16 +130,18 @@ def _units(pattern: re.Pattern, min_words: int, pieces: bool):
         from xxhash import xxh3_128_digest
         for batch in batches:
             for part in text_slices(batch, "text", 1 << 20):
-                chunks: list[list[np.ndarray]] = [[] for _ in range(8)]
+                chunks: list[list[np.ndarray]] = [[] for _ in _TYPES]
                 docs: list[list] = [[], []]
                 digests = []
 
-                def add(d, h, piece, *cols):
+                def add(d, h, piece, whole, *cols):
                     n = len(cols[0])
                     docs[0] += [d] * n
                     docs[1] += [h] * n
-                    for c, x in zip(chunks[2:], (np.full(n, piece), *cols)):
-                        c.append(np.asarray(x, bool if c is chunks[2] else np.int32))
+                    chunks[2].append(np.full(n, piece))
+                    chunks[3].append(whole)
+                    for c, x in zip(chunks[4:], cols):
+                        c.append(np.asarray(x, np.int32))
 
                 for d, h, text in zip(*(part.column(c).to_pylist()
                                         for c in ("doc_id", "text_hash", "text"))):
@@ -146,21 +157,23 @@ def _units(pattern: re.Pattern, min_words: int, pieces: bool):
                         if len(n):
                             digests += [xxh3_128_digest(raw[i:j]) for i, j in zip((8 * lo[n]).tolist(),
                                                                                  (8 * hi[n]).tolist())]
-                            add(d, h, False, n, at[n], to[n], (hi - lo)[n], lo[n] if pieces else np.zeros(len(n)))
+                            whole = np.array([(i == 0 or text[i - 1] == "\n") and text[j:j + 1] in ("", "\n")
+                                              for i, j in zip(at[n].tolist(), to[n].tolist())])
+                            add(d, h, False, whole, n, at[n], to[n], (hi - lo)[n], lo[n] if pieces else np.zeros(len(n)))
                     if not pieces:
                         continue
                     if len(starts) >= PIECE:
                         at = _winnowed(ids)
-                        add(d, h, True, at, starts[at], ends[at + PIECE - 1], np.full(len(at), PIECE), at)
-                        digests += [xxh3_128_digest(raw[i:i + 8 * PIECE]) for i in (8 * at).tolist()]
+                        add(d, h, True, np.zeros(len(at), bool), at, starts[at], ends[at + PIECE - 1], np.full(len(at), PIECE), at)
+                        digests += [xxh3_128_digest(raw[i:i + 8 * PIECE], _PIECE_SEED) for i in (8 * at).tolist()]
                 raw = pa.py_buffer(b"".join(digests))
                 both = pa.Array.from_buffers(pa.int64(), 2 * len(digests), [None, raw]).to_numpy()
                 cols = docs + [np.concatenate(c) if c else [] for c in chunks[2:]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(cols, _TYPES)]
                     + [pa.array(both[::2]), pa.array(both[1::2])],
-                    ["doc_id", "text_hash", "piece", "unit", "start", "end", "n_words", "word", "d1",
-                     "d2"])
+                    ["doc_id", "text_hash", "piece", "whole", "unit", "start", "end", "n_words", "word",
+                     "d1", "d2"])
     return run
 
 
@@ -177,7 +190,7 @@ def units(docs: DataFrame, pattern: re.Pattern = UNIT, min_words: int = MIN_WORD
 def _later(docs: DataFrame, pattern: re.Pattern, min_words: int, pieces: bool) -> DataFrame:
     """The units that are not the earliest of their digest, with its place ``p``."""
     all_units = units(docs, pattern, min_words, pieces)
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "unit", "end")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "unit", "end", "whole")
     first = (all_units.groupBy("d1", "d2").agg(F.min(place).alias("p"), F.max(place).alias("q"))
                       .where("p <> q")
                       .select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), "p"))
@@ -195,12 +208,14 @@ def repeats(docs: DataFrame, pattern: re.Pattern = UNIT, min_words: int = MIN_WO
 
 
 def repeated_spans(docs: DataFrame, pattern: re.Pattern = UNIT,
-                   min_words: int = MIN_WORDS) -> DataFrame:
+                   min_words: int = MIN_WORDS, min_stretch: int = MIN_STRETCH) -> DataFrame:
     """Removed stretches: (doc_id, text_hash, start, end, n_units, n_words,
     first_doc_ids); neighbouring line units and overlapping units are joined.
     n_units counts line units and pieces, n_words the words removed. Fewer than
     ``min_words`` words before the first or after the last line unit of a
-    stretch stay, as short line units do."""
+    stretch stay, as short line units do. A stretch of fewer than ``min_stretch``
+    words goes only with a whole line in it or beside a longer one from the same
+    document."""
     r = _later(docs, pattern, min_words, True).dropDuplicates(["doc_id", "text_hash", "piece", "unit"])
     own = F.col("piece") & F.col("p.doc_id").eqNullSafe(F.col("doc_id")) & (
         F.col("p.text_hash") == F.col("text_hash"))
@@ -226,14 +241,22 @@ def repeated_spans(docs: DataFrame, pattern: re.Pattern = UNIT,
                   F.max(F.when(line, F.col("end"))).alias("line_end"),
                   (F.min(F.when(line, F.col("word"))) - F.min("word")).alias("head"),
                   (F.max("word_end") - F.max(F.when(line, F.col("word_end")))).alias("tail"),
+                  F.max(line & (F.col("whole") | F.col("p.whole"))).alias("whole"),
                   F.count(F.lit(1)).alias("n_units"), F.sum("fresh").alias("n_words"),
                   F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids")))
     short_head, short_tail = F.col("head") < min_words, F.col("tail") < min_words
-    return runs.select(
+    cut = runs.select(
         "doc_id", "text_hash", F.when(short_head, F.col("line_start")).otherwise(F.col("start")).alias("start"),
         F.when(short_tail, F.col("line_end")).otherwise(F.col("end")).alias("end"), "n_units",
         (F.col("n_words") - F.when(short_head, F.col("head")).otherwise(0)
-         - F.when(short_tail, F.col("tail")).otherwise(0)).alias("n_words"), "first_doc_ids")
+         - F.when(short_tail, F.col("tail")).otherwise(0)).alias("n_words"), "first_doc_ids", "whole")
+    in_text = of_doc.orderBy("start", "end")
+    long = F.col("n_words") >= min_stretch
+    beside = [F.coalesce(at(long).over(in_text)
+                         & F.arrays_overlap("first_doc_ids", at("first_doc_ids").over(in_text)), F.lit(False))
+              for at in (F.lag, F.lead)]
+    return (cut.withColumn("goes", long | F.col("whole") | beside[0] | beside[1])
+               .where("goes").drop("goes", "whole"))
 
 
 def remove_repeats(docs: DataFrame, **options) -> DataFrame:

@@ -82,6 +82,58 @@ def test_both_sides_of_the_broadcast_switch(spark, monkeypatch):
     assert {tuple(r) for r in got.collect()} == brute(ROWS)
 
 
+def spans_of(spark, rows, **options):
+    got = {}
+    for r in S.repeated_spans(frame(spark, rows), **options).collect():
+        got.setdefault(r["doc_id"], []).append((r["start"], r["end"], r["n_words"]))
+    return got
+
+
+def test_short_sentences_within_lines_stay_unless_beside_a_longer_stretch(spark):
+    short, other = "It rained on the hill again.", "They all went home after that."
+    long = " ".join(f"long{i}" for i in range(20)) + "."
+    rows = [(1, f"One own start. {short} Then one thing. {other} {long} And an end."),
+            (2, f"Two begins so. {short} Then two things. {other} Off."),       # chance repeats
+            (3, f"Three begins so. {short} Ha. {long} Off."),                     # beside the long one of 1
+            (4, f"Four begins so.\n{short}\nOff."),                              # a whole line
+            (5, f"{short} Five ends so.")]
+    got = spans_of(spark, rows)
+    assert set(got) == {3, 4}
+    assert sum(n for *_, n in got[3]) == 26 and [n for *_, n in got[4]] == [6]
+    assert set(spans_of(spark, rows, min_stretch=1)) == {2, 3, 4, 5}
+
+
+def test_a_sentence_as_long_as_a_piece_is_no_repeat_of_itself(spark):
+    rows = [(d, " ".join(f"d{d}s{i}w{j}" for j in range(S.PIECE)) + ".\n" + f"d{d} more of it.")
+            for d in range(20) for i in [d]]
+    rows.append((50, " ".join(f"z{i}" for i in range(40)) + ". "
+                 + " ".join(f"y{i}" for i in range(S.PIECE)) + ". " + " ".join(f"x{i}" for i in range(40))))
+    assert spans_of(spark, rows) == {}
+
+
+def test_passages_are_caught_and_clean_documents_left_alone(spark):
+    """Documents of sentences from a small stock, so that short ones repeat by
+    chance; every third holds a passage of 51 to 80 words that others hold."""
+    import random
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(900)]
+    stock = [" ".join(rng.choices(vocabulary, k=rng.randint(5, 8))) + "." for _ in range(400)]
+    fresh = lambda: " ".join(rng.choices(vocabulary, k=rng.randint(4, 30))) + "."     # noqa: E731
+    passages = [" ".join(rng.choices([f"p{i}" for i in range(5000)], k=rng.randint(51, 80))) for _ in range(10)]
+    rows, held = [], {}
+    for d in range(300):
+        parts = [" ".join([fresh(), rng.choice(stock), fresh()]) for _ in range(4)]
+        if d % 3 == 0:
+            held[d] = passages[d // 3 % 10]
+            parts[2] = f"{fresh()} {held[d]} {fresh()}"
+        rows.append((d, "\n".join(parts)))
+    got, first = spans_of(spark, rows), {p: min(d for d in held if held[d] == p) for p in passages}
+    later = [d for d in held if first[held[d]] != d]
+    assert sum(d in got for d in later) >= 0.97 * len(later)
+    clean = [d for d, _ in rows if d not in later]
+    assert sum(d not in got for d in clean) >= 0.9 * len(clean)
+
+
 def words_left(spark, rows):
     return {r["doc_id"]: r["text"].split() for r in S.remove_repeats(frame(spark, rows)).collect()}
 
