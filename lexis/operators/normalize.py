@@ -206,3 +206,74 @@ def lemmatize_postings(index, dictionary: DataFrame) -> DataFrame:
     j = join_term_table(index, p, d, "left")
     return (j.select(F.coalesce(F.col("_lemma"), F.col("term")).alias("term"), "doc_id", "tf")
              .groupBy("term", "doc_id").agg(F.sum("tf").cast("long").alias("tf")))
+
+
+# --- words that a dictionary lacks ---------------------------------------------
+
+#: Longest ending a rule may ask for, and pairs that must agree on a rule.
+MAX_ENDING, MIN_SUPPORT = 6, 2
+
+
+def _endings(word: str, least, max_ending: int) -> Column:
+    """Lengths of a word's endings, from ``least`` on; a letter stays before each."""
+    most = F.least(F.lit(max_ending), F.length(word) - 1)
+    return F.when(most >= least, F.sequence(least, most)).otherwise(F.array().cast("array<int>"))
+
+
+def suffix_rules(dictionary: DataFrame, min_support: int = MIN_SUPPORT,
+                 max_ending: int = MAX_ENDING) -> DataFrame:
+    """(ending, cut, tail, support) learned from a (form, lemma) dictionary: of
+    a word with this ending the last ``cut`` letters go and ``tail`` follows.
+
+    A pair votes for its change at each ending that covers the letters cut; an
+    ending takes the change of most votes (then the one that cuts less, then the
+    smaller tail), if ``min_support`` pairs agree. A lemma that is no form of
+    another is a form of itself, so endings of lemmas vote for no change. Votes
+    are summed before they shuffle, so a common ending is one row a task.
+    """
+    lemmas = (dictionary.select(F.col("lemma").alias("form"), "lemma").distinct()
+                        .join(dictionary.select("form"), "form", "left_anti"))
+    pairs = dictionary.select("form", "lemma").unionByName(lemmas)
+    shorter = F.least(F.length("form"), F.length("lemma"))
+    same = F.when(shorter > 0, F.size(F.filter(F.sequence(F.lit(1), shorter), lambda i: F.substring(
+        "form", F.lit(1), i) == F.substring("lemma", F.lit(1), i)))).otherwise(0)
+    split = pairs.withColumn("same", same).select(
+        "form", (F.length("form") - F.col("same")).alias("cut"),
+        F.expr("substring(lemma, same + 1)").alias("tail"))
+    votes = (split.withColumn("n", F.explode(_endings("form", F.greatest("cut", F.lit(1)), max_ending)))
+                  .groupBy(F.expr("right(form, n)").alias("ending"), "cut", "tail")
+                  .agg(F.count(F.lit(1)).alias("support")))
+    best = F.min(F.struct((-F.col("support")).alias("votes"), "cut", "tail"))
+    return (votes.where(F.col("support") >= min_support).groupBy("ending").agg(best.alias("b"))
+                 .select("ending", "b.cut", "b.tail", (-F.col("b.votes")).alias("support")))
+
+
+def guess_lemmas(words: DataFrame, rules: DataFrame, max_ending: int = MAX_ENDING,
+                 term: str = "term") -> DataFrame:
+    """(term, lemma, ending) of distinct words: the rule of a word's longest
+    ending that has one decides; without any the word stays as it is and
+    ``ending`` is NULL. Cost follows the vocabulary; endings are as skewed as
+    letters are, so the join is broadcast or salted."""
+    from lexis.operators.query import hot_join
+    w = words.select(F.col(term).alias("term")).distinct()
+    tails = (w.withColumn("n", F.explode_outer(_endings("term", F.lit(1), max_ending)))
+              .select("term", F.expr("right(term, n)").alias("ending")))
+    found = hot_join(tails, rules.select("ending", "cut", "tail"), "ending", "left")
+    longest = F.max(F.when(F.col("cut").isNotNull(),
+                           F.struct(F.length("ending").alias("n"), "ending", "cut", "tail")))
+    return (found.groupBy("term").agg(longest.alias("b"))
+                 .select("term", F.coalesce(F.expr("concat(substring(term, 1, length(term) - b.cut), b.tail)"),
+                                            F.col("term")).alias("lemma"), F.col("b.ending").alias("ending")))
+
+
+def analyse_vocabulary(terms: DataFrame, dictionary: DataFrame, min_support: int = MIN_SUPPORT,
+                       max_ending: int = MAX_ENDING) -> DataFrame:
+    """(term, lemma, ending, known) for every word of a vocabulary: by the
+    dictionary where it has the word, else by rules learned from it."""
+    rules = suffix_rules(dictionary, min_support, max_ending)
+    words = terms.select("term").distinct()
+    entry = dictionary.select(F.col("form").alias("term"), "lemma")
+    known = words.join(entry, "term").select("term", "lemma", F.lit(None).cast("string").alias("ending"),
+                                             F.lit(True).alias("known"))
+    rest = words.join(entry, "term", "left_anti")
+    return known.unionByName(guess_lemmas(rest, rules, max_ending).withColumn("known", F.lit(False)))

@@ -23,8 +23,8 @@ from lexis.operators.index import (Index, build_index, join_term_table, material
                                    term_doc_rows, weighted_postings)
 from lexis.operators.store import load_index, postings_table_name, save_index
 from lexis.operators.lsa import gram_matrices, gram_of_factors, lsa_search, query_matrix, triangular_factors
-from lexis.operators.normalize import (PORTER_1A, lemma_dictionary, lemmatize_postings,
-                                       stem_vocabulary)
+from lexis.operators.normalize import (MAX_ENDING, MIN_SUPPORT, PORTER_1A, analyse_vocabulary,
+                                       lemma_dictionary, lemmatize_postings, stem_vocabulary)
 from lexis.operators.tokens import doc_words, parse_queries, tokens
 from lexis.operators.vector import (cosine_search, dense_vectors, query_weighted_postings,
                                     vector_idf_table)
@@ -432,6 +432,36 @@ def q_lemmatize_dictionary(spark, sf_dir):
     return lemmatize_postings(idx, lemma_dictionary(plural_pairs(idx.terms)))
 
 
+@register("lemmatize_unknown", O.with_ctes(IDX, f"""
+dict AS (SELECT a.term AS form, b.term AS lemma FROM terms a JOIN terms b ON a.term = b.term || 's'),
+pairs AS (SELECT form, lemma FROM dict UNION ALL
+          SELECT DISTINCT lemma, lemma FROM dict WHERE lemma NOT IN (SELECT form FROM dict)),
+split AS (SELECT form, lemma, len(list_filter(range(1, least(length(form), length(lemma)) + 1),
+                 lambda i: substr(form, 1, i) = substr(lemma, 1, i))) AS same FROM pairs),
+votes AS (SELECT right(form, n) AS ending, cut, tail, count(*) AS support FROM (
+            SELECT form, length(form) - same AS cut, substr(lemma, same + 1) AS tail,
+                   unnest(range(greatest(length(form) - same, 1),
+                                least({MAX_ENDING}, length(form) - 1) + 1)) AS n FROM split)
+          GROUP BY ALL HAVING count(*) >= {MIN_SUPPORT}),
+rules AS (SELECT * FROM votes
+          QUALIFY row_number() OVER (PARTITION BY ending ORDER BY support DESC, cut, tail) = 1),
+rest AS (SELECT term FROM terms WHERE term NOT IN (SELECT form FROM dict)),
+hits AS (SELECT e.term, r.ending, r.cut, r.tail FROM (
+           SELECT term, right(term, n) AS ending FROM (
+             SELECT term, unnest(range(1, least({MAX_ENDING}, length(term) - 1) + 1)) AS n FROM rest)) e
+         JOIN rules r ON r.ending = e.ending
+         QUALIFY row_number() OVER (PARTITION BY e.term ORDER BY length(r.ending) DESC) = 1)""") + """
+SELECT form AS term, lemma, NULL::VARCHAR AS ending, TRUE AS known FROM dict
+UNION ALL
+SELECT rest.term, coalesce(left(rest.term, length(rest.term) - cut) || tail, rest.term), ending, FALSE
+FROM rest LEFT JOIN hits ON hits.term = rest.term""")
+def q_lemmatize_unknown(spark, sf_dir):
+    """Every word of the corpus analysed, those the dictionary lacks by
+    suffix rules learned from it."""
+    idx = stored_index(spark, sf_dir)
+    return analyse_vocabulary(idx.terms, lemma_dictionary(plural_pairs(idx.terms)))
+
+
 # --- matrix views and LSA ----------------------------------------------------
 
 @register("posting_blocks", O.with_ctes(IDX) + """
