@@ -237,9 +237,15 @@ def triangular_factors(entries: DataFrame) -> DataFrame:
     factor of t columns per query, and every level of the tree shuffles those
     to a sixteenth as many (query, node) groups.
     """
-    spark = entries.sparkSession
-    r = _document_runs(entries).mapInArrow(_partial_r, R_SCHEMA)
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return merge_tree(_document_runs(entries).mapInArrow(_partial_r, R_SCHEMA))
+
+
+def merge_tree(r: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Triangular factors, ``node`` the number of the task that made each
+    (one of ``tasks``), merged until about ``MERGE_FAN_IN`` for each query are
+    left."""
+    spark = r.sparkSession
+    tasks = tasks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     while tasks > MERGE_FAN_IN:
         tasks = -(-tasks // MERGE_FAN_IN)
         r = (r.withColumn("node", F.floor(F.col("node") / MERGE_FAN_IN).cast("int"))

@@ -21,6 +21,7 @@ from lexis.operators.boolean import (boolean_search, intersect_keep_left, query_
                                      unknown_terms)
 from lexis.operators.index import (Index, build_index, join_term_table, materialize, posting_blocks,
                                    term_doc_rows, weighted_postings)
+from lexis.operators.latent import PROBES, by_word, entries, latent_query, probe
 from lexis.operators.store import load_index, postings_table_name, save_index
 from lexis.operators.lsa import gram_matrices, gram_of_factors, lsa_search, query_matrix, triangular_factors
 from lexis.operators.normalize import (MAX_ENDING, MIN_SUPPORT, PORTER_1A, analyse_vocabulary,
@@ -531,6 +532,43 @@ def q_lsa_reference_topk(spark, sf_dir):
     return lsa_search(stored_index(spark, sf_dir), bench_terms(spark, sf_dir), metric="reference")
 
 
+_ENTRIES = """
+ent AS (SELECT p.doc_id, p.term, md5(p.term || ':0') AS h,
+               (p.tf::DOUBLE / p.n_tokens) * ln(c.n_docs::DOUBLE / t.df) AS w
+        FROM postings p JOIN terms t USING (term) CROSS JOIN corpus c),
+y AS (SELECT doc_id, """ + ", ".join(
+    f"sum(CASE WHEN substr(h, {c + 1}, 1) < '8' THEN w ELSE -w END) AS y{c}" for c in range(PROBES)) + """
+      FROM ent GROUP BY doc_id)"""
+
+
+def _reported(df: DataFrame, key: str) -> DataFrame:
+    # + 0.0: a sum that cancels is 0.0, whatever its sign
+    return df.select(key, *[(report(F.col(c)) + F.lit(0.0)).alias(c) for c in df.columns if c != key])
+
+
+@register("latent_probe", O.with_ctes(IDX, _ENTRIES) + "\nSELECT doc_id, " + ", ".join(
+    f"round(y{c}, {SCORE_DIGITS}) + 0.0::DOUBLE AS y{c}" for c in range(PROBES)) + " FROM y")
+def q_latent_probe(spark, sf_dir):
+    """The block that the corpus-wide factors start from, by document."""
+    return _reported(probe(entries(stored_index(spark, sf_dir))), "doc_id")
+
+
+@register("latent_power_step", O.with_ctes(IDX, _ENTRIES) + "\nSELECT term, " + ", ".join(
+    f"round(sum(w * y{c}), {SCORE_DIGITS}) + 0.0::DOUBLE AS z{c}" for c in range(PROBES)) + """
+FROM ent JOIN y USING (doc_id) GROUP BY term""")
+def q_latent_power_step(spark, sf_dir):
+    """That block sent through the documents x words matrix, by word."""
+    a = entries(stored_index(spark, sf_dir))
+    return _reported(by_word(a, probe(a)), "term")
+
+
+@register("latent_topk")
+def q_latent_topk(spark, sf_dir):
+    """Top 10 per passage by rank-5 factors of the whole corpus
+    (checked against numpy's SVD in tests)."""
+    return latent_query(stored_index(spark, sf_dir), bench_terms(spark, sf_dir), metric="cosine")
+
+
 # --- sinks, provenance, streaming ------------------------------------------
 
 ARTICLE_SCHEMA = "page_id long, url string, title string, content string, keywords string"
