@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from lexis.functions.scoring import SCORE_DIGITS, report
 from lexis.operators.bm25 import bm25_idf_table, bm25_search
 from lexis.operators.bitmaps import bitmap_and, posting_bitmaps
+from lexis.operators.bounds import bounded_search, store_bounded
 from lexis.operators.boolean import (boolean_search, intersect_keep_left, query_plan, rarest_first, term_lookup,
                                      unknown_terms)
 from lexis.operators.index import (Index, build_index, join_term_table, materialize, posting_blocks,
@@ -175,6 +176,13 @@ def q_bm25_batch(spark, sf_dir):
     return bm25_search(stored_index(spark, sf_dir), bench_terms(spark, sf_dir))
 
 
+@register("bm25_bounded", O.with_ctes(IDX, QRY, BM25_SCORES) + O.top_k_sql("bm25"))
+def q_bm25_bounded(spark, sf_dir):
+    """The same ranking, from the blocks whose score bounds reach it."""
+    idx = stored_index(spark, sf_dir)
+    return bounded_search(idx, store_bounded(idx, scratch_path(spark, "bounded")), bench_terms(spark, sf_dir))
+
+
 # --- vector space ----------------------------------------------------------
 
 VEC = f"""
