@@ -19,9 +19,10 @@ Every basis comes from a tall-skinny QR: tasks reduce their rows to one l x l
 triangular factor (l = probes), factors merge along the tree of
 ``lsa.triangular_factors``, and about ``MERGE_FAN_IN`` of them, l x l numbers
 each whatever the corpus, reach the driver. Turning rows by the l x l matrix that
-follows is a map over Arrow batches. Documents meet words by ``join_term_table``: frequent
-words, at most ``HOT_TERMS_MAX`` rows of l doubles, are broadcast and their
-postings do not move. Weighted postings are written once, bucketed by document.
+follows is a map over Arrow batches. Frequent words, at most
+``HOT_TERMS_MAX`` rows of l doubles, are broadcast and their postings never move;
+those of rare words are shuffled. Weighted postings are written once, bucketed by
+document.
 
 Defined cases: an index without documents, or with no weight above zero, gives
 no component, and every candidate scores 0. A matrix of lower rank gives fewer
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexis.functions.scoring import LSA_RANK, TOP_K, cosine
-from lexis.operators.index import Index, join_term_table, weighted_postings
+from lexis.operators.index import HOT_TERMS_MAX, Index, weighted_postings
 from lexis.operators.lsa import LSA_RCOND, R_SCHEMA, _add_rows, _factor_rows, merge_tree
 from lexis.operators.query import candidate_postings, is_small, maybe_broadcast
 from lexis.operators.store import bucket_count
@@ -85,11 +86,30 @@ def entries(index: Index) -> DataFrame:
     return weighted_postings(index).select("doc_id", "term", F.col("tf_idf").alias("w"))
 
 
-def stored_entries(index: Index, path: str, name: str) -> DataFrame:
-    """``entries`` written once under ``path`` as the table ``name``, bucketed
-    by document."""
-    spark = index.sparkSession
-    df, buckets = entries(index), bucket_count(index.postings)
+def _df_step() -> Column:
+    """df in quarter powers of two."""
+    return F.floor(F.log2(F.col("df").cast("double")) * 4).cast("int")
+
+
+def frequent_step(index: Index, words_max: int = HOT_TERMS_MAX) -> int:
+    """The step of df from which a word counts as frequent: at most
+    ``words_max`` words reach it (a bound on what is broadcast), all where the
+    dictionary is no longer. A few hundred counts decide."""
+    held, least = 0, 4 * 64                              # no df reaches 2**64
+    for r in index.terms.groupBy(_df_step().alias("step")).count().orderBy(F.col("step").desc()).collect():
+        held += r["count"]
+        if held > words_max:
+            break
+        least = r.step
+    return least
+
+
+def stored_entries(index: Index, path: str, name: str, words_max: int = HOT_TERMS_MAX) -> DataFrame:
+    """(doc_id, term, w, frequent): ``entries`` written once under ``path`` as
+    the table ``name``, bucketed by document."""
+    least, spark, buckets = frequent_step(index, words_max), index.sparkSession, bucket_count(index.postings)
+    df = weighted_postings(index).select("doc_id", "term", F.col("tf_idf").alias("w"),
+                                         (_df_step() >= least).alias("frequent"))
     (df.repartition(buckets, "doc_id").write.format("parquet").bucketBy(buckets, "doc_id").sortBy("doc_id")
        .option("path", path).saveAsTable(name))
     return spark.table(name)
@@ -111,18 +131,28 @@ def probe(a: DataFrame, probes: int = PROBES) -> DataFrame:
 
 
 def by_word(a: DataFrame, y: DataFrame) -> DataFrame:
-    """(term, z0..): A^T Y. Partial sums first, so a frequent word sends one
-    row for each task."""
-    ys = [c for c in y.columns if c != "doc_id"]
-    return a.join(y, "doc_id").groupBy("term").agg(
+    """(term [, frequent], z0..): A^T Y. Partial sums first, so a frequent word
+    sends one row for each task."""
+    ys, keys = [c for c in y.columns if c != "doc_id"], [c for c in ("term", "frequent") if c in a.columns]
+    return a.join(y, "doc_id").groupBy(*keys).agg(
         *[F.sum(F.col("w") * F.col(c)).alias(f"z{i}") for i, c in enumerate(ys)])
 
 
-def by_document(index: Index, a: DataFrame, q: DataFrame) -> DataFrame:
-    """(doc_id, y0..): A Q."""
-    qs = [c for c in q.columns if c != "term"]
-    return join_term_table(index, a, q).groupBy("doc_id").agg(
-        *[F.sum(F.col("w") * F.col(c)).alias(f"y{i}") for i, c in enumerate(qs)])
+def by_document(a: DataFrame, q: DataFrame) -> DataFrame:
+    """(doc_id, y0..): A Q. Entries of frequent words meet a broadcast of these
+    words' rows in their document's bucket, and do not move. Only those of rare
+    words, none of which holds many, are shuffled by word; then each document
+    has two rows to add."""
+    qs = [c for c in q.columns if c not in ("term", "frequent")]
+    ys = _block("y", len(qs))
+
+    def sums(entries: DataFrame, words: DataFrame) -> DataFrame:
+        return entries.join(words, "term").groupBy("doc_id").agg(
+            *[F.sum(F.col("w") * F.col(c)).alias(y) for c, y in zip(qs, ys)])
+    often, frequent = F.col("frequent"), ["frequent"]
+    near = sums(a.where(often).drop(*frequent), F.broadcast(q.where(often).drop(*frequent)))
+    far = sums(a.where(~often).drop(*frequent), q.where(~often).drop(*frequent))
+    return near.unionByName(far).groupBy("doc_id").agg(*[F.sum(y).alias(y) for y in ys])
 
 
 def _task_factor(batches):
@@ -147,28 +177,28 @@ def column_svd(rows: DataFrame, cols: list[str]) -> tuple[np.ndarray, np.ndarray
     return s[keep], right[keep].T
 
 
-def turned(rows: DataFrame, key: str, cols: list[str], m: np.ndarray, prefix: str) -> DataFrame:
-    """(key, prefix0..): the rows times ``m``, batch by batch. (As column
+def turned(rows: DataFrame, keys: list[str], cols: list[str], m: np.ndarray, prefix: str) -> DataFrame:
+    """(keys, prefix0..): the rows times ``m``, batch by batch. (As column
     expressions, l x l literals would make new code to compile in every step.)"""
     names = _block(prefix, m.shape[1])
 
     def run(batches):
         for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]) @ m
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x[:, j]) for j in range(len(names))]],
-                                             names=[key, *names])
-    schema = T.StructType([rows.schema[key], *[T.StructField(c, T.DoubleType()) for c in names]])
-    return rows.select(key, *cols).mapInArrow(run, schema)
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[len(keys):]]) @ m
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keys)], *[pa.array(x[:, j]) for j in range(len(names))]],
+                                             names=[*keys, *names])
+    schema = T.StructType([*[rows.schema[k] for k in keys], *[T.StructField(c, T.DoubleType()) for c in names]])
+    return rows.select(*keys, *cols).mapInArrow(run, schema)
 
 
 def fit_latent(index: Index, path: str, rank: int = LSA_RANK, probes: int = PROBES,
-               tolerance: float = TOLERANCE, max_steps: int = MAX_STEPS) -> Latent:
+               tolerance: float = TOLERANCE, max_steps: int = MAX_STEPS, words_max: int = HOT_TERMS_MAX) -> Latent:
     """Factors of ``index`` (stored or materialised: it is read in every step)
     under ``path``, with min(rank, rank of A) components."""
     if not 0 < rank <= probes or max_steps < 1:
         raise ValueError("probes must be at least the rank, rank and steps at least 1")
     spark, name = index.sparkSession, f"lexis_latent_{uuid.uuid4().hex[:16]}"
-    a = stored_entries(index, f"{path}/entries", name)
+    a = stored_entries(index, f"{path}/entries", name, words_max)
     try:
         return _fitted(spark, index, a, path, rank, probes, tolerance, max_steps)
     finally:
@@ -181,12 +211,12 @@ def _fitted(spark: SparkSession, index: Index, a: DataFrame, path: str, rank: in
     before, settled, s = None, False, np.zeros(0)
     for step in range(max_steps):
         z = _written(by_word(a, y), f"{path}/words-{step}")
-        cols = [c for c in z.columns if c != "term"]
+        cols = _block("z", len(y.columns) - 1)
         sz, vz = column_svd(z, cols)
-        q = turned(z, "term", cols, vz / sz, "q")
+        q = turned(z, ["term", "frequent"], cols, vz / sz, "q")
         if not len(sz):
             break
-        y = _written(by_document(index, a, q), f"{path}/documents-{step}")
+        y = _written(by_document(a, q), f"{path}/documents-{step}")
         s, t = column_svd(y, _block("y", len(sz)))
         now = s[:rank]
         settled = before is not None and len(now) == len(before) and bool(
@@ -198,8 +228,8 @@ def _fitted(spark: SparkSession, index: Index, a: DataFrame, path: str, rank: in
         return Latent(words=_written(a.select("term").distinct(), f"{path}/words"),
                       docs=_written(index.docs.select("doc_id"), f"{path}/docs"), values=[], settled=True)
     s, t = s[:rank], t[:, :rank]
-    words = turned(q, "term", _block("q", t.shape[0]), t / s, "f")
-    docs = turned(y, "doc_id", _block("y", t.shape[0]), t / s, "d")
+    words = turned(q, ["term"], _block("q", t.shape[0]), t / s, "f")
+    docs = turned(y, ["doc_id"], _block("y", t.shape[0]), t / s, "d")
     words.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{path}/words")
     docs.write.parquet(f"{path}/docs")
     spark.createDataFrame([(i, float(v), settled) for i, v in enumerate(s)],

@@ -58,10 +58,10 @@ def topics(n=240, seed=5):
     return out
 
 
-@pytest.mark.parametrize("rank", [1, 3])
-def test_values_and_ranking_of_a_small_corpus(spark, rank):
+@pytest.mark.parametrize("rank,words_max", [(1, 0), (3, 5), (3, 200_000)])     # no, some, all words broadcast
+def test_values_and_ranking_of_a_small_corpus(spark, rank, words_max):
     idx = indexed(spark, TINY)
-    model = fit_latent(idx, scratch_path(spark, "t-fit"), rank=rank)
+    model = fit_latent(idx, scratch_path(spark, "t-fit"), rank=rank, words_max=words_max)
     for text in ("apple plum", "slate violin unheard", "harp"):
         s, want = brute_force(idx, text, rank)
         assert model.settled and model.values == pytest.approx(list(s), rel=1e-9)
