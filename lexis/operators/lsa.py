@@ -9,14 +9,16 @@ singular value or vector. With A = U S V^T (documents x words):
 * a document is its row of U_k = (A . V_k . S_k^-1)_d;
 * scores compare the two k-vectors (true cosine or the reference form).
 
-Distributed plan: a tall-skinny QR. Every task reduces its documents' rows of
-a query's matrix to a triangular factor of at most t x t (t = words in the
+Distributed plan: a tall-skinny QR. The postings of a batch's words move once, by
+document, whatever the number of queries that ask for them (``batch``); only a
+batch too large to be sent to the tasks has a row for each (query, document, word).
+Every task reduces its documents' rows of a query's matrix to a triangular factor of at most t x t (t = words in the
 query), factors are stacked and reduced again along a tree (``MERGE_FAN_IN``
 to one), and the SVD is taken of the one R that is left: A = Q R has A's
 singular values and right vectors, to the precision of A itself. (A^T A would
 square the condition number; ``gram_matrices`` still gives it.) Documents are
-projected by a join of their postings with the factor table and a sum, like
-any other score. Nothing per document is collected.
+projected by a product of the same blocks with the factor table. Nothing per
+document is collected.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexis.functions.scoring import LSA_RANK, TOP_K, cosine, tf_idf
+from lexis.operators.batch import BatchMatrix, asked, batch_matrix, blocks
 from lexis.operators.index import Index
 from lexis.operators.query import candidate_postings, is_small, maybe_broadcast, with_term_stats
 from lexis.operators.topk import top_k
@@ -59,11 +62,17 @@ GRAM_SCHEMA = "query_id long, i int, j int, g double"
 R_SCHEMA = "query_id long, node int, t int, r binary"
 
 
-def query_matrix(index: Index, qterms: DataFrame, small: bool | None = None) -> DataFrame:
-    """Entries of each query's documents x words matrix:
-    (query_id, doc_id, ti, term, w) with ti = 0..t-1 the word's column."""
+def query_matrix(index: Index, qterms: DataFrame, small: bool | None = None) -> DataFrame | BatchMatrix:
+    """Each query's documents x words matrix. A small batch: the postings of its
+    words, by document. A larger one: entries (query_id, doc_id, ti, term, w) with
+    ti = 0..t-1 the word's column."""
     if small is None:
         small = is_small(qterms)
+    return batch_matrix(index, qterms) if small else query_entries(index, qterms, small)
+
+
+def query_entries(index: Index, qterms: DataFrame, small: bool) -> DataFrame:
+    """(query_id, doc_id, ti, term, w): a row for each entry of each query's matrix."""
     known = with_term_stats(index, qterms, None, small).select("query_id", "term", "df", "n_docs")
     cols = known.withColumn("ti", (F.row_number().over(
         Window.partitionBy("query_id").orderBy("term")) - 1).cast("int"))
@@ -150,13 +159,29 @@ def _complete(batches):
         yield tuple(pend[:4])
 
 
-def _reduced(batches, add, send):
+def _runs(batches):
+    """Blocks of each complete part of a task's entries."""
+    for part in _complete(batches):
+        yield _dense_blocks(*part)
+
+
+def _asked(columns: dict):
+    """The same of a ``BatchMatrix``, whose queries have ``columns``."""
+    width = 1 + max((int(c.max()) for c in columns.values()), default=-1)
+
+    def run(batches):
+        for _, _, _, weights, has, _ in blocks(batches, width, GRAM_BYTES):
+            yield ((q, m) for q, _, m in asked(columns, weights, has))
+    return run
+
+
+def _reduced(parts, add, send):
     """Per task: ``add`` over this task's blocks, query by query; what is held
     goes out when it passes ``GRAM_BYTES``, and at the end. No Python loop over
     rows: a block is one matrix operation."""
     acc: dict[int, np.ndarray] = {}
-    for part in _complete(batches):
-        for q, m in _dense_blocks(*part):
+    for part in parts:
+        for q, m in part:
             add(acc, q, m)
         if sum(g.nbytes for g in acc.values()) > GRAM_BYTES:
             yield from send(acc)                # what comes after the task joins them
@@ -164,9 +189,9 @@ def _reduced(batches, add, send):
     yield from send(acc)
 
 
-def _partial_gram(batches):
+def _partial_gram(runs):
     """A_q^T A_q summed over a task's documents, per query."""
-    return _reduced(batches, _add_gram, _cells)
+    return lambda batches: _reduced(runs(batches), _add_gram, _cells)
 
 
 def _factor_rows(acc: dict, node: int):
@@ -185,10 +210,12 @@ def _factor_rows(acc: dict, node: int):
             size += r.nbytes
 
 
-def _partial_r(batches):
+def _partial_r(runs):
     """Triangular factors of a task's documents, per query."""
-    node = TaskContext.get().partitionId()
-    return _reduced(batches, _add_rows, lambda acc: _factor_rows(acc, node))
+    def run(batches):
+        node = TaskContext.get().partitionId()
+        return _reduced(runs(batches), _add_rows, lambda acc: _factor_rows(acc, node))
+    return run
 
 
 def _merged_r(batches):
@@ -209,17 +236,23 @@ def _merged_r(batches):
     yield from send()
 
 
-def gram_matrices(entries: DataFrame) -> DataFrame:
+def _reduced_in_tasks(entries: DataFrame | BatchMatrix, partial, schema: str) -> DataFrame:
+    if isinstance(entries, BatchMatrix):
+        return entries.entries.mapInArrow(partial(_asked(entries.columns)), schema)
+    return _document_runs(entries).mapInArrow(partial(_runs), schema)
+
+
+def gram_matrices(entries: DataFrame | BatchMatrix) -> DataFrame:
     """(query_id, i, j, g) upper triangle of A^T A for every query.
 
-    The window over (query, document) makes the planner co-locate each
+    Of a ``BatchMatrix`` a document's postings are together. Of entries, the window over (query, document) makes the planner co-locate each
     document's entries and sort them: on a document-partitioned (bucketed)
     index that needs no shuffle at all, otherwise Spark adds one. Its value,
     the number of query words the document holds, is bounded by the query.
     Tasks emit at most t^2 partial sums per query (t = the query's words);
     the final sum is per matrix cell.
     """
-    partial = _document_runs(entries).mapInArrow(_partial_gram, GRAM_SCHEMA)
+    partial = _reduced_in_tasks(entries, _partial_gram, GRAM_SCHEMA)
     return partial.groupBy("query_id", "i", "j").agg(F.sum("g").alias("g"))
 
 
@@ -229,7 +262,7 @@ def _document_runs(entries: DataFrame) -> DataFrame:
                    .withColumn("k", F.row_number().over(per_doc)))
 
 
-def triangular_factors(entries: DataFrame) -> DataFrame:
+def triangular_factors(entries: DataFrame | BatchMatrix) -> DataFrame:
     """(query_id, node, t, r): about ``MERGE_FAN_IN`` triangular factors at
     most for every query, whose stacked rows have A's Gram matrix.
 
@@ -237,7 +270,7 @@ def triangular_factors(entries: DataFrame) -> DataFrame:
     factor of t columns per query, and every level of the tree shuffles those
     to a sixteenth as many (query, node) groups.
     """
-    return merge_tree(_document_runs(entries).mapInArrow(_partial_r, R_SCHEMA))
+    return merge_tree(_reduced_in_tasks(entries, _partial_r, R_SCHEMA))
 
 
 def merge_tree(r: DataFrame, tasks: int | None = None) -> DataFrame:
@@ -306,11 +339,45 @@ def factor_table(factors: DataFrame, k: int = LSA_RANK, rcond: float = LSA_RCOND
     return factors.groupBy("query_id").applyInPandas(_factors(k, rcond), factor_schema(k))
 
 
+def _projected(columns: dict, factors: dict[int, np.ndarray], k: int):
+    """Tasks of (query_id, doc_id, dot, q2, d2): every candidate's row times its
+    query's factors, and the products that the measure takes."""
+    width = 1 + max((int(c.max()) for c in columns.values()), default=-1)
+
+    def run(batches):
+        for ids, col, row, weights, has, w in blocks(batches, width, GRAM_BYTES):
+            if len(w) > np.count_nonzero(has):           # postings that repeat add up
+                weights = np.zeros(has.shape)
+                np.add.at(weights, (col, row), w)
+            for q, rows, m in asked(columns, weights, has):
+                f = factors.get(q, np.zeros((m.shape[1], k)))
+                d, folded = m @ f, f.sum(axis=0)         # q = 1 on every known query word
+                n = len(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, q, np.int64)), ids.take(pa.array(rows)), pa.array(d @ folded),
+                     pa.array(np.full(n, folded @ folded)), pa.array(np.einsum("ij,ij->i", d, d))],
+                    names=["query_id", "doc_id", "dot", "q2", "d2"])
+    return run
+
+
+def _batch_scores(a: BatchMatrix, k: int, metric: str, rcond: float) -> DataFrame:
+    """Scores of a small batch: its factor table, one row per (query, query word),
+    goes to the tasks with the batch."""
+    factors: dict[int, np.ndarray] = {q: np.zeros((len(c), k)) for q, c in a.columns.items()}
+    for r in factor_table(triangular_factors(a), k, rcond).collect():
+        factors[r.query_id][r.ti] = [r[f"f{c}"] for c in range(k)]
+    kind = a.entries.schema["doc_id"].dataType.simpleString()
+    proj = a.entries.mapInArrow(_projected(a.columns, factors, k),
+                                f"query_id long, doc_id {kind}, dot double, q2 double, d2 double")
+    return proj.select("query_id", "doc_id", cosine(F.col("dot"), F.col("q2"), F.col("d2"), metric).alias("score"))
+
+
 def lsa_scores(index: Index, qterms: DataFrame, k: int = LSA_RANK, metric: str = "reference",
                rcond: float = LSA_RCOND) -> DataFrame:
     """(query_id, doc_id, score) for every candidate document.
 
-    The factor table has one column per component (k is fixed when the plan
+    A small batch is scored block by block, its postings moved by document only.
+    For a larger one the factor table has one column per component (k is fixed when the plan
     is built) and carries the folded query, so projecting a document is one
     aggregation of its entries -- k sums side by side, no k-fold copy of the
     candidates -- and the factor table is consumed once (computing it twice
@@ -318,6 +385,8 @@ def lsa_scores(index: Index, qterms: DataFrame, k: int = LSA_RANK, metric: str =
     """
     small = is_small(qterms)
     a = query_matrix(index, qterms, small)
+    if isinstance(a, BatchMatrix):
+        return _batch_scores(a, k, metric, rcond)
     factors = factor_table(triangular_factors(a), k, rcond)
     comps = list(range(k))
     # left: a document whose words all have zero factors is a candidate still,
