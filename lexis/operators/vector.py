@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexis.functions.scoring import TOP_K, cosine, report, tf_idf, vector_idf
+from lexis.operators.batch import BatchMatrix, batch_matrix, blocks
 from lexis.operators.index import Index, corpus_stats
 from lexis.operators.query import candidate_postings, is_small, maybe_broadcast, with_term_stats
 from lexis.operators.topk import top_k
 
+# Workers need no copy of the package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Bytes of one block of weights, and of the vectors sent on at a time.
+VECTOR_BYTES = 32 << 20
+
 
 def vector_idf_table(index: Index, qterms: DataFrame, n_docs: int | None = None,
                      small: bool | None = None) -> DataFrame:
@@ -80,14 +92,48 @@ def dense_vectors(index: Index, qwords: DataFrame, qterms: DataFrame,
 
     ``qwords``: (query_id, words array) in query order with repeats.
     Returns (query_id, doc_id, vector array<double>) for every candidate
-    document. Each candidate's weights become a small map (bounded by the
-    query's distinct words) and the vector is read off the word list, so
-    the doc x word grid is never shuffled.
+    document. A small batch: the postings of its words move once, by document,
+    and tasks read the vectors of a run of documents off one block of weights,
+    query by query (``batch``). A larger batch: each candidate's weights become a
+    small map (bounded by the query's distinct words) and the vector is read off
+    the word list. Either way the doc x word grid is never shuffled.
     """
     small = is_small(qterms)
+    if small and is_small(qwords):
+        return _batch_vectors(batch_matrix(index, qterms), qwords)
     hits = query_weighted_postings(index, qterms, n_docs, small)
     maps = hits.groupBy("query_id", "doc_id").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("m"))
     joined = maps.join(maybe_broadcast(qwords, is_small(qwords)), "query_id")
     vec = F.transform("words", lambda t: report(F.coalesce(F.try_element_at("m", t), F.lit(0.0))))
     return joined.select("query_id", "doc_id", vec.alias("vector"))
+
+
+def _batch_vectors(a: BatchMatrix, qwords: DataFrame) -> DataFrame:
+    """Vectors of a small batch. Weights are rounded once for each posting; words
+    that no document holds read a row of zeros. A (document, word) that comes
+    twice is an error, as the weight to read would be either."""
+    # by row of ``qwords`` (an id that repeats has a vector for each)
+    lists = [(r.query_id, a.columns[r.query_id], np.array([a.vocabulary.get(t, a.width) for t in r.words], int))
+             for r in qwords.collect() if r.query_id in a.columns]
+    width = a.width
+
+    def run(batches):
+        for ids, _, _, weights, has, w in blocks(batches, width, VECTOR_BYTES):
+            if len(w) > np.count_nonzero(has):
+                raise ValueError("a document has two postings of one word: merge or drop repeated keys first")
+            weights = np.vstack([weights, np.zeros((1, weights.shape[1]))])
+            for q, cols, places in lists:
+                rows = np.flatnonzero(has[cols].any(axis=0))
+                step = max(1, VECTOR_BYTES // (8 * len(places)))
+                for at in range(0, len(rows), step):
+                    some = rows[at:at + step]
+                    flat = np.ascontiguousarray(weights[places][:, some].T).ravel()
+                    ends = np.arange(0, len(flat) + 1, len(places), dtype=np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(some), q, np.int64)), ids.take(pa.array(some)),
+                         pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                        names=["query_id", "doc_id", "vector"])
+    kind = a.entries.schema["doc_id"].dataType.simpleString()
+    rounded = a.entries.withColumn("w", report(F.col("w")))
+    return rounded.mapInArrow(run, f"query_id long, doc_id {kind}, vector array<double>")
