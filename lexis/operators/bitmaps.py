@@ -1,8 +1,10 @@
 """Posting lists as bitmaps, and Boolean AND by intersecting them.
 
 A word's documents are one bitmap for each range of 32,768 ids that holds any
-(Spark's ``bitmap_*`` functions: 4 KB, built with map-side combine). The lists
-of a query's words meet by (query, range) and are intersected by
+(Spark's ``bitmap_*`` functions: 4 KB). Most words have one document in a range, so
+a posting is sent as its place in the range, and bitmaps are built where the places
+have met, one at a time: of 4 KB rows none is shuffled or sorted. A (word, range)
+holds 32,768 places at most. The lists of a query's words meet by (query, range) and are intersected by
 ``bitmap_and_agg``, again combined before the shuffle, so what crosses the
 network is bounded by the ranges, however long a list is. Only ranges that all
 words have are kept, and only non-empty intersections are turned back into ids.
@@ -33,9 +35,11 @@ RANGE = 32_768
 def posting_bitmaps(postings: DataFrame) -> DataFrame:
     """(term, range, bits, n): the documents of every word, by range of ids."""
     ids = postings.where(F.col("doc_id").isNotNull()).select("term", F.col("doc_id").cast("long").alias("doc_id"))
-    bits = F.bitmap_construct_agg(F.bitmap_bit_position("doc_id"))
-    return (ids.groupBy("term", F.bitmap_bucket_number("doc_id").alias("range")).agg(bits.alias("bits"))
-               .withColumn("n", F.bitmap_count("bits")))
+    at = ids.select("term", F.bitmap_bucket_number("doc_id").alias("range"),
+                    F.bitmap_bit_position("doc_id").cast("int").alias("bit"))
+    bits = F.bitmap_construct_agg(F.col("bit").cast("long"))
+    return (at.repartition("term", "range").groupBy("term", "range").agg(bits.alias("bits"))
+              .withColumn("n", F.bitmap_count("bits")))
 
 
 def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
