@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexis.functions.scoring import tf_idf
@@ -200,7 +200,8 @@ def join_term_table(index: Index, rows: DataFrame, table: DataFrame, how: str =
     more than 1 / hot_terms_max of the postings.
     """
     hot = F.broadcast(hot_terms(index, hot_terms_max))
-    hot_rows = rows.join(hot, "term", "left_semi")
+    # an inner join with the hot terms' table keeps their rows alone
+    hot_rows = rows if how == "inner" else rows.join(hot, "term", "left_semi")
     cold_rows = rows.join(hot, "term", "left_anti")
     # one row a term, so at most hot_terms_max rows are broadcast
     hot_table = F.broadcast(table.join(hot, "term", "left_semi").dropDuplicates(["term"]))
@@ -208,15 +209,16 @@ def join_term_table(index: Index, rows: DataFrame, table: DataFrame, how: str =
     return hot_rows.join(hot_table, "term", how).unionByName(cold_rows.join(cold_table, "term", how))
 
 
-def weighted_postings(index: Index, hot_terms_max: int = HOT_TERMS_MAX) -> DataFrame:
-    """Postings with df and tf_idf = (tf / n_tokens) * ln(N / df).
+def weighted_postings(index: Index, hot_terms_max: int = HOT_TERMS_MAX, by_term: Sequence[Column] = ()) -> DataFrame:
+    """Postings with df and tf_idf = (tf / n_tokens) * ln(N / df), and the columns
+    ``by_term``, computed once for each row of the dictionary.
 
     Joining every posting to its term's df is the one join keyed by term,
     where a stop-like word can hold a third of all rows: see
     ``join_term_table``.
     """
     stats = F.broadcast(index.corpus.select("n_docs"))
-    t = index.terms.select("term", "df").crossJoin(stats)
+    t = index.terms.select("term", "df", *by_term).crossJoin(stats)
     joined = join_term_table(index, index.postings, t, "inner", hot_terms_max)
     return joined.withColumn("tf_idf", tf_idf(F.col("tf"), F.col("n_tokens"), F.col("df"),
                                               F.col("n_docs")))

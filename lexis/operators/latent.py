@@ -81,9 +81,23 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def entries(index: Index) -> DataFrame:
-    """(doc_id, term, w): the entries of A, lazily."""
-    return weighted_postings(index).select("doc_id", "term", F.col("tf_idf").alias("w"))
+def _signs(probes: int) -> list[Column]:
+    """A word's row of W as bits: bit c of _s<d> is set where the word's md5 of
+    number d has a hex digit of 8 or more at c, for -1."""
+    out = []
+    for d in range(-(-probes // _DIGITS)):
+        h = F.md5(F.concat(F.col("term"), F.lit(f":{d}")))
+        bits = [F.when(F.substring(h, c + 1, 1) < "8", F.lit(0)).otherwise(F.lit(1 << c)).cast("long")
+                for c in range(min(_DIGITS, probes - d * _DIGITS))]
+        out.append(sum(bits[1:], bits[0]).alias(f"_s{d}"))
+    return out
+
+
+def entries(index: Index, probes: int = PROBES) -> DataFrame:
+    """(doc_id, term, w, _s0..): the entries of A, lazily, with their words' signs."""
+    signs = _signs(probes)
+    return weighted_postings(index, by_term=signs).select(
+        "doc_id", "term", F.col("tf_idf").alias("w"), *[f"_s{d}" for d in range(len(signs))])
 
 
 def _df_step() -> Column:
@@ -104,12 +118,15 @@ def frequent_step(index: Index, words_max: int = HOT_TERMS_MAX) -> int:
     return least
 
 
-def stored_entries(index: Index, path: str, name: str, words_max: int = HOT_TERMS_MAX) -> DataFrame:
-    """(doc_id, term, w, frequent): ``entries`` written once under ``path`` as
+def stored_entries(index: Index, path: str, name: str, words_max: int = HOT_TERMS_MAX,
+                   probes: int = PROBES) -> DataFrame:
+    """(doc_id, term, w, frequent, _s0..): ``entries`` written once under ``path`` as
     the table ``name``, bucketed by document."""
     least, spark, buckets = frequent_step(index, words_max), index.sparkSession, bucket_count(index.postings)
-    df = weighted_postings(index).select("doc_id", "term", F.col("tf_idf").alias("w"),
-                                         (_df_step() >= least).alias("frequent"))
+    signs = _signs(probes)
+    df = weighted_postings(index, by_term=signs).select(
+        "doc_id", "term", F.col("tf_idf").alias("w"), (_df_step() >= least).alias("frequent"),
+        *[f"_s{d}" for d in range(len(signs))])
     (df.repartition(buckets, "doc_id").write.format("parquet").bucketBy(buckets, "doc_id").sortBy("doc_id")
        .option("path", path).saveAsTable(name))
     return spark.table(name)
@@ -120,13 +137,11 @@ def _block(prefix: str, n: int) -> list[str]:
 
 
 def probe(a: DataFrame, probes: int = PROBES) -> DataFrame:
-    """(doc_id, y0..): A W. A document's words meet in its bucket."""
-    for d in range(-(-probes // _DIGITS)):
-        a = a.withColumn(f"_h{d}", F.md5(F.concat(F.col("term"), F.lit(f":{d}"))))
-
+    """(doc_id, y0..): A W. A document's words meet in its bucket. The signs come
+    with the entries, looked up with their words' weights: no digest of each."""
     def sign(c: int) -> Column:
-        digit = F.substring(f"_h{c // _DIGITS}", c % _DIGITS + 1, 1)
-        return F.when(digit < "8", F.col("w")).otherwise(-F.col("w"))
+        bit = F.col(f"_s{c // _DIGITS}").bitwiseAND(F.lit(1 << c % _DIGITS).cast("long"))
+        return F.when(bit == 0, F.col("w")).otherwise(-F.col("w"))
     return a.groupBy("doc_id").agg(*[F.sum(sign(c)).alias(y) for c, y in enumerate(_block("y", probes))])
 
 
@@ -198,7 +213,7 @@ def fit_latent(index: Index, path: str, rank: int = LSA_RANK, probes: int = PROB
     if not 0 < rank <= probes or max_steps < 1:
         raise ValueError("probes must be at least the rank, rank and steps at least 1")
     spark, name = index.sparkSession, f"lexis_latent_{uuid.uuid4().hex[:16]}"
-    a = stored_entries(index, f"{path}/entries", name, words_max)
+    a = stored_entries(index, f"{path}/entries", name, words_max, probes)
     try:
         return _fitted(spark, index, a, path, rank, probes, tolerance, max_steps)
     finally:
