@@ -26,6 +26,19 @@ from lexis.operators.tokens import doc_words
 from lexis.profile import LanguageProfile
 
 
+def merged_repeats(dw: DataFrame) -> DataFrame:
+    """Postings of one-row-per-document words, those of rows that share a key
+    merged into one document. Only such rows move for it: the postings of the
+    others come from their own row, as they are."""
+    again = dw.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
+    if not again.limit(1).collect():
+        return postings_from_words(dw)
+    again = maybe_broadcast(again, is_small(again))
+    shared = F.col("doc_id").eqNullSafe(F.col("_again"))
+    return postings_from_words(dw.join(again, shared, "left_anti")).unionByName(
+        merge_postings(postings_from_words(dw.join(again, shared, "left_semi"))))
+
+
 def index_batch(spark: SparkSession, batch: DataFrame, index_path: str, profile: LanguageProfile,
                 text_cols: Sequence[str] = ("text",), key: str = "doc_id",
                 batch_id: str = "0", repeats: str = "merge") -> None:
@@ -54,9 +67,7 @@ def index_batch(spark: SparkSession, batch: DataFrame, index_path: str, profile:
                 seen = stored.join(maybe_broadcast(keys, is_small(keys)), "doc_id", "left_semi").distinct()
                 new = dw.join(seen, "doc_id", "left_anti")
                 ignored = dw.join(seen, "doc_id", "left_semi").count()
-        postings = postings_from_words(new)
-        if repeats == "merge":
-            postings = merge_postings(postings)
+        postings = merged_repeats(new) if repeats == "merge" else postings_from_words(new)
         state = before or new_generation(postings)
         # Documents with no token are recorded too, so they are not retried.
         row = write_batch(spark, path, state, postings, new.select("doc_id"), batch_id, all_docs=True)
