@@ -10,19 +10,18 @@ Randomised block iteration, on Spark tables only:
 
 * probe: Y = A W, W[t, c] = +1 or -1 by the c-th hex digit of the word's md5,
   so W is never stored, joined or seeded by a task;
-* step:  Z = A^T Y by word, Q = an orthonormal basis of Z's columns, Y = A Q by
-  document. Steps go on until the k largest singular values of Y settle, or
-  ``max_steps``; ``Latent.settled`` says which;
+* step:  Z = A^T P by word, P a basis of Y's columns, Q = an orthonormal basis of
+  Z's columns, Y = A Q by document. Steps go on until the k largest singular
+  values of Y settle, or ``max_steps``; ``Latent.settled`` says which;
 * end:   with Y = P R and R = X S T^T the factors are S, Q T and Y T S^-1.
 
-Every basis comes from a tall-skinny QR: tasks reduce their rows to one l x l
-triangular factor (l = probes), factors merge along the tree of
-``lsa.triangular_factors``, and about ``MERGE_FAN_IN`` of them, l x l numbers
-each whatever the corpus, reach the driver. Turning rows by the l x l matrix that
-follows is a map over Arrow batches. Frequent words, at most
-``HOT_TERMS_MAX`` rows of l doubles, are broadcast and their postings never move;
-those of rare words are shuffled. Weighted postings are written once, bucketed by
-document.
+A is written once, in blocks of a part of the documents each (``latent_blocks``), and
+stays where it is. A step sends a row for each (part, word) to the word's group and, as
+the sum, back; so both products are made where the part's entries lie. Parts reduce
+their documents' rows, and the words' rows they count, to l x l triangular factors
+(l = probes), merged along the tree of ``lsa.triangular_factors``: about
+``MERGE_FAN_IN`` of them, whatever the corpus, reach the driver. The bases are l x l
+matrices that go along with the next step.
 
 Defined cases: an index without documents, or with no weight above zero, gives
 no component, and every candidate scores 0. A matrix of lower rank gives fewer
@@ -36,17 +35,16 @@ import uuid
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
-from pyspark import TaskContext, cloudpickle
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lexis.functions.scoring import LSA_RANK, TOP_K, cosine
 from lexis.operators.index import HOT_TERMS_MAX, Index, weighted_postings
-from lexis.operators.lsa import LSA_RCOND, R_SCHEMA, _add_rows, _factor_rows, merge_tree
+from lexis.operators.latent_blocks import (OF_ROWS, OF_WORDS, Blocks, document_table, documents_of, factor, signed,
+                                           store_blocks, word_table, words_of)
+from lexis.operators.lsa import LSA_RCOND
 from lexis.operators.query import candidate_postings, is_small, maybe_broadcast
-from lexis.operators.store import bucket_count
 from lexis.operators.topk import top_k
 from lexis.session import scratch_path
 
@@ -100,38 +98,6 @@ def entries(index: Index, probes: int = PROBES) -> DataFrame:
         "doc_id", "term", F.col("tf_idf").alias("w"), *[f"_s{d}" for d in range(len(signs))])
 
 
-def _df_step() -> Column:
-    """df in quarter powers of two."""
-    return F.floor(F.log2(F.col("df").cast("double")) * 4).cast("int")
-
-
-def frequent_step(index: Index, words_max: int = HOT_TERMS_MAX) -> int:
-    """The step of df from which a word counts as frequent: at most
-    ``words_max`` words reach it (a bound on what is broadcast), all where the
-    dictionary is no longer. A few hundred counts decide."""
-    held, least = 0, 4 * 64                              # no df reaches 2**64
-    for r in index.terms.groupBy(_df_step().alias("step")).count().orderBy(F.col("step").desc()).collect():
-        held += r["count"]
-        if held > words_max:
-            break
-        least = r.step
-    return least
-
-
-def stored_entries(index: Index, path: str, name: str, words_max: int = HOT_TERMS_MAX,
-                   probes: int = PROBES) -> DataFrame:
-    """(doc_id, term, w, frequent, _s0..): ``entries`` written once under ``path`` as
-    the table ``name``, bucketed by document."""
-    least, spark, buckets = frequent_step(index, words_max), index.sparkSession, bucket_count(index.postings)
-    signs = _signs(probes)
-    df = weighted_postings(index, by_term=signs).select(
-        "doc_id", "term", F.col("tf_idf").alias("w"), (_df_step() >= least).alias("frequent"),
-        *[f"_s{d}" for d in range(len(signs))])
-    (df.repartition(buckets, "doc_id").write.format("parquet").bucketBy(buckets, "doc_id").sortBy("doc_id")
-       .option("path", path).saveAsTable(name))
-    return spark.table(name)
-
-
 def _block(prefix: str, n: int) -> list[str]:
     return [f"{prefix}{c}" for c in range(n)]
 
@@ -153,59 +119,15 @@ def by_word(a: DataFrame, y: DataFrame) -> DataFrame:
         *[F.sum(F.col("w") * F.col(c)).alias(f"z{i}") for i, c in enumerate(ys)])
 
 
-def by_document(a: DataFrame, q: DataFrame) -> DataFrame:
-    """(doc_id, y0..): A Q. Entries of frequent words meet a broadcast of these
-    words' rows in their document's bucket, and do not move. Only those of rare
-    words, none of which holds many, are shuffled by word; then each document
-    has two rows to add."""
-    qs = [c for c in q.columns if c not in ("term", "frequent")]
-    ys = _block("y", len(qs))
-
-    def sums(entries: DataFrame, words: DataFrame) -> DataFrame:
-        return entries.join(words, "term").groupBy("doc_id").agg(
-            *[F.sum(F.col("w") * F.col(c)).alias(y) for c, y in zip(qs, ys)])
-    often, frequent = F.col("frequent"), ["frequent"]
-    near = sums(a.where(often).drop(*frequent), F.broadcast(q.where(often).drop(*frequent)))
-    far = sums(a.where(~often).drop(*frequent), q.where(~often).drop(*frequent))
-    return near.unionByName(far).groupBy("doc_id").agg(*[F.sum(y).alias(y) for y in ys])
-
-
-def _task_factor(batches):
-    """One triangular factor of all rows of a task."""
-    acc: dict[int, np.ndarray] = {}
-    for batch in batches:
-        if batch.num_rows:
-            _add_rows(acc, 0, np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
-    yield from _factor_rows(acc, TaskContext.get().partitionId())
-
-
-def column_svd(rows: DataFrame, cols: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Non-zero singular values of the rows x ``cols`` matrix, falling, and its
-    right singular vectors as columns. A few l x l factors are fetched."""
-    factors = rows.select(*cols).mapInArrow(_task_factor, R_SCHEMA)
-    factors = merge_tree(factors, tasks=factors.rdd.getNumPartitions())
-    found = [np.frombuffer(f.r, "<f8").reshape(-1, f.t) for f in factors.collect()]
-    if not found:
-        return np.zeros(0), np.zeros((len(cols), 0))
-    _, s, right = np.linalg.svd(np.vstack(found), full_matrices=False)
+def small_svd(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Non-zero singular values, falling, and right singular vectors as columns."""
+    if not r.shape[0]:
+        return np.zeros(0), np.zeros((r.shape[1], 0))
+    _, s, right = np.linalg.svd(r, full_matrices=False)
     keep = (s > 0) & (s >= LSA_RCOND * s[0])
     return s[keep], right[keep].T
 
 
-def turned(rows: DataFrame, keys: list[str], cols: list[str], m: np.ndarray, prefix: str) -> DataFrame:
-    """(keys, prefix0..): the rows times ``m``, batch by batch. (As column
-    expressions, l x l literals would make new code to compile in every step.)"""
-    names = _block(prefix, m.shape[1])
-
-    def run(batches):
-        for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[len(keys):]]) @ m
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keys)], *[pa.array(x[:, j]) for j in range(len(names))]],
-                                             names=[*keys, *names])
-    schema = T.StructType([*[rows.schema[k] for k in keys], *[T.StructField(c, T.DoubleType()) for c in names]])
-    return rows.select(*keys, *cols).mapInArrow(run, schema)
-
-
 def fit_latent(index: Index, path: str, rank: int = LSA_RANK, probes: int = PROBES,
                tolerance: float = TOLERANCE, max_steps: int = MAX_STEPS, words_max: int = HOT_TERMS_MAX) -> Latent:
     """Factors of ``index`` (stored or materialised: it is read in every step)
@@ -213,38 +135,36 @@ def fit_latent(index: Index, path: str, rank: int = LSA_RANK, probes: int = PROB
     if not 0 < rank <= probes or max_steps < 1:
         raise ValueError("probes must be at least the rank, rank and steps at least 1")
     spark, name = index.sparkSession, f"lexis_latent_{uuid.uuid4().hex[:16]}"
-    a = stored_entries(index, f"{path}/entries", name, words_max, probes)
     try:
+        a = store_blocks(index, f"{path}/entries", name, _signs(probes), words_max)
         return _fitted(spark, index, a, path, rank, probes, tolerance, max_steps)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")        # its files stay
 
 
-def _fitted(spark: SparkSession, index: Index, a: DataFrame, path: str, rank: int, probes: int, tolerance: float,
+def _fitted(spark: SparkSession, index: Index, a: Blocks, path: str, rank: int, probes: int, tolerance: float,
             max_steps: int) -> Latent:
-    y = _written(probe(a, probes), f"{path}/probe")
+    y, basis = _written(signed(a, probes, _DIGITS), f"{path}/probe"), np.eye(probes)
     before, settled, s = None, False, np.zeros(0)
     for step in range(max_steps):
-        z = _written(by_word(a, y), f"{path}/words-{step}")
-        cols = _block("z", len(y.columns) - 1)
-        sz, vz = column_svd(z, cols)
-        q = turned(z, ["term", "frequent"], cols, vz / sz, "q")
+        last, by = y, basis                              # what the words' rows are made of
+        y = _written(documents_of(a, words_of(a, last, by), by.shape[1]), f"{path}/documents-{step}")
+        sz, vz = small_svd(factor(a, y, OF_WORDS, by.shape[1]))
         if not len(sz):
             break
-        y = _written(by_document(a, q), f"{path}/documents-{step}")
-        s, t = column_svd(y, _block("y", len(sz)))
+        q = vz / sz                                      # Z q is orthonormal; the rows of y are A Z
+        s, t = small_svd(factor(a, y, OF_ROWS, by.shape[1]) @ q)
         now = s[:rank]
         settled = before is not None and len(now) == len(before) and bool(
             np.all(np.abs(now - before) <= tolerance * now))
         if settled:
             break
-        before = now
+        before, basis = now, q @ (t / s)
     if not len(s):                                       # no weight above zero
-        return Latent(words=_written(a.select("term").distinct(), f"{path}/words"),
+        return Latent(words=_written(index.terms.select("term"), f"{path}/words"),
                       docs=_written(index.docs.select("doc_id"), f"{path}/docs"), values=[], settled=True)
-    s, t = s[:rank], t[:, :rank]
-    words = turned(q, ["term"], _block("q", t.shape[0]), t / s, "f")
-    docs = turned(y, ["doc_id"], _block("y", t.shape[0]), t / s, "d")
+    s, m = s[:rank], q @ (t[:, :rank] / s[:rank])
+    words, docs = word_table(a, words_of(a, last, by, keyed=True), m, "f"), document_table(a, y, m, "d")
     words.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{path}/words")
     docs.write.parquet(f"{path}/docs")
     spark.createDataFrame([(i, float(v), settled) for i, v in enumerate(s)],

@@ -1,10 +1,15 @@
 """Corpus-wide factors against numpy's SVD of the whole tf-idf matrix."""
 
+import uuid
+
 import numpy as np
 import pytest
 
 from lexis.operators.index import build_index, materialize, weighted_postings
-from lexis.operators.latent import fit_latent, folded_queries, latent_search, load_latent
+from lexis.operators.latent import (_signs, by_word, entries, fit_latent, folded_queries, latent_search, load_latent,
+                                     probe)
+from lexis.operators.latent_blocks import (coded, decoded, document_table, documents_of, signed, store_blocks, word_table,
+                                            words_of)
 from lexis.operators.tokens import parse_queries
 from lexis.profile import LATIN
 from lexis.session import scratch_path
@@ -121,3 +126,54 @@ def test_a_search_reads_the_postings_once(spark):
     model = fit_latent(idx, scratch_path(spark, "t-fit"), rank=2)
     plan = latent_search(idx, model, batch(spark, "apple harp"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ReadSchema: struct<term:string,doc_id:bigint>") == 1
+
+
+def test_a_step_moves_words_and_documents_but_no_postings(spark):
+    idx, name = indexed(spark, topics(60)), f"t_blocks_{uuid.uuid4().hex[:8]}"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")          # more tasks, not more parts
+    try:
+        a = store_blocks(idx, scratch_path(spark, "t-blocks"), name, _signs(4), 0)
+        assert len(a.parts) == len(set(a.parts)) == spark.sparkContext.defaultParallelism
+        path = scratch_path(spark, "t-probe")
+        signed(a, 4, 32).write.parquet(path)
+        y = spark.read.parquet(path)
+        words = words_of(a, y, np.eye(4), keyed=True)
+        docs = documents_of(a, words, 4)
+        # the documents' rows by part, words' rows by group and back by part; never the table of entries
+        plan = docs._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 3
+        moved = sum(len(r["keys"]) // 8 for r in words.collect())
+        held = a.table.where("kind = 1").selectExpr("sum(octet_length(keys)) div 8 AS n").first().n
+        assert moved == held <= len(a.parts) * idx.terms.count() < idx.postings.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_repeated_and_null_documents_are_one_row(spark):
+    docs = [(1, "apple pear"), (1, "plum apple fig"), (2, "plum fig"), (None, "fig pear"), (3, "pear quince quince")]
+    idx, name = indexed(spark, docs), f"t_blocks_{uuid.uuid4().hex[:8]}"
+    try:
+        a = store_blocks(idx, scratch_path(spark, "t-blocks"), name, _signs(2), 10)
+        path = scratch_path(spark, "t-probe")
+        signed(a, 2, 32).write.parquet(path)
+        y = spark.read.parquet(path)
+        want = {r.doc_id: (r.y0, r.y1) for r in probe(entries(idx, 2), 2).collect()}
+        got = {r.doc_id: (r.y0, r.y1) for r in document_table(a, y, np.eye(2), "y").collect()}
+        assert set(got) == set(want) == {1, 2, 3, None}
+        assert all(got[d] == pytest.approx(want[d], abs=1e-12) for d in want)
+        want = {r.term: (r.z0, r.z1) for r in by_word(entries(idx, 2), probe(entries(idx, 2), 2)).collect()}
+        got = {r.term: (r.z0, r.z1) for r in word_table(a, words_of(a, y, np.eye(2), keyed=True), np.eye(2), "z").collect()}
+        assert set(got) == set(want) and all(got[t] == pytest.approx(want[t], abs=1e-10) for t in want)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_rows_that_move_are_near_exact():
+    z = np.random.default_rng(3).normal(size=(500, 16)) * 10.0 ** np.arange(-8, 8)
+    z[0], z[1] = 0.0, -2.0 ** 7
+    z[2:9] *= 1e-200
+    back = decoded(coded(z).tobytes(), 16)
+    assert np.all(np.abs(back - z) <= 2.0 ** -38 * np.abs(z).max(axis=1, keepdims=True))
+    assert decoded(coded(np.zeros((0, 16))).tobytes(), 16).shape == (0, 16)
