@@ -218,7 +218,7 @@ def coded(z: np.ndarray) -> np.ndarray:
     whole = np.clip(np.rint(np.ldexp(z, 39 - e[:, None])), -(1 << 39), (1 << 39) - 1).astype("<i8")
     out = np.empty((n, 2 + 5 * width), np.uint8)
     out[:, :2] = e.astype("<i2").reshape(-1, 1).view(np.uint8)
-    out[:, 2:] = whole.view(np.uint8).reshape(n, width, 8)[:, :, :5].reshape(n, -1)
+    out[:, 2:] = whole.view(np.uint8).reshape(n, width, 8)[:, :, :5].reshape(n, 5 * width)
     return out
 
 
