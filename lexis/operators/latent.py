@@ -17,7 +17,8 @@ Randomised block iteration, on Spark tables only:
 
 A is written once, in blocks of a part of the documents each (``latent_blocks``), and
 stays where it is. A step sends a row for each (part, word) to the word's group and, as
-the sum, back; so both products are made where the part's entries lie. Parts reduce
+the sum, back, but for words of one part; so both products are made where the part's
+entries lie, and a task holds one group of words at a time. Parts reduce
 their documents' rows, and the words' rows they count, to l x l triangular factors
 (l = probes), merged along the tree of ``lsa.triangular_factors``: about
 ``MERGE_FAN_IN`` of them, whatever the corpus, reach the driver. The bases are l x l
@@ -41,8 +42,8 @@ from pyspark.sql import functions as F
 
 from lexis.functions.scoring import LSA_RANK, TOP_K, cosine
 from lexis.operators.index import HOT_TERMS_MAX, Index, weighted_postings
-from lexis.operators.latent_blocks import (OF_ROWS, OF_WORDS, Blocks, document_table, documents_of, factor, signed,
-                                           store_blocks, word_table, words_of)
+from lexis.operators.latent_blocks import (OF_ROWS, OF_WORDS, Blocks, document_table, documents_of, factor, kept,
+                                           signed, store_blocks, word_table, words_of)
 from lexis.operators.lsa import LSA_RCOND
 from lexis.operators.query import candidate_postings, is_small, maybe_broadcast
 from lexis.operators.topk import top_k
@@ -137,18 +138,20 @@ def fit_latent(index: Index, path: str, rank: int = LSA_RANK, probes: int = PROB
     spark, name = index.sparkSession, f"lexis_latent_{uuid.uuid4().hex[:16]}"
     try:
         a = store_blocks(index, f"{path}/entries", name, _signs(probes), words_max)
-        return _fitted(spark, index, a, path, rank, probes, tolerance, max_steps)
+        return _fitted(spark, index, a, name, path, rank, probes, tolerance, max_steps)
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")        # its files stay
+        for table in (name, f"{name}_probe", *(f"{name}_{step}" for step in range(max_steps))):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")   # its files stay
 
 
-def _fitted(spark: SparkSession, index: Index, a: Blocks, path: str, rank: int, probes: int, tolerance: float,
-            max_steps: int) -> Latent:
-    y, basis = _written(signed(a, probes, _DIGITS), f"{path}/probe"), np.eye(probes)
+def _fitted(spark: SparkSession, index: Index, a: Blocks, name: str, path: str, rank: int, probes: int,
+            tolerance: float, max_steps: int) -> Latent:
+    y, basis = kept(a, signed(a, probes, _DIGITS), f"{name}_probe", f"{path}/probe"), np.eye(probes)
     before, settled, s = None, False, np.zeros(0)
     for step in range(max_steps):
         last, by = y, basis                              # what the words' rows are made of
-        y = _written(documents_of(a, words_of(a, last, by), by.shape[1]), f"{path}/documents-{step}")
+        product = documents_of(a, words_of(a, last, by), by.shape[1], last, by)
+        y = kept(a, product, f"{name}_{step}", f"{path}/documents-{step}")
         sz, vz = small_svd(factor(a, y, OF_WORDS, by.shape[1]))
         if not len(sz):
             break

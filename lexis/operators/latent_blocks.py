@@ -1,32 +1,37 @@
 """The documents x words matrix in parts, and its products with a block of columns.
 
-Documents are dealt to parts, as many as the cores or as ``PART_ROWS`` asks for. A
-part's entries are written once, bucketed by part, as blocks: the entries of a
-run of documents sorted by word, with the word's key, the place of the document and
-tf. Beside them stand the part's words: key, idf and signs. Neither moves again.
-What moves in a step is a row for each (part, word), once to the word and once
-back, and the documents' rows to their part: that grows with the vocabularies of
-the parts, not with the postings or the tasks of a shuffle.
+Documents are dealt to parts, as many as the cores, ``PART_ROWS`` or ``PART_DOCS`` ask
+for, and words to groups. A part's entries are written once, bucketed by part, as tiles:
+the entries of a run of documents and a group of words, sorted by word, with the word's
+key, the place of the document and tf. Beside them stand the part's words: key, idf,
+signs, and whether no other part has the word. Neither moves again. What moves in a step
+is a row for each (part, word), once to the word and once back, and none for a word of
+one part, whose row is made anew where it is used; documents' rows are written by part.
+
+A task reads a part group by group (``_streamed``): it holds the rows of the part's
+documents, and the tiles and words' rows of one group. Its memory follows ``PART_DOCS``
+and the sizes of a group, not the part's words or entries. That is why parts can be large,
+which keeps down the rows that move.
 
 Words' rows move in bundles, one for each (part, group of words). A row is a power of
 two and five bytes for each number (``coded``), off by at most 2**-38 of the row's
 largest number. Sums and bases are doubles.
 
 A word's key is a 64-bit hash under a seed for which no two words of the
-dictionary meet (``word_keys`` checks it).
+dictionary meet (``word_keys`` checks it). A group is a range of keys.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,19 +43,31 @@ from lexis.operators.lsa import R_SCHEMA, _add_rows, merge_tree
 # Workers need no copy of the package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Postings that a part is made for, and that a block of it gathers.
+#: Postings and documents that a part is made for.
 PART_ROWS = 64 << 20
-BLOCK_ROWS = 1 << 18
-#: A block's documents are numbered by two bytes.
-BLOCK_RUNS = 1 << 16
-#: Rows of (part, word) that a group of words is made for.
+PART_DOCS = 1 << 18
+#: Postings that are sorted by document, and cut into tiles, at a time.
+PACK_ROWS = 1 << 20
+TILE_ROWS = 1 << 21
+#: Rows that are turned into Python's objects at a time.
+ROWS_READ = 1 << 10
+#: A tile's documents are numbered by two bytes.
+TILE_RUNS = 1 << 16
+#: A group of words has at most about so many rows of (part, word), words, and
+#: entries in a part.
 GROUP_ROWS = 1 << 19
+GROUP_WORDS = 1 << 16
+GROUP_ENTRIES = 1 << 21
 #: Documents of a row of a part's product.
 CHUNK = 1 << 16
 
-#: Kinds of rows: of ``Blocks.table``, then of a product.
-ENTRIES, WORDS = 0, 1
-ROWS, OF_ROWS, OF_WORDS = 0, 1, 2
+#: Kinds of rows: of ``Blocks.table``, of a product, words' sums on their way back, and
+#: (of the table again) the documents that a cut's tiles number.
+ENTRIES, WORDS, DOCS = 0, 1, 2
+ROWS, OF_ROWS, OF_WORDS = 3, 4, 5
+SUMS, RUNS = 6, 7
+#: In place of a group: rows of the part's documents, which come first.
+HEAD = -1
 
 #: A bundle of rows of a part's words in order of their keys; ``ones`` marks a word
 #: in one of its parts. A part knows its keys: going back, they are left out.
@@ -100,113 +117,169 @@ def _binary(parts: list[np.ndarray]) -> pa.Array:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]):
-    """(doc_id, n_tokens, key, tf) row by row -> a row for each run of a document."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        n, keys = b.column(1).to_numpy().astype("<i8"), b.column(2).to_numpy().astype("<i8")
-        tf = b.column(3).to_numpy().astype("<i4")
-        starts = np.union1d(_starts(b.column(0)), np.flatnonzero(np.diff(n)) + 1).astype(np.int64)
-        spans = list(zip(starts, np.r_[starts[1:], b.num_rows]))
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0).take(pa.array(starts)), pa.array(n[starts]), _binary([keys[x:y] for x, y in spans]),
+    """(doc_id, n_tokens, key, tf) row by row -> a row for each document of many rows."""
+    def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        t = t.take(pc.sort_indices(t, [(t.column_names[0], "ascending"), (t.column_names[1], "ascending")])).combine_chunks()
+        doc, (n, keys, tf) = t.column(0).chunk(0), (t.column(i).to_numpy() for i in (1, 2, 3))
+        n, keys, tf = n.astype("<i8"), keys.astype("<i8"), tf.astype("<i4")
+        starts = np.union1d(_starts(doc), np.flatnonzero(np.diff(n)) + 1).astype(np.int64)
+        spans = list(zip(starts, np.r_[starts[1:], len(n)]))
+        return pa.RecordBatch.from_arrays(
+            [doc.take(pa.array(starts)), pa.array(n[starts]), _binary([keys[x:y] for x, y in spans]),
              _binary([tf[x:y] for x, y in spans])], names=["doc_id", "n_tokens", "keys", "tfs"])
 
+    held, rows = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            rows += b.num_rows
+        if rows >= PACK_ROWS:
+            yield pack(held)
+            held, rows = [], 0
+    if held:
+        yield pack(held)
+
 
 def _small(x: np.ndarray) -> np.ndarray:
     return x.astype("<u2") if not len(x) or x.max() < 1 << 16 else x.astype("<i4")
 
 
-def _blocks(doc_type: pa.DataType):
-    """Runs of documents -> blocks of their part, entries sorted by word."""
-    def block(part: int, runs: list) -> pa.RecordBatch:
-        keys, tf = (np.concatenate([np.frombuffer(r[i], t) for r in runs]) for i, t in ((2, "<i8"), (3, "<i4")))
-        place = np.repeat(np.arange(len(runs)), [len(r[2]) // 8 for r in runs])
+def _whole(raw, n: int) -> np.ndarray:
+    """What ``_small`` made of n numbers."""
+    return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<i4")
+
+
+def _group(keys: np.ndarray, groups: int) -> np.ndarray:
+    """Places of the keys' groups: equal ranges of keys, in order."""
+    return ((keys >> 33) + (1 << 30)) * groups >> 31
+
+
+_COLUMNS = {"part": T.IntegerType(), "group": T.IntegerType(), "kind": T.IntegerType(), "at": T.LongType(), "docs": None,
+            **{c: T.BinaryType() for c in ("n", "keys", "counts", "places", "tfs", "idf", "signs", "local")}}
+
+
+def _schema(doc_type: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(c, t or T.ArrayType(doc_type)) for c, t in _COLUMNS.items()])
+
+
+def _rows(doc_type: pa.DataType, rows: list[dict]) -> pa.RecordBatch:
+    """Rows of ``Blocks.table``; columns that a row lacks are null."""
+    kinds = {"docs": pa.list_(doc_type), "at": pa.int64(), "part": pa.int32(), "group": pa.int32(), "kind": pa.int32()}
+    cell = lambda v: v.tobytes() if isinstance(v, np.ndarray) else v
+    return pa.RecordBatch.from_arrays(
+        [pa.array([cell(r.get(c)) for r in rows], kinds.get(c, pa.binary())) for c in _COLUMNS], names=list(_COLUMNS))
+
+
+def _tiles(doc_type: pa.DataType, groups: list[int]):
+    """Documents' postings -> tiles of their part, cut by cut (``at``), with the cut's documents,
+    and the part's: the distinct ones in order (null last; ``at`` of them are none), and for
+    each (document, length) its place there and its length. Cuts number the latter."""
+    def cut(part: int, at: int, runs: list) -> list[dict]:
+        keys, tf = (np.concatenate([np.frombuffer(r[i], t) for r in runs]) for i, t in ((1, "<i8"), (2, "<i4")))
+        found, places = np.unique([r[0] for r in runs], return_inverse=True)
+        place = np.repeat(places.astype("<u2"), [len(r[1]) // 8 for r in runs])
         order = np.argsort(keys, kind="stable")
-        words, counts = np.unique(keys, return_counts=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([part], pa.int32()), pa.array([ENTRIES], pa.int32()),
-             pa.array([[r[0] for r in runs]], pa.list_(doc_type)), _binary([np.array([r[1] for r in runs], "<f8")]),
-             _binary([words]), _binary([counts.astype("<i4")]), _binary([place[order].astype("<u2")]),
-             _binary([_small(tf[order])]), *[pa.array([None], pa.binary())] * 2], names=_BLOCK_COLUMNS)
+        keys, tf, place = keys[order], tf[order], place[order]
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        words, ends = keys[starts], np.r_[starts, len(keys)]
+        counts, cuts = np.diff(ends), np.searchsorted(_group(words, len(groups)), np.arange(len(groups) + 1))
+        tiles = [{"part": part, "group": g, "kind": ENTRIES, "at": at, "keys": words[x:y], "counts": _small(counts[x:y]),
+                  "places": place[ends[x]:ends[y]], "tfs": _small(tf[ends[x]:ends[y]])}
+                 for g, x, y in zip(groups, cuts[:-1], cuts[1:]) if x < y]
+        return [{"part": part, "group": HEAD, "kind": RUNS, "at": at, "places": found.astype("<i4")}, *tiles]
+
+    def documents(part: int, known: dict) -> dict:
+        of = pa.array([doc for doc, _ in known], doc_type)
+        found = _distinct(of)
+        return {"part": part, "group": HEAD, "kind": DOCS, "at": len(found) - found.null_count, "docs": found.to_pylist(),
+                "places": pc.index_in(of, value_set=found).to_numpy().astype("<i4"),
+                "n": np.array([n for _, n in known], "<f8")}
 
     def run(batches):
-        held: dict[int, list] = {}
-        rows: dict[int, int] = {}
-        for b in batches:
-            for part, *r in zip(*[b.column(c).to_pylist() for c in ("part", "doc_id", "n_tokens", "keys", "tfs")]):
-                held.setdefault(part, []).append(r)
-                rows[part] = rows.get(part, 0) + len(r[2]) // 8
-                if rows[part] >= BLOCK_ROWS or len(held[part]) == BLOCK_RUNS:
-                    yield block(part, held.pop(part))
-                    rows[part] = 0
-        for part, runs in held.items():
-            yield block(part, runs)
+        held, rows, cuts, known = {}, {}, {}, {}
+        few = (b.slice(at, ROWS_READ) for b in batches for at in range(0, b.num_rows, ROWS_READ))
+        for b in few:
+            for part, doc, n, *r in zip(*[b.column(c).to_pylist() for c in ("part", "doc_id", "n_tokens", "keys", "tfs")]):
+                mine, places = held.setdefault(part, []), known.setdefault(part, {})
+                mine.append((places.setdefault((doc, n), len(places)), *r))
+                rows[part] = rows.get(part, 0) + len(r[0]) // 8
+                if rows[part] >= TILE_ROWS or len(mine) == TILE_RUNS:
+                    yield _rows(doc_type, cut(part, cuts.setdefault(part, 0), held.pop(part)))
+                    cuts[part], rows[part] = cuts[part] + 1, 0
+        for part in known:
+            last = cut(part, cuts.get(part, 0), held[part]) if part in held else []
+            yield _rows(doc_type, [*last, documents(part, known[part])])
     return run
 
 
-_BLOCK_COLUMNS = ["part", "kind", "docs", "n", "keys", "counts", "places", "tfs", "idf", "signs"]
-
-
-def _block_schema(doc_type: T.DataType) -> T.StructType:
-    kinds = {"part": T.IntegerType(), "kind": T.IntegerType(), "docs": T.ArrayType(doc_type)}
-    return T.StructType([T.StructField(c, kinds.get(c, T.BinaryType())) for c in _BLOCK_COLUMNS])
+def _distinct(docs: pa.Array) -> pa.Array:
+    """Distinct documents in order, null last."""
+    found = pc.unique(docs)
+    return found.take(pc.sort_indices(found))
 
 
-def _part_words(table: pa.Table) -> pa.Table:
-    """The distinct words of a part's blocks."""
+def _group_words(table: pa.Table) -> pa.Table:
+    """The distinct words of a part's tiles of one group."""
     keys = np.unique(np.concatenate([np.frombuffer(k.as_buffer(), "<i8") for k in table.column("keys")]))
-    return pa.table({"part": pa.array(np.full(len(keys), table.column("part")[0].as_py(), np.int32)),
-                     "key": pa.array(keys)})
+    both = [pa.array(np.full(len(keys), table.column(c)[0].as_py(), np.int32)) for c in ("part", "group")]
+    return pa.table([*both, pa.array(keys)], names=["part", "group", "key"])
 
 
 def _word_rows(doc_type: pa.DataType, signs: int):
-    """(part, key, idf, _s0..) -> rows of many words."""
+    """(part, group, key, parts, idf, _s0..) in order of part and group -> rows of many words."""
     def run(batches):
         for b in batches:
-            part = b.column(0).to_numpy()
-            for p in np.unique(part):
-                of = np.flatnonzero(part == p)
-                key, idf, *bits = (b.column(c).to_numpy()[of] for c in range(1, 3 + signs))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p], pa.int32()), pa.array([WORDS], pa.int32()), pa.array([None], pa.list_(doc_type)),
-                     pa.array([None], pa.binary()), _binary([key.astype("<i8")]), *[pa.array([None], pa.binary())] * 3,
-                     _binary([idf.astype("<f8")]), _binary([np.stack(bits, axis=1).astype("<i8")])],
-                    names=_BLOCK_COLUMNS)
+            part, group, key, parts, idf, *bits = (b.column(c).to_numpy() for c in range(5 + signs))
+            cuts = np.flatnonzero((np.diff(part) != 0) | (np.diff(group) != 0)) + 1
+            spans = zip(np.r_[0, cuts], np.r_[cuts, len(part)]) if len(part) else ()
+            rows = [{"part": int(part[x]), "group": int(group[x]), "kind": WORDS, "keys": key[x:y].astype("<i8"),
+                     "idf": idf[x:y].astype("<f8"), "local": parts[x:y] == 1,
+                     "signs": np.stack([s[x:y] for s in bits], axis=1).astype("<i8")} for x, y in spans]
+            yield _rows(doc_type, rows)
     return run
 
 
+def _append(df: DataFrame, n: int, name: str, path: str) -> None:
+    df.write.mode("append").format("parquet").bucketBy(n, "part").option("path", path).saveAsTable(name)
+
+
+def kept(blocks: Blocks, product: DataFrame, name: str, path: str) -> DataFrame:
+    """A product written under ``path`` as the table ``name``, by part like the blocks:
+    reading it with them needs no exchange."""
+    _append(product, len(blocks.parts), name, path)
+    return product.sparkSession.table(name)
+
+
 def store_blocks(index: Index, path: str, name: str, signs: list[Column], words_max: int) -> Blocks:
     """Write the blocks of ``index`` under ``path`` as the table ``name``. A dictionary
     of at most ``words_max`` words is broadcast to the parts' words."""
     spark, doc_type = index.sparkSession, index.postings.schema["doc_id"].dataType
-    corpus = index.corpus.select("n_postings").first()
-    n = max(spark.sparkContext.defaultParallelism, -(-(corpus.n_postings if corpus else 0) // PART_ROWS))
+    corpus, n_words = index.corpus.select("n_postings", "n_docs").first() or (0, 0), index.terms.count()
+    n = max(spark.sparkContext.defaultParallelism, -(-corpus[0] // PART_ROWS), -(-corpus[1] // PART_DOCS))
     parts, key = part_numbers(spark, n), word_keys(index.terms)
+    groups = part_numbers(spark, max(n, -(-min(n * n_words, corpus[0]) // GROUP_ROWS), -(-n_words // GROUP_WORDS),
+                                     -(-corpus[0] // (n * GROUP_ENTRIES))))
     number = F.element_at(F.array(*[F.lit(p) for p in parts]), (F.pmod(F.xxhash64("doc_id"), F.lit(n)) + 1).cast("int"))
     runs = index.postings.select("doc_id", "n_tokens", key.alias("key"), "tf").mapInArrow(_packed, T.StructType([
         T.StructField("doc_id", doc_type), T.StructField("n_tokens", T.LongType()),
         T.StructField("keys", T.BinaryType()), T.StructField("tfs", T.BinaryType())]))
-    schema, arrow = _block_schema(doc_type), pa.int64()
+    schema, arrow = _schema(doc_type), pa.int64()
     if not isinstance(doc_type, T.LongType):
         from pyspark.sql.pandas.types import to_arrow_type
         arrow = to_arrow_type(doc_type)
-
-    def write(df: DataFrame) -> None:
-        (df.repartition(n, "part").mapInArrow(_blocks(arrow) if df.columns[0] == "doc_id" else
-                                              _word_rows(arrow, len(signs)), schema)
-           .write.mode("append").format("parquet").bucketBy(n, "part").option("path", path).saveAsTable(name))
-    write(runs.withColumn("part", number))
+    _append(runs.withColumn("part", number).repartition(n, "part").mapInArrow(_tiles(arrow, groups), schema), n, name, path)
     dictionary = (index.terms.crossJoin(F.broadcast(index.corpus.select("n_docs")))
                   .select(key.alias("key"), "term", vector_idf(F.col("df"), F.col("n_docs")).alias("idf"), *signs))
-    held = spark.table(name).select("part", "keys").groupBy("part").applyInArrow(_part_words, "part int, key long")
-    few = index.terms.count() <= words_max
-    words = held.join(F.broadcast(dictionary) if few else dictionary, "key")
-    write(words.select("part", "key", "idf", *[f"_s{d}" for d in range(len(signs))]))
+    held = (spark.table(name).where(F.col("kind") == ENTRIES).select("part", "group", "keys").groupBy("part", "group")
+                 .applyInArrow(_group_words, "part int, group int, key long"))
+    held = held.withColumn("parts", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    words = held.join(F.broadcast(dictionary) if n_words <= words_max else dictionary, "key")
+    words = words.select("part", "group", "key", "parts", "idf", *[f"_s{d}" for d in range(len(signs))])
+    _append(words.repartition(n, "part").sortWithinPartitions("part", "group")
+                 .mapInArrow(_word_rows(arrow, len(signs)), schema), n, name, path)
     spark.catalog.refreshTable(name)
-    table = spark.table(name)
-    rows = (table.where(F.col("kind") == WORDS).agg(F.sum(F.octet_length("keys"))).first()[0] or 0) // 8
-    return Blocks(table, parts, part_numbers(spark, max(n, -(-rows // GROUP_ROWS))), dictionary, doc_type)
+    return Blocks(spark.table(name), parts, groups, dictionary, doc_type)
 
 
 # --- rows that move --------------------------------------------------------------
@@ -230,64 +303,138 @@ def decoded(raw, width: int) -> np.ndarray:
     return np.ldexp((wide.view("<i8")[:, :, 0] >> 24).astype(float), e - 39)
 
 
-def _grouped(keys: np.ndarray, groups: int) -> list[np.ndarray]:
-    """Places of the sorted keys of each group, in order."""
-    group = (keys.view("<u8") >> np.uint64(33)) % np.uint64(groups)
-    order = np.argsort(group, kind="stable")
-    return np.split(order, np.searchsorted(group[order], np.arange(1, groups).astype(np.uint64)))
+# --- a part, group by group --------------------------------------------------------
 
+def _streamed(frames: list[DataFrame], n: int, run: Callable, schema: str) -> DataFrame:
+    """``run`` over each part's rows of all frames, by group. Tables by part stay where
+    they are: renamed, their column is one that the planner knows in a union as well."""
+    frames = [f.withColumnRenamed("part", "dealt").repartition(n, "dealt") for f in frames]
+    rows = frames[0]
+    for more in frames[1:]:
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    return rows.repartition(n, "dealt").sortWithinPartitions("dealt", "group").groupBy("dealt").applyInArrow(run, schema)
 
-class _Part:
-    """A part's words and documents, from its rows of ``Blocks.table``."""
 
-    def __init__(self, table: pa.Table):
-        self.number = table.column("part")[0].as_py()
-        kind = table.column("kind").to_numpy()
-        words, self.blocks = table.filter(pa.array(kind == WORDS)), table.filter(pa.array(kind == ENTRIES))
-        cells = lambda c, t: np.concatenate([np.zeros(0, t), *[np.frombuffer(v.as_buffer(), t) for v in words.column(c)]])
-        keys = cells("keys", "<i8")
-        order = np.argsort(keys)
-        self.keys, self.idf = keys[order], cells("idf", "<f8")[order]
-        self.signs = cells("signs", "<i8").reshape(len(keys), -1)[order] if len(keys) else np.zeros((0, 1), "<i8")
-        self.docs = _documents(self.blocks)
-
-    def each(self):
-        """(places of the words, where each word's entries start, counts, places of
-        the entries, tf, documents' places in the part, their lengths), by block."""
-        for i in range(self.blocks.num_rows):
-            cell = lambda c, t: np.frombuffer(self.blocks.column(c)[i].as_buffer(), t)
-            counts, places = cell("counts", "<i4"), cell("places", "<u2")
-            raw = self.blocks.column("tfs")[i].as_buffer()
-            tf = np.frombuffer(raw, "<u2" if len(raw) == 2 * len(places) else "<i4").astype(float)
-            docs = pc.index_in(self.blocks.column("docs")[i].values, value_set=self.docs).to_numpy()
-            at = np.searchsorted(self.keys, cell("keys", "<i8"))
-            yield at, np.r_[0, np.cumsum(counts)[:-1]], counts, places, tf, docs, cell("n", "<f8")
-
-    def by_document(self, q: np.ndarray) -> np.ndarray:
-        """The part's entries times ``q``, which has a row for each of its words."""
-        q, out = q * self.idf[:, None], np.zeros((len(self.docs), q.shape[1]))
-        for at, _, counts, places, tf, docs, n in self.each():
-            rows = np.repeat(np.arange(len(at)), counts)
-            for c in range(q.shape[1]):
-                of = np.bincount(places, weights=q[at, c][rows] * tf, minlength=len(docs))
-                np.add.at(out[:, c], docs, of / n)
+def _matrix(blocks: Blocks, *without: str) -> DataFrame:
+    return blocks.table.drop("docs", *without)
+
+
+def _rows_in(y: DataFrame) -> DataFrame:
+    """A product's documents' rows, as ``_streamed`` takes them."""
+    return y.where(F.col("kind") == ROWS).select("part", F.lit(HEAD).alias("group"), "kind", "at", "width", "data")
+
+
+class _Row:
+    """One row of a batch, cell by cell."""
+
+    def __init__(self, batch: pa.RecordBatch, i: int):
+        self.batch, self.i = batch, i
+        self.kind = batch.column("kind")[i].as_py()
+
+    def number(self, column: str) -> int:
+        return self.batch.column(column)[self.i].as_py()
+
+    def raw(self, column: str):
+        return self.batch.column(column)[self.i].as_buffer()
+
+    def cells(self, column: str, kind: str) -> np.ndarray:
+        return np.frombuffer(self.raw(column), kind)
+
+
+def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[_Row]]]:
+    """(group, its rows), ``HEAD`` first. A part's rows must come by group."""
+    now, rows, seen = None, [], set()
+    for b in batches:
+        group = b.column("group").to_numpy()
+        cuts = np.flatnonzero(np.diff(group)) + 1
+        for x, y in zip(np.r_[0, cuts], np.r_[cuts, len(group)]) if len(group) else ():
+            if group[x] != now:
+                if rows:
+                    yield now, rows
+                now, rows = int(group[x]), []
+                if now in seen:
+                    raise ValueError("a part's rows are not in order of their groups")
+                seen.add(now)
+            own = b.take(pa.array(np.arange(x, y)))     # a copy: the batch, of many groups, need not stay
+            rows += [_Row(own, i) for i in range(len(own))]
+    if rows:
+        yield now, rows
+
+
+class _Part:
+    """A part's documents, from its ``HEAD`` rows, and what its entries add to them."""
+
+    def __init__(self, rows: list[_Row]):
+        doc = next(r for r in rows if r.kind == DOCS)
+        self.number, self.filled = doc.number("dealt"), doc.number("at")
+        self.doc, self.n = doc.cells("places", "<i4"), doc.cells("n", "<f8")
+        self.n_docs = int(self.doc.max()) + 1
+        self.cuts = {r.number("at"): r.cells("places", "<i4") for r in rows if r.kind == RUNS}
+        found = sorted((r for r in rows if r.kind == ROWS), key=lambda r: r.number("at"))
+        self.y = np.vstack([r.cells("data", "<f8").reshape(-1, r.number("width")) for r in found]) if found else None
+        self.sums: np.ndarray | None = None
+
+    def shares(self, m: np.ndarray) -> np.ndarray:
+        """By (document, length): what an occurrence adds to a word's row, the document's
+        row times ``m``. A null is no document that a word's row could be joined to."""
+        y = self.y @ m
+        y[self.filled:] = 0.0
+        return y[self.doc] / self.n[:, None]
+
+    def add(self, group: _Group, q: np.ndarray) -> None:
+        """Add the group's entries times ``q``, which has a row for each of its words."""
+        if self.sums is None:
+            self.sums = np.zeros((len(self.n), q.shape[1]))
+        q = q * group.idf[:, None]
+        for cut, at, _, counts, places, tf in group.each():
+            of = self.cuts[cut]
+            for c, x in enumerate(np.ascontiguousarray(q[at].T)):
+                self.sums[of, c] += np.bincount(places, weights=np.repeat(x, counts) * tf, minlength=len(of))
+
+    def product(self, width: int) -> np.ndarray:
+        """The documents' rows."""
+        out = np.zeros((self.n_docs, width))
+        if self.sums is not None:
+            np.add.at(out, self.doc, self.sums / self.n[:, None])
         return out
 
-    def by_word(self, y: np.ndarray) -> np.ndarray:
-        """The part's entries, turned, times ``y``, which has a row for each of its
-        documents. A null is no document that a word's row could be joined to."""
-        out = np.zeros((len(self.keys), y.shape[1]))
-        if self.docs.null_count:
-            y = np.where(pc.is_null(self.docs).to_numpy(zero_copy_only=False)[:, None], 0.0, y)
-        for at, starts, _, places, tf, docs, n in self.each():
-            out[at] += np.add.reduceat((y[docs] / n[:, None])[places] * tf[:, None], starts)
-        return out * self.idf[:, None]
 
+class _Group:
+    """A part's words of one group, in order of their keys, and their tiles."""
 
-def _documents(blocks: pa.Table) -> pa.Array:
-    """Distinct documents of a part's blocks, in order, null last."""
-    found = pc.unique(pc.list_flatten(blocks.column("docs")))
-    return found.take(pc.sort_indices(found))
+    def __init__(self, rows: list[_Row]):
+        words = [r for r in rows if r.kind == WORDS]
+        cells = lambda c, t: np.concatenate([np.zeros(0, t), *[r.cells(c, t) for r in words]])
+        keys = cells("keys", "<i8")
+        self.order = np.argsort(keys)
+        self.keys, self.idf, self.local = (x[self.order] for x in (keys, cells("idf", "<f8"), cells("local", "?")))
+        self.words, self.tiles = words, [r for r in rows if r.kind == ENTRIES]
+        self.back = [r for r in rows if r.kind == SUMS]
+
+    def signs(self) -> np.ndarray:
+        found = np.concatenate([np.zeros(0, "<i8"), *[r.cells("signs", "<i8") for r in self.words]])
+        return found.reshape(len(self.keys), -1)[self.order]
+
+    def each(self, chosen: np.ndarray | None = None):
+        """(the cut, places of the words, where each word's entries start, counts, the entries'
+        places in the cut, tf), by tile; of the ``chosen`` words alone if given."""
+        for r in self.tiles:
+            keys, places = r.cells("keys", "<i8"), r.cells("places", "<u2")
+            counts, tf = _whole(r.raw("counts"), len(keys)).astype(int), _whole(r.raw("tfs"), len(places))
+            at = np.searchsorted(self.keys, keys)
+            if chosen is not None:
+                own = chosen[at]
+                entries = np.repeat(own, counts)
+                at, counts, places, tf = at[own], counts[own], places[entries], tf[entries]
+            if len(at):
+                yield r.number("at"), at, np.r_[0, np.cumsum(counts)[:-1]], counts, places, tf.astype(float)
+
+    def rows(self, part: _Part, shares: np.ndarray, chosen: np.ndarray | None = None) -> np.ndarray:
+        """The words' rows: the entries, turned, times the documents' ``shares``."""
+        out = np.zeros((len(self.keys), shares.shape[1]))
+        for cut, at, starts, _, places, tf in self.each(chosen):
+            out[at] += np.add.reduceat(shares[part.cuts[cut][places]] * tf[:, None], starts)
+        return out * self.idf[:, None]
 
 
 def _triangle(m: np.ndarray) -> np.ndarray:
@@ -297,15 +444,15 @@ def _triangle(m: np.ndarray) -> np.ndarray:
     return acc.get(0, np.zeros((0, m.shape[1])))
 
 
-def _product_rows(part: int, y: np.ndarray, z: np.ndarray | None) -> pa.Table:
-    """Rows of ``PRODUCT_SCHEMA``: the part's documents, and the factors of them and
+def _product_rows(part: int, y: np.ndarray, z: np.ndarray | None) -> pa.RecordBatch:
+    """Rows of ``PRODUCT_SCHEMA``: the part's documents, and the factors of them and (``z``)
     of the words' rows that are counted here."""
     rows = [(ROWS, at, y[at:at + CHUNK]) for at in range(0, len(y), CHUNK)] + [(OF_ROWS, 0, _triangle(y))]
-    rows += [(OF_WORDS, 0, _triangle(z))] if z is not None else []
-    return pa.table([pa.array([part] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int32()),
-                     pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2].shape[1] for r in rows], pa.int32()),
-                     _binary([np.ascontiguousarray(r[2], "<f8") for r in rows])],
-                    names=["part", "kind", "at", "width", "data"])
+    rows += [(OF_WORDS, 0, z)] if z is not None else []
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int32()),
+         pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2].shape[1] for r in rows], pa.int32()),
+         _binary([np.ascontiguousarray(r[2], "<f8") for r in rows])], names=["part", "kind", "at", "width", "data"])
 
 
 def _rows_of(product: pa.Table) -> np.ndarray:
@@ -318,60 +465,87 @@ def _rows_of(product: pa.Table) -> np.ndarray:
 
 def signed(blocks: Blocks, columns: int, digits: int) -> DataFrame:
     """The matrix times the words' signs (bit c % digits of number c // digits is set for -1)."""
-    def run(table: pa.Table) -> pa.Table:
-        p = _Part(table)
-        sign = [1.0 - 2.0 * (p.signs[:, c // digits] >> (c % digits) & 1) for c in range(columns)]
-        return _product_rows(p.number, p.by_document(np.stack(sign, axis=1)), None)
-    return blocks.table.groupBy("part").applyInArrow(run, PRODUCT_SCHEMA)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = None
+        for number, rows in _by_group(batches):
+            if number == HEAD:
+                part = _Part(rows)
+                continue
+            group = _Group(rows)
+            bits = group.signs()
+            part.add(group, np.stack([1.0 - 2.0 * (bits[:, c // digits] >> (c % digits) & 1) for c in range(columns)], axis=1))
+        if part is not None:
+            yield _product_rows(part.number, part.product(columns), None)
+    return _streamed([_matrix(blocks)], len(blocks.parts), run, PRODUCT_SCHEMA)
 
 
 def words_of(blocks: Blocks, y: DataFrame, m: np.ndarray, keyed: bool = False) -> DataFrame:
     """``DOWN_SCHEMA``: the turned matrix times (``y`` times ``m``), a word's whole row for
-    each part that has the word."""
-    groups, width = blocks.groups, m.shape[1]
-
-    def run(table: pa.Table, product: pa.Table) -> pa.Table:
-        rows = []
-        if table.num_rows and product.num_rows:
-            p = _Part(table)
-            z = coded(p.by_word(_rows_of(product) @ m))
-            rows = [(g, p.number, p.keys[of], z[of]) for g, of in zip(groups, _grouped(p.keys, len(groups))) if len(of)]
-        return pa.table([*[pa.array([r[i] for r in rows], pa.int32()) for i in (0, 1)],
-                         *[_binary([r[i] for r in rows]) for i in (2, 3)]], names=["group", "part", "keys", "z"])
-
-    def total(table: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(k.as_buffer(), "<i8") for k in table.column("keys")]
-        z = np.vstack([decoded(v.as_buffer(), width) for v in table.column("z")])
-        _, first, word = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        order = np.argsort(word, kind="stable")
-        sums = coded(np.add.reduceat(z[order], np.flatnonzero(np.r_[True, np.diff(word[order]) > 0])))
-        ones = np.zeros(len(word), np.uint8)
-        ones[first] = 1
-        spans = np.r_[0, np.cumsum([len(k) for k in keys])]
-        each = list(zip(spans[:-1], spans[1:]))
-        return pa.table([table.column("group"), table.column("part"),
-                         table.column("keys") if keyed else pa.nulls(len(keys), pa.binary()),
-                         _binary([ones[x:y] for x, y in each]), _binary([sums[word[x:y]] for x, y in each])],
-                        names=["group", "part", "keys", "ones", "z"])
-    up = blocks.table.groupBy("part").cogroup(y.where(F.col("kind") == ROWS).groupBy("part")).applyInArrow(run, UP_SCHEMA)
-    return up.repartition(len(groups), "group").groupBy("group").applyInArrow(total, DOWN_SCHEMA)
-
-
-def documents_of(blocks: Blocks, down: DataFrame, width: int) -> DataFrame:
-    """``PRODUCT_SCHEMA``: the matrix times the rows of ``down``, and its factors."""
-    groups = blocks.groups
-
-    def run(table: pa.Table, words: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return _product_rows(0, np.zeros((0, width)), np.zeros((0, width))).slice(0, 0)
-        p = _Part(table)
-        places = dict(zip(groups, _grouped(p.keys, len(groups))))
-        q, one = np.zeros((len(p.keys), width)), np.zeros(len(p.keys), bool)
-        for g, ones, z in zip(*[words.column(c) for c in ("group", "ones", "z")]):
-            of = places[g.as_py()]
-            q[of], one[of] = decoded(z.as_buffer(), width), np.frombuffer(ones.as_buffer(), bool)
-        return _product_rows(p.number, p.by_document(q), q[one])
-    return blocks.table.groupBy("part").cogroup(down.groupBy("part")).applyInArrow(run, PRODUCT_SCHEMA)
+    each part that has the word. Words of one part are left to ``documents_of``, unless
+    the rows are to be ``keyed``."""
+    width = m.shape[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shares = part = None
+        for number, rows in _by_group(batches):
+            if number == HEAD:
+                part = _Part(rows)
+                shares, part.y = None if part.y is None else part.shares(m), None
+                continue
+            group = _Group(rows)
+            sent = np.ones(len(group.keys), bool) if keyed else ~group.local
+            if shares is not None and sent.any():
+                z = coded(group.rows(part, shares, None if sent.all() else sent)[sent])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int32()), pa.array([part.number], pa.int32()), _binary([group.keys[sent]]),
+                     _binary([z])], names=["group", "part", "keys", "z"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in zip(*[b.column(c) for c in ("group", "part", "keys", "z")])]
+        each = [np.frombuffer(keys.as_buffer(), "<i8") for *_, keys, _ in rows]
+        words = np.unique(np.concatenate(each))
+        sums, new = np.zeros((len(words), width)), np.ones(len(words), bool)
+        for keys, (*_, z) in zip(each, rows):
+            sums[np.searchsorted(words, keys)] += decoded(z.as_buffer(), width)
+        sums = coded(sums)
+        for keys, (group, part, *_) in zip(each, rows):
+            at = np.searchsorted(words, keys)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([group.as_py()], pa.int32()), pa.array([part.as_py()], pa.int32()),
+                 _binary([keys]) if keyed else pa.nulls(1, pa.binary()), _binary([new[at]]), _binary([sums[at]])],
+                names=["group", "part", "keys", "ones", "z"])
+            new[at] = False
+    up = _streamed([_rows_in(y), _matrix(blocks, "signs")], len(blocks.parts), run, UP_SCHEMA)
+    return up.repartition(len(blocks.groups), "group").groupBy("group").applyInArrow(total, DOWN_SCHEMA)
+
+
+def documents_of(blocks: Blocks, down: DataFrame, width: int, y: DataFrame | None = None,
+                 m: np.ndarray | None = None) -> DataFrame:
+    """``PRODUCT_SCHEMA``: the matrix times the rows of ``down``, and its factors. With ``y``
+    and ``m``, the rows of words of one part are made here as ``words_of`` would make them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = shares = None
+        counted: dict[int, np.ndarray] = {}
+        for number, rows in _by_group(batches):
+            if number == HEAD:
+                part = _Part(rows)
+                shares, part.y = None if part.y is None else part.shares(m), None
+                continue
+            group = _Group(rows)
+            own = group.local if m is not None else np.zeros(len(group.keys), bool)
+            q, one = np.zeros((len(group.keys), width)), own.copy()
+            for r in group.back:
+                q[~own], one[~own] = decoded(r.raw("z"), width), r.cells("ones", "?")
+            if shares is not None and own.any():
+                q[own] = group.rows(part, shares, own)[own]
+            part.add(group, q)
+            if one.any():
+                _add_rows(counted, 0, q[one])
+        if part is not None:
+            yield _product_rows(part.number, part.product(width), counted.get(0, np.zeros((0, width))))
+    sums = down.select("part", "group", F.lit(SUMS).alias("kind"), "ones", "z")
+    frames = [_matrix(blocks, "signs"), sums, *([_rows_in(y)] if y is not None else [])]
+    return _streamed(frames, len(blocks.parts), run, PRODUCT_SCHEMA)
 
 
 def factor(blocks: Blocks, product: DataFrame, kind: int, width: int) -> np.ndarray:
@@ -406,9 +580,9 @@ def document_table(blocks: Blocks, product: DataFrame, m: np.ndarray, prefix: st
     names = [f"{prefix}{c}" for c in range(m.shape[1])]
 
     def run(table: pa.Table, rows: pa.Table) -> pa.Table:
-        docs = _documents(table)
+        docs = pc.list_flatten(table.column("docs"))
         x = _rows_of(rows) @ m if rows.num_rows and len(docs) else np.zeros((len(docs), m.shape[1]))
         return pa.table([docs, *[pa.array(x[:, c]) for c in range(len(names))]], names=["doc_id", *names])
-    entries = blocks.table.where(F.col("kind") == ENTRIES).select("part", "docs")
+    docs = blocks.table.where(F.col("kind") == DOCS).select("part", "docs")
     schema = T.StructType([T.StructField("doc_id", blocks.doc_type), *[T.StructField(c, T.DoubleType()) for c in names]])
-    return entries.groupBy("part").cogroup(product.where(F.col("kind") == ROWS).groupBy("part")).applyInArrow(run, schema)
+    return docs.groupBy("part").cogroup(product.where(F.col("kind") == ROWS).groupBy("part")).applyInArrow(run, schema)

@@ -8,8 +8,9 @@ import pytest
 from lexis.operators.index import build_index, materialize, weighted_postings
 from lexis.operators.latent import (_signs, by_word, entries, fit_latent, folded_queries, latent_search, load_latent,
                                      probe)
-from lexis.operators.latent_blocks import (coded, decoded, document_table, documents_of, signed, store_blocks, word_table,
-                                            words_of)
+from lexis.operators import latent_blocks
+from lexis.operators.latent_blocks import (OF_ROWS, OF_WORDS, coded, decoded, document_table, documents_of, factor, kept,
+                                            signed, store_blocks, word_table, words_of)
 from lexis.operators.tokens import parse_queries
 from lexis.profile import LATIN
 from lexis.session import scratch_path
@@ -151,6 +152,52 @@ def test_a_step_moves_words_and_documents_but_no_postings(spark):
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def test_a_task_holds_one_group_of_words(spark, monkeypatch):
+    for name, size in (("GROUP_WORDS", 4), ("TILE_ROWS", 50), ("PACK_ROWS", 70)):
+        monkeypatch.setattr(latent_blocks, name, size)
+    idx, name = indexed(spark, topics(60)), f"t_blocks_{uuid.uuid4().hex[:8]}"
+    try:
+        a = store_blocks(idx, scratch_path(spark, "t-blocks"), name, _signs(4), 0)
+        assert len(a.groups) == -(-idx.terms.count() // 4) > len(a.parts)
+        words = [len(r["keys"]) // 8 for r in a.table.where("kind = 1").collect()]
+        assert len(words) > 2 * len(a.parts) and max(words) < idx.terms.count() // 2
+        y = kept(a, signed(a, 4, 32), f"{name}_y", scratch_path(spark, "t-probe"))
+        down = words_of(a, y, np.eye(4))
+        assert down.select("group").distinct().count() > len(a.parts)
+        # what the parts hold is read by part: nothing of it is dealt again in either product
+        for df, exchanges in ((down, 1), (documents_of(a, down, 4, y, np.eye(4)), 2)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == exchanges
+        want = {r.term: [r[f"z{i}"] for i in range(4)] for r in by_word(entries(idx, 4), probe(entries(idx, 4), 4)).collect()}
+        keyed = words_of(a, y, np.eye(4), keyed=True)
+        got = {r.term: [r[f"z{i}"] for i in range(4)] for r in word_table(a, keyed, np.eye(4), "z").collect()}
+        assert set(got) == set(want) and all(got[t] == pytest.approx(want[t], abs=1e-9) for t in want)
+    finally:
+        for table in (name, f"{name}_y"):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_words_of_one_part_stay_there(spark):
+    docs = [(d, f"common own{chr(97 + d)} both{chr(97 + d // 2)}") for d in range(20)] + [(20, "other")]
+    idx, name = indexed(spark, docs), f"t_blocks_{uuid.uuid4().hex[:8]}"
+    try:
+        a = store_blocks(idx, scratch_path(spark, "t-blocks"), name, _signs(4), 0)
+        y = kept(a, signed(a, 4, 32), f"{name}_y", scratch_path(spark, "t-probe"))
+        sent, every = (words_of(a, y, np.eye(4), keyed=k) for k in (False, True))
+        rows = [sum(len(r["ones"]) for r in df.collect()) for df in (sent, every)]
+        assert 0 < rows[0] <= rows[1] - 21                        # a document's own word is in one part
+        own = documents_of(a, sent, 4, y, np.eye(4))
+        got, want = ({r.doc_id: [r[f"x{i}"] for i in range(4)] for r in document_table(a, df, np.eye(4), "x").collect()}
+                     for df in (own, documents_of(a, every, 4)))
+        assert set(got) == set(want) and all(got[d] == pytest.approx(want[d], abs=1e-9) for d in want)
+        for kind in (OF_ROWS, OF_WORDS):
+            s, t = (np.linalg.svd(factor(a, df, kind, 4), compute_uv=False) for df in (own, documents_of(a, every, 4)))
+            assert s == pytest.approx(t, rel=1e-9)
+    finally:
+        for table in (name, f"{name}_y"):
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def test_repeated_and_null_documents_are_one_row(spark):
     docs = [(1, "apple pear"), (1, "plum apple fig"), (2, "plum fig"), (None, "fig pear"), (3, "pear quince quince")]
     idx, name = indexed(spark, docs), f"t_blocks_{uuid.uuid4().hex[:8]}"
